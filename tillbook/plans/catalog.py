@@ -82,3 +82,395 @@ def gold_freight_sql(spark, sf_dir):
 @register("gold_products", PRODUCTS_SQL)
 def gold_products(spark, sf_dir):
     return gold.product_summary_tagged(fx.product_lines(spark, sf_dir))
+
+
+# --- shared pieces for table-operator queries ---------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from tillbook.functions.days import day_range  # noqa: E402
+from tillbook.operators import reports, storage  # noqa: E402
+from tillbook.plans import pipeline  # noqa: E402
+from tillbook.schemas import (DOMAINS, FREIGHT, PRODUCT_REPORT, RETURNS, SALES,  # noqa: E402
+                              STOCK, TAX_REPORT, TAXES)
+from tillbook.session import scratch_dir  # noqa: E402
+
+
+def _lake(spark, label: str) -> pipeline.Lake:
+    return pipeline.Lake(scratch_dir(spark, label))
+
+
+def _silver(spark, label, domain) -> storage.Table:
+    return _lake(spark, label).silver(domain)
+
+
+def _as_text(*cols: str) -> str:
+    return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+
+
+# Silver rows as stored: declared types, so branch and order id are text.
+SILVER_SQL = {
+    "frete": f"SELECT * REPLACE ({_as_text('pedido_id', 'filial_id')}) FROM {fx.SQL['frete']} f",
+    "tributos": f"SELECT * REPLACE ({_as_text('filial_id')}) FROM {fx.SQL['tributos']} t",
+    "vendas": f"SELECT * REPLACE ({_as_text('filial_id')}) FROM {fx.SQL['vendas']} v",
+    "estoque": f"SELECT * REPLACE ({_as_text('filial_id')}) FROM {fx.SQL['estoque']} e",
+    "devolucao": f"SELECT * REPLACE ({_as_text('filial_id')}) FROM {fx.SQL['devolucao']} d",
+}
+
+
+def _gold_text(sql: str) -> str:
+    """A gold oracle with the branch as text, as the pipeline stores it."""
+    return f"SELECT * REPLACE ({_as_text('FilialId')}) FROM ({sql}) g"
+
+
+HALF = ("2024-01-01", "2024-01-15")        # replaced days in the T5 query
+EMPTIED = ("2024-01-02", "2024-01-03")     # days replaced by nothing
+DROPPED = ("2024-01-01", "2024-01-15")     # days deleted in the T4 queries
+
+
+# --- S3, S4, T2 ----------------------------------------------------------------
+@register("silver_scan_full", SILVER_SQL["vendas"])
+def silver_scan_full(spark, sf_dir):
+    t = _silver(spark, "scan", SALES)
+    storage.create(spark, t, fx.sales(spark, sf_dir))
+    return storage.read(spark, t)
+
+
+@register("silver_scan_day",
+          f"SELECT * FROM ({SILVER_SQL['vendas']}) s WHERE data_venda = DATE '1996-03-01'")
+def silver_scan_day(spark, sf_dir):
+    t = _silver(spark, "scanday", SALES)
+    storage.create(spark, t, fx.sales(spark, sf_dir))
+    return storage.read(spark, t, days=["1996-03-01"])
+
+
+@register("table_create", SILVER_SQL["frete"])
+def table_create(spark, sf_dir):
+    t = _silver(spark, "create", FREIGHT)
+    true = fx.freight(spark, sf_dir)
+    storage.create(spark, t, true.withColumn("valor_frete", F.col("valor_frete") + 1))
+    storage.create(spark, t, true)          # replaces the whole table
+    return storage.read(spark, t)
+
+
+# --- T3 ------------------------------------------------------------------------
+@register("append_schema_evolution", f"""
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS transportadora), CAST(NULL AS VARCHAR) AS canal
+FROM ({SILVER_SQL['frete']}) a
+UNION ALL
+SELECT *, 'web' AS canal FROM ({SILVER_SQL['frete']}) b""")
+def append_schema_evolution(spark, sf_dir):
+    t = _silver(spark, "append", FREIGHT)
+    f = fx.freight(spark, sf_dir)
+    storage.append(spark, t, f.drop("transportadora"))            # a column missing
+    storage.append(spark, t, f.withColumn("canal", F.lit("web")))  # a column added
+    return storage.read(spark, t, evolved=True)
+
+
+# --- T4 ------------------------------------------------------------------------
+_DROPPED_SQL = f"""SELECT * FROM ({SILVER_SQL['tributos']}) t
+WHERE data_pagamento NOT IN (DATE '{DROPPED[0]}', DATE '{DROPPED[1]}')"""
+
+
+@register("delete_day", _DROPPED_SQL)
+def delete_day(spark, sf_dir):
+    t = _silver(spark, "delete", TAXES)
+    storage.create(spark, t, fx.taxes(spark, sf_dir))
+    storage.delete_days(spark, t, DROPPED)
+    return storage.read(spark, t)
+
+
+@register("delete_where_day", _DROPPED_SQL)
+def delete_where_day(spark, sf_dir):
+    # the reference's form: a SQL predicate string comparing the day to text
+    t = _silver(spark, "deletewhere", TAXES)
+    storage.create(spark, t, fx.taxes(spark, sf_dir))
+    for d in DROPPED:
+        storage.delete_where(spark, t, f"data_pagamento = '{d}'")
+    return storage.read(spark, t)
+
+
+# --- T5 ------------------------------------------------------------------------
+@register("replace_day", f"""
+SELECT * FROM ({SILVER_SQL['tributos']}) t
+WHERE data_pagamento BETWEEN DATE '{HALF[0]}' AND DATE '{HALF[1]}'
+UNION ALL
+SELECT * REPLACE (valor_pago + 1 AS valor_pago) FROM ({SILVER_SQL['tributos']}) t
+WHERE NOT (data_pagamento BETWEEN DATE '{HALF[0]}' AND DATE '{HALF[1]}')""")
+def replace_day(spark, sf_dir):
+    t = _silver(spark, "replace", TAXES)
+    true = fx.taxes(spark, sf_dir)
+    storage.create(spark, t, true.withColumn("valor_pago", F.col("valor_pago") + 1))
+    days = day_range(*HALF)
+    storage.replace_days(spark, t, true.filter(F.col("data_pagamento").isin(days)), days)
+    return storage.read(spark, t)
+
+
+@register("replace_day_empty", f"""SELECT * FROM ({SILVER_SQL['tributos']}) t
+WHERE data_pagamento NOT IN (DATE '{EMPTIED[0]}', DATE '{EMPTIED[1]}')""")
+def replace_day_empty(spark, sf_dir):
+    t = _silver(spark, "replaceempty", TAXES)
+    true = fx.taxes(spark, sf_dir)
+    storage.create(spark, t, true)
+    storage.replace_days(spark, t, true.filter(F.lit(False)), EMPTIED)
+    return storage.read(spark, t)
+
+
+# --- T6 ------------------------------------------------------------------------
+NEW_KEY_OFFSET = 10 ** 12
+
+
+@register("upsert_by_key", f"""
+SELECT * FROM ({SILVER_SQL['frete']}) f
+UNION ALL
+SELECT * REPLACE (CAST(CAST(pedido_id AS BIGINT) + {NEW_KEY_OFFSET} AS VARCHAR) AS pedido_id)
+FROM ({SILVER_SQL['frete']}) n""")
+def upsert_by_key(spark, sf_dir):
+    t = _silver(spark, "upsert", FREIGHT)
+    true = fx.freight(spark, sf_dir)
+    storage.create(spark, t, true.withColumn("valor_frete", F.col("valor_frete") + 1))
+    new = true.withColumn("pedido_id", F.col("pedido_id") + NEW_KEY_OFFSET)
+    storage.upsert(spark, t, true.unionByName(new))   # every key updated, as many inserted
+    return storage.read(spark, t)
+
+
+@register("upsert_moves_day", f"""
+SELECT * REPLACE (CAST(data_envio + INTERVAL 1 DAY AS DATE) AS data_envio)
+FROM ({SILVER_SQL['frete']}) f""")
+def upsert_moves_day(spark, sf_dir):
+    t = _silver(spark, "upsertmove", FREIGHT)
+    true = fx.freight(spark, sf_dir)
+    storage.create(spark, t, true)
+    storage.upsert(spark, t, true.withColumn("data_envio", F.date_add("data_envio", 1)))
+    return storage.read(spark, t)
+
+
+# --- F3-F6, A7-A9 over the gold summaries --------------------------------------
+BRANCH_PICK = (1, 5, 7, 12)
+RANGE = ("1996-01-01", "1998-12-31")
+PRODUCT_PICK = 10
+
+
+def _products(spark, sf_dir):
+    return gold.product_summary_tagged(fx.product_lines(spark, sf_dir))
+
+
+@register("report_filter_branches",
+          f"SELECT * FROM ({PRODUCTS_SQL}) p WHERE FilialId IN {BRANCH_PICK}")
+def report_filter_branches(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), branches=BRANCH_PICK)
+
+
+@register("report_filter_dates", f"""SELECT * FROM ({PRODUCTS_SQL}) p
+WHERE CodigoData BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")
+def report_filter_dates(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), lo=RANGE[0], hi=RANGE[1])
+
+
+@register("report_filter_product",
+          f"SELECT * FROM ({PRODUCTS_SQL}) p WHERE ProdutoId = {PRODUCT_PICK}")
+def report_filter_product(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), product=PRODUCT_PICK)
+
+
+@register("report_filter_all_products", PRODUCTS_SQL)
+def report_filter_all_products(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), product="*")
+
+
+@register("report_filter_all", f"""SELECT * FROM ({PRODUCTS_SQL}) p
+WHERE FilialId IN {BRANCH_PICK} AND ProdutoId = {PRODUCT_PICK}
+  AND CodigoData BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")
+def report_filter_all(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), BRANCH_PICK, RANGE[0], RANGE[1],
+                                 PRODUCT_PICK)
+
+
+@register("report_filter_no_branch", f"SELECT * FROM ({PRODUCTS_SQL}) p WHERE FALSE")
+def report_filter_no_branch(spark, sf_dir):
+    return reports.filter_report(_products(spark, sf_dir), branches=[])
+
+
+def _daily_money(sql: str, measure: str) -> str:
+    return f"""SELECT CodigoData, FilialId,
+       CAST(COALESCE(SUM(CAST({measure} AS DECIMAL(18,4))), 0) AS DOUBLE) AS {measure}
+FROM ({sql}) g WHERE CodigoData IS NOT NULL AND FilialId IS NOT NULL GROUP BY 1, 2"""
+
+
+@register("daily_taxes_by_branch", _daily_money(TAXES_SQL, "TotalImpostoPago"))
+def daily_taxes_by_branch(spark, sf_dir):
+    return reports.daily_totals(gold_taxes(spark, sf_dir), "TotalImpostoPago", money=True)
+
+
+@register("daily_freight_by_branch", _daily_money(FREIGHT_SQL, "TotalFretePago"))
+def daily_freight_by_branch(spark, sf_dir):
+    return reports.daily_totals(gold_freight(spark, sf_dir), "TotalFretePago", money=True)
+
+
+@register("daily_quantity_by_branch", f"""SELECT CodigoData, FilialId,
+       CAST(COALESCE(SUM(TotalQuantidadeVendida), 0) AS BIGINT) AS TotalQuantidadeVendida
+FROM ({PRODUCTS_SQL}) g WHERE CodigoData IS NOT NULL AND FilialId IS NOT NULL GROUP BY 1, 2""")
+def daily_quantity_by_branch(spark, sf_dir):
+    return reports.daily_totals(_products(spark, sf_dir), "TotalQuantidadeVendida",
+                                money=False)
+
+
+@register("distinct_branches",
+          f"SELECT DISTINCT FilialId FROM ({TAXES_SQL}) g WHERE FilialId IS NOT NULL")
+def distinct_branches(spark, sf_dir):
+    return reports.distinct_values(gold_taxes(spark, sf_dir), "FilialId")
+
+
+@register("distinct_products",
+          f"SELECT DISTINCT ProdutoId FROM ({PRODUCTS_SQL}) g WHERE ProdutoId IS NOT NULL")
+def distinct_products(spark, sf_dir):
+    return reports.distinct_values(_products(spark, sf_dir), "ProdutoId")
+
+
+@register("distinct_days",
+          f"SELECT DISTINCT CodigoData FROM ({FREIGHT_SQL}) g WHERE CodigoData IS NOT NULL")
+def distinct_days(spark, sf_dir):
+    return reports.distinct_values(gold_freight(spark, sf_dir), "CodigoData")
+
+
+@register("date_bounds", f"""SELECT MIN(CodigoData) AS first_day, MAX(CodigoData) AS last_day
+FROM ({FREIGHT_SQL}) g""")
+def date_bounds(spark, sf_dir):
+    return reports.date_bounds(gold_freight(spark, sf_dir))
+
+
+@register("date_bounds_empty", "SELECT CAST(NULL AS DATE) AS first_day, CAST(NULL AS DATE) AS last_day")
+def date_bounds_empty(spark, sf_dir):
+    return reports.date_bounds(reports.filter_report(gold_freight(spark, sf_dir), branches=[]))
+
+
+# --- A3, A4, A5/A6 alone, J1 in join form, O2 -----------------------------------
+@register("returns_summary", f"""SELECT day AS CodigoData, product AS ProdutoId,
+       branch AS FilialId, CAST(SUM(qty) AS BIGINT) AS TotalDevolvido
+FROM {fx.LINES_SQL} l WHERE flag = 'R' GROUP BY 1, 2, 3""")
+def returns_summary(spark, sf_dir):
+    return gold.returns_summary(fx.returns(spark, sf_dir))
+
+
+@register("stock_summary", f"""SELECT day AS CodigoData, product AS ProdutoId,
+       branch AS FilialId, CAST(SUM(qty) AS BIGINT) AS TotalEmEstoque
+FROM {fx.LINES_SQL} l WHERE flag = 'A' GROUP BY 1, 2, 3""")
+def stock_summary(spark, sf_dir):
+    return gold.stock_summary(fx.stock(spark, sf_dir))
+
+
+@register("sales_summary", f"""SELECT day AS CodigoData, product AS ProdutoId, branch AS FilialId,
+       CAST(SUM(qty) AS BIGINT) AS TotalQuantidadeVendida,
+       {_money('price', 2)} AS TotalValorVendido,
+       CASE WHEN SUM(qty) = 0 THEN NULL ELSE
+         ((2 * CAST(SUM(CAST(price AS DECIMAL(18,2))) * 100 AS BIGINT) + SUM(qty))
+          // (2 * SUM(qty))) / 100.0 END AS TicketMedio
+FROM {fx.LINES_SQL} l WHERE flag = 'N' GROUP BY 1, 2, 3""")
+def sales_summary(spark, sf_dir):
+    return gold.sales_summary(fx.sales(spark, sf_dir))
+
+
+@register("gold_products_by_join", PRODUCTS_SQL)
+def gold_products_by_join(spark, sf_dir):
+    return gold.product_summary_by_join(fx.returns(spark, sf_dir), fx.stock(spark, sf_dir),
+                                        fx.sales(spark, sf_dir))
+
+
+@register("gold_products_preview", f"""SELECT * FROM ({PRODUCTS_SQL}) p
+ORDER BY CodigoData, ProdutoId, FilialId LIMIT 5""")
+def gold_products_preview(spark, sf_dir):
+    return gold.preview(_products(spark, sf_dir), gold.KEYS_PRODUCT, 5)
+
+
+# --- P2, O1, P5 through a lake of silver and gold tables ---------------------------
+def _silver_lake(spark, sf_dir, label, domains) -> pipeline.Lake:
+    lake = _lake(spark, label)
+    for d in domains:
+        storage.create(spark, lake.silver(d), fx.FRAMES[d.name](spark, sf_dir))
+    return lake
+
+
+@register("gold_bootstrap_equals_incremental", _gold_text(PRODUCTS_SQL))
+def gold_bootstrap_equals_incremental(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "goldinc", (RETURNS, STOCK, SALES))
+    days = pipeline.build_gold(spark, lake, PRODUCT_REPORT)         # bootstrap
+    pipeline.build_gold(spark, lake, PRODUCT_REPORT, days=days)     # every day again
+    return storage.read(spark, lake.gold(PRODUCT_REPORT))
+
+
+@register("gold_taxes_sorted", _gold_text(TAXES_SQL))
+def gold_taxes_sorted(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "goldtax", (TAXES,))
+    pipeline.build_gold(spark, lake, TAX_REPORT)
+    return storage.read(spark, lake.gold(TAX_REPORT)).orderBy(*gold.KEYS_TAX)
+
+
+@register("report_products_filtered", f"""SELECT * FROM ({_gold_text(PRODUCTS_SQL)}) p
+WHERE FilialId IN {tuple(str(b) for b in BRANCH_PICK)}
+  AND CodigoData BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")
+def report_products_filtered(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "report", (RETURNS, STOCK, SALES))
+    pipeline.build_gold(spark, lake, PRODUCT_REPORT)
+    return pipeline.report(spark, lake, "products", [str(b) for b in BRANCH_PICK],
+                           RANGE[0], RANGE[1], product="*")
+
+
+@register("report_series_taxes", _daily_money(_gold_text(TAXES_SQL), "TotalImpostoPago"))
+def report_series_taxes(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "series", (TAXES,))
+    pipeline.build_gold(spark, lake, TAX_REPORT)
+    return pipeline.report_series(spark, lake, "taxes")
+
+
+# --- S1, S2, P1, P3, P4 from bronze files derived from the tables ------------------
+def _bronze_lake(spark, sf_dir, label, domains) -> tuple[pipeline.Lake, dict]:
+    lake = _lake(spark, label)
+    days = {d.name: fx.write_bronze(spark, lake.root, d, fx.FRAMES[d.name](spark, sf_dir))
+            for d in domains}
+    return lake, days
+
+
+@register("bronze_scan_day", SILVER_SQL["tributos"])
+def bronze_scan_day(spark, sf_dir):
+    from tillbook.sources import bronze
+    lake, days = _bronze_lake(spark, sf_dir, "bronze", (TAXES,))
+    return bronze.read_days(spark, lake.root, TAXES, days["tributos"])
+
+
+@register("ingest_sales_replace", SILVER_SQL["vendas"])
+def ingest_sales_replace(spark, sf_dir):
+    lake, days = _bronze_lake(spark, sf_dir, "ingestsales", (SALES,))
+    pipeline.ingest(spark, lake, SALES, days["vendas"])     # bootstrap
+    pipeline.ingest(spark, lake, SALES, days["vendas"])     # re-run: replaces every day
+    return storage.read(spark, lake.silver(SALES))
+
+
+@register("ingest_freight_upsert", SILVER_SQL["frete"])
+def ingest_freight_upsert(spark, sf_dir):
+    lake, days = _bronze_lake(spark, sf_dir, "ingestfreight", (FREIGHT,))
+    pipeline.ingest(spark, lake, FREIGHT, days["frete"])    # bootstrap
+    pipeline.ingest(spark, lake, FREIGHT, days["frete"])    # re-run: upsert of every key
+    return storage.read(spark, lake.silver(FREIGHT))
+
+
+@register("backfill_range", _gold_text(TAXES_SQL))
+def backfill_range(spark, sf_dir):
+    lake, days = _bronze_lake(spark, sf_dir, "backfill", (TAXES,))
+    pipeline.backfill(spark, lake, min(days["tributos"]), max(days["tributos"]),
+                      domains=["tributos"])
+    return storage.read(spark, lake.gold(TAX_REPORT))
+
+
+@register("run_day_summary", _gold_text(PRODUCTS_SQL))
+def run_day_summary(spark, sf_dir):
+    doms = (RETURNS, STOCK, SALES)
+    lake, days = _bronze_lake(spark, sf_dir, "runday", doms)
+    for d in doms:                                       # history loaded once
+        pipeline.ingest(spark, lake, d, days[d.name])
+    pipeline.build_gold(spark, lake, PRODUCT_REPORT)
+    common = sorted(set(days["vendas"]) & set(days["estoque"]) & set(days["devolucao"]))
+    out = pipeline.run_day(spark, lake, common[len(common) // 2])   # a re-run of one day
+    assert out["status"]["products"] == "ok", out
+    return storage.read(spark, lake.gold(PRODUCT_REPORT))
+
+
+

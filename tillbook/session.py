@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # listing thousands of day folders: a few tasks, not one per folder
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(2 * int(cores) if str(cores).isdigit() else 16))
         .config("spark.driver.memory", os.environ.get("TILLBOOK_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

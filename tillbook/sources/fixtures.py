@@ -124,3 +124,33 @@ SQL = {
     "tributos": """(SELECT CAST(ts AS DATE) AS data_pagamento, event_type AS tipo_imposto,
         value AS valor_pago, user_id % 24 AS filial_id FROM events)""",
 }
+
+
+def write_bronze(spark: SparkSession, root: str, domain, df: DataFrame) -> list[str]:
+    """Write a domain frame as bronze files, one per day, in one Spark job.
+
+    The frame is written partitioned by a copy of its day (so the day column
+    stays in the file), then each day folder is renamed to the bronze name
+    ``<prefix>_YYYY_MM_DD.csv`` - a folder of part files, which the bronze
+    reader takes like a single file.  Returns the days written.
+    """
+    import uuid
+
+    from tillbook.sources.bronze import bronze_path
+    from tillbook.sources.fs import FS
+
+    tmp = f"{root.rstrip('/')}/_bronze_tmp/{uuid.uuid4().hex}"
+    (df.withColumn("_pday", F.date_format(F.col(domain.day), "yyyy-MM-dd"))
+       .hint("rebalance", "_pday")
+       .write.option("header", True).partitionBy("_pday").csv(tmp))
+    fs = FS(spark, tmp)
+    days = []
+    for name in fs.children(tmp, dirs=True):
+        if name.startswith("_pday="):
+            day = name.split("=", 1)[1]
+            dst = bronze_path(root, domain, day)
+            fs.delete(dst)
+            fs.rename(f"{tmp}/{name}", dst)
+            days.append(day)
+    fs.delete(tmp)
+    return days
