@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Exact per-value decimal: inputs with up to six decimals stay exact.
-MONEY = "decimal(18,6)"
+# Exact per-value decimal: inputs with up to six decimals and |value| < 1e18
+# stay exact (sums widen to decimal(34,6)); larger values raise, never wrap.
+MONEY = "decimal(24,6)"
 _INT = "decimal(38,0)"
 
 
@@ -27,7 +28,7 @@ def exact(c: Column | str) -> Column:
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column: ``decimal(28,6)``; NULL if all NULL."""
+    """Exact sum of a money column: ``decimal(34,6)``; NULL if all NULL."""
     return F.sum(exact(c))
 
 

@@ -48,7 +48,7 @@ FREIGHT_SQL = """
 SELECT DATA_ENVIO     AS CodigoData,
        FILIAL_ID      AS FilialId,
        transportadora AS Transportadora,
-       CAST(ROUND(SUM(CAST(VALOR_FRETE AS DECIMAL(18,6))), 4) AS DOUBLE) AS TotalFretePago
+       CAST(ROUND(SUM(CAST(VALOR_FRETE AS DECIMAL(24,6))), 4) AS DOUBLE) AS TotalFretePago
 FROM {view}
 GROUP BY DATA_ENVIO, FILIAL_ID, transportadora
 """
