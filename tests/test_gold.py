@@ -3,7 +3,9 @@
 from conftest import SF, D
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import money_sum, ratio_half_up, to_double
+import pytest
+
+from tillbook.functions.money import micros, money_sum, to_double, with_ratio
 from tillbook.operators import gold
 from tillbook.schemas import RETURNS, SALES, STOCK
 from tillbook.sources import fixtures as fx
@@ -14,17 +16,22 @@ def _frame(spark, domain, rows):
 
 
 def test_half_cent_tie_rounds_up_exactly(spark):
-    df = spark.createDataFrame([(40136.35, 10), (-40136.35, 10), (1.0, 3), (2.0, 3), (5.0, 0)],
-                               "v double, q long")
-    got = df.select(ratio_half_up(F.col("v").cast("decimal(28,6)"), F.col("q"), 2).alias("r")) \
-        .collect()
-    assert [r.r for r in got] == [4013.64, -4013.64, 0.33, 0.67, None]
+    df = spark.createDataFrame([(1, 40136.35, 10), (2, -40136.35, 10), (3, 1.0, 3), (4, 2.0, 3),
+                                (5, 5.0, 0), (6, 0.125, 1), (7, 2.0, -3)], "i int, v double, q long")
+    got = with_ratio(df.withColumn("m", micros("v")), "m", "q", "r", 2).orderBy("i").collect()
+    assert [r.r for r in got] == [4013.64, -4013.64, 0.33, 0.67, None, 0.13, -0.67]
 
 
 def test_money_sum_is_order_independent(spark):
-    vals = [0.1] * 10 + [1e15, -1e15]
+    vals = [0.1] * 10 + [1e9, -1e9, 123456.78]
     df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(5)
-    assert df.agg(to_double(money_sum("v"), 4).alias("s")).first().s == 1.0
+    assert df.agg(to_double(money_sum("v"), 4).alias("s")).first().s == 123457.78
+
+
+def test_money_out_of_range_raises_not_wraps(spark):
+    df = spark.createDataFrame([(1e15,), (1e15,)], "v double")
+    with pytest.raises(Exception, match="OVERFLOW|overflow|cannot be represented"):
+        df.agg(money_sum("v")).collect()
 
 
 def test_zero_quantity_gives_null_ticket(spark):

@@ -2,19 +2,22 @@
 
 Money arrives as DOUBLE.  Summing doubles makes the result depend on row order
 (different partitioning gives different last digits) and lets half-cent ties
-round either way.  Every value is therefore cast to an exact decimal before
-summing; sums are rounded HALF_UP and handed back as DOUBLE.  All of it is
-built-in expressions inside whole-stage codegen: no Python runs per row.
+round either way.  Each value is therefore turned into an exact integer count
+of micro-units (1e-6) and summed as a LONG - as fast as a double sum inside
+whole-stage codegen, unlike a per-row decimal.  Only the per-group results
+become decimals, for HALF_UP rounding; they are handed back as DOUBLE.
+
+Exact for values with up to six decimals and magnitude below 1e9 (the double's
+own precision bounds anything larger).  A sum beyond 9.2e12 money units per
+group overflows the LONG, which raises under ANSI mode - never a wrong number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Exact per-value decimal: inputs with up to six decimals and |value| < 1e18
-# stay exact (sums widen to decimal(34,6)); larger values raise, never wrap.
-MONEY = "decimal(24,6)"
+SCALE = 10 ** 6
 _INT = "decimal(38,0)"
 
 
@@ -22,39 +25,43 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact(c: Column | str) -> Column:
-    """A money value as an exact decimal (HALF_UP from the double's value)."""
-    return _col(c).cast(MONEY)
+def micros(c: Column | str) -> Column:
+    """A money value as whole micro-units (HALF_UP), LONG."""
+    return F.round(_col(c) * float(SCALE)).cast("long")
 
 
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column: ``decimal(34,6)``; NULL if all NULL."""
-    return F.sum(exact(c))
+    """Exact sum of a money column in micro-units (LONG); NULL if all NULL."""
+    return F.sum(micros(c))
 
 
-def to_double(dec: Column, digits: int) -> Column:
-    """``round(dec, digits)`` HALF_UP, as DOUBLE (nearest double to the decimal)."""
-    return F.round(dec, digits).cast("double")
+def to_double(micro_sum: Column, digits: int) -> Column:
+    """``round(sum, digits)`` HALF_UP, as DOUBLE (nearest double to the decimal)."""
+    exact = micro_sum.cast("decimal(20,0)") / F.lit(SCALE)      # decimal(31,11), exact
+    return F.round(exact, digits).cast("double")
 
 
-def ratio_half_up(num: Column, den: Column, digits: int) -> Column:
-    """``round(num / den, digits)`` HALF_UP (away from zero), computed exactly.
+def with_ratio(df: DataFrame, num: str, den: str, out: str, digits: int) -> DataFrame:
+    """Add ``out = round(num / den, digits)`` HALF_UP (away from zero), exactly.
 
-    ``num`` is an exact decimal with at most six decimals (a ``money_sum``),
-    ``den`` an integral column.  NULL when ``den`` is 0 or NULL, as
-    ``try_divide``.  Spark's decimal division keeps only six decimals once the
-    operands are wide, and rounding that again to ``digits`` can move a value
-    lying just below a half-cent tie; so the quotient is taken as an integer
-    with its exact remainder.  Runs once per group, after the aggregation.
+    ``num`` is a micro-unit sum (LONG), ``den`` an integral column; NULL when
+    ``den`` is 0 or NULL, as ``try_divide``.  Spark's decimal division keeps
+    only six decimals once operands are wide, and rounding that again to
+    ``digits`` could move a value lying just below a half-cent tie; so the
+    quotient is ``floor((2a + b) / 2b)`` in integers, with the approximate
+    division corrected by its exact remainder.  Runs once per group, in its
+    own projections after the aggregation.
     """
-    a = F.abs(num.cast("decimal(38,6)") * F.lit(10 ** (digits + 6))).cast(_INT)
-    b = F.abs(den.cast("decimal(20,0)") * F.lit(10 ** 6)).cast(_INT)
-    b = F.when(b != 0, b)                       # 0 -> NULL, as try_divide
-    g = (a / b).cast("long")                    # within one of the true quotient
-    r = a - g.cast(_INT) * b
-    g = F.when(r < 0, g - 1).when(r >= b, g + 1).otherwise(g)
-    r = a - g.cast(_INT) * b
-    g = F.when(r * 2 >= b, g + 1).otherwise(g)  # half up
-    negative = (num < 0) != (den < 0)
-    signed = F.when(negative & (a != 0), -g).otherwise(g)
-    return signed.cast("double") / F.lit(float(10 ** digits))
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    a = F.abs(F.col(num).cast(_INT)) * F.lit(10 ** digits)
+    b = F.abs(F.col(den).cast(_INT)) * F.lit(SCALE)
+    t = df.select(*keep, (a * 2 + b).cast(_INT).alias("__n2"),
+                  F.when(b != 0, (b * 2).cast(_INT)).alias("__d2"))
+    t = t.select(*keep, "__n2", "__d2",
+                 F.floor(F.col("__n2") / F.col("__d2")).cast(_INT).alias("__q0"))
+    # the rounded division can only overshoot by one
+    q = F.when(F.col("__n2") - F.col("__q0") * F.col("__d2") < 0, F.col("__q0") - 1) \
+        .otherwise(F.col("__q0"))
+    negative = (F.col(num) < 0) != (F.col(den) < 0)
+    signed = F.when(negative, -q).otherwise(q)
+    return t.select(*keep, (signed.cast("double") / F.lit(float(10 ** digits))).alias(out))

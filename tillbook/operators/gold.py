@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import money_sum, ratio_half_up, to_double
+from tillbook.functions.money import money_sum, to_double, with_ratio
 from tillbook.schemas import FREIGHT_REPORT, PRODUCT_REPORT, TAX_REPORT
 
 KEYS_TAX = list(TAX_REPORT.keys)
@@ -48,7 +48,8 @@ FREIGHT_SQL = """
 SELECT DATA_ENVIO     AS CodigoData,
        FILIAL_ID      AS FilialId,
        transportadora AS Transportadora,
-       CAST(ROUND(SUM(CAST(VALOR_FRETE AS DECIMAL(24,6))), 4) AS DOUBLE) AS TotalFretePago
+       CAST(ROUND(CAST(SUM(CAST(ROUND(VALOR_FRETE * 1000000) AS BIGINT)) AS DECIMAL(20,0))
+                  / 1000000, 4) AS DOUBLE) AS TotalFretePago
 FROM {view}
 GROUP BY DATA_ENVIO, FILIAL_ID, transportadora
 """
@@ -80,22 +81,24 @@ def stock_summary(estoque: DataFrame) -> DataFrame:
 
 
 def _sales_measures(qty, price):
-    total = money_sum(price)
-    n = F.sum(qty)
-    return [
-        n.alias("TotalQuantidadeVendida"),
-        to_double(total, 2).alias("TotalValorVendido"),
-        ratio_half_up(total, n, 2).alias("TicketMedio"),     # A6, NULL on 0
-    ]
+    return [F.sum(qty).alias("TotalQuantidadeVendida"), money_sum(price).alias("__v")]
+
+
+def _finish_sales(df: DataFrame) -> DataFrame:
+    """A5/A6 results from the per-group sums (runs once per group)."""
+    cols = [c for c in df.columns if c != "__v"]
+    df = with_ratio(df, "__v", "TotalQuantidadeVendida", "TicketMedio", 2)  # A6, NULL on 0
+    return df.select(*cols, to_double(F.col("__v"), 2).alias("TotalValorVendido"),
+                     "TicketMedio")
 
 
 def sales_summary(vendas: DataFrame) -> DataFrame:
     """A5 + A6: quantity, rounded price sum and average ticket in one pass."""
-    return vendas.groupBy(
+    return _finish_sales(vendas.groupBy(
         F.col("data_venda").alias("CodigoData"),
         F.col("produto_id").alias("ProdutoId"),
         F.col("filial_id").alias("FilialId"),
-    ).agg(*_sales_measures(F.col("quantidade"), F.col("valor_unitario")))
+    ).agg(*_sales_measures(F.col("quantidade"), F.col("valor_unitario"))))
 
 
 # Tagged shape shared by the three product inputs.
@@ -145,6 +148,7 @@ def product_summary_tagged(lines: DataFrame) -> DataFrame:
             F.bool_or(is_n).alias("_n"),
         )
         .filter(F.col("_r") & F.col("_a") & F.col("_n"))
+        .transform(_finish_sales)
         .drop("_r", "_a", "_n")
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.functions.days import as_date
+from tillbook.functions.money import money_sum, to_double
 
 ALL_PRODUCTS = "*"
 
@@ -67,12 +68,10 @@ def daily_totals(df: DataFrame, measure: str, money: bool) -> DataFrame:
     dropped and an all-NULL group sums to 0.  Money is summed exactly at four
     decimals (the gold values' scale) and returned as DOUBLE.
     """
-    value = F.col(measure).cast("decimal(18,4)") if money else F.col(measure)
-    total = F.coalesce(F.sum(value), F.lit(0).cast("decimal(18,4)") if money else F.lit(0))
-    if money:
-        total = total.cast("double")
+    if money:   # exact: the gold values have four decimals
+        total = F.coalesce(to_double(money_sum(measure), 4), F.lit(0.0))
     else:
-        total = total.cast("long")
+        total = F.coalesce(F.sum(measure), F.lit(0)).cast("long")
     return (df.filter(F.col("CodigoData").isNotNull() & F.col("FilialId").isNotNull())
             .groupBy("CodigoData", "FilialId").agg(total.alias(measure)))
 

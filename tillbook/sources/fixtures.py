@@ -21,8 +21,19 @@ BRANCHES = 24   # tax branch = user_id % 24
 # --- end of fixed values ----------------------------------------------------
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  Its schema is read from the footers once per process
+    and then declared, so later reads start no schema-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +51,7 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
         .select(
-            F.to_date(F.date_trunc("month", "l_shipdate")).alias("day"),
+            F.trunc(F.to_date("l_shipdate"), "month").alias("day"),
             F.col("p_size").alias("product"),
             F.col("s_nationkey").alias("branch"),
             F.col("l_returnflag").alias("flag"),
