@@ -1 +1,6 @@
-"""tillbook package."""
+"""No streaming operators.
+
+The reference is a daily batch pipeline (SURVEY section 2.10): no stream
+sources, watermarks, windows or state.  Its schedule is expressed as batch jobs
+in ``tillbook.plans.pipeline`` (``run_day``, ``backfill``).
+"""
