@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,12 +114,42 @@ def _day_dir(table: Table, day) -> str:
     return f"{table.path}/{table.day}={day_str(day)}"
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL options for one action, then restore the caller's values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Writing by day: ``rebalance(day)`` sends each day to one task and AQE splits a
+# day bigger than the advisory size into several, so files per day stay
+# minimal.  Merging small partitions would save no file - only put many days'
+# files into one serial task - so it is switched off for the write.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
+                 **options) -> None:
+    """One Spark job writing ``df`` partitioned by ``day`` to ``path``."""
+    w = (df.hint("rebalance", day).sortWithinPartitions(*keys)
+         .write.mode("overwrite").partitionBy(day).options(**options))
+    with session_conf(df.sparkSession, WRITE_CONF):
+        w.format(fmt).save(path)
+
+
 def _stage(spark: SparkSession, table: Table, df: DataFrame) -> tuple[str, list[str]]:
     """Write rows to a new staging run; return (run folder, days with rows)."""
     run = f"{table.path}/{STAGING}/{uuid.uuid4().hex}"
-    keys = [table.day, *table.sort]
-    (df.hint("rebalance", table.day).sortWithinPartitions(*keys)
-       .write.mode("overwrite").partitionBy(table.day).parquet(f"{run}/data"))
+    write_by_day(df, table.day, [table.day, *table.sort], f"{run}/data")
     fs = FS(spark, run)
     prefix = f"{table.day}="
     days = [n[len(prefix):] for n in fs.children(f"{run}/data", dirs=True)

@@ -151,9 +151,9 @@ def write_bronze(spark: SparkSession, root: str, domain, df: DataFrame) -> list[
     from tillbook.sources.fs import FS
 
     tmp = f"{root.rstrip('/')}/_bronze_tmp/{uuid.uuid4().hex}"
-    (df.withColumn("_pday", F.date_format(F.col(domain.day), "yyyy-MM-dd"))
-       .hint("rebalance", "_pday")
-       .write.option("header", True).partitionBy("_pday").csv(tmp))
+    from tillbook.operators.storage import write_by_day
+    write_by_day(df.withColumn("_pday", F.date_format(F.col(domain.day), "yyyy-MM-dd")),
+                 "_pday", ["_pday"], tmp, fmt="csv", header=True)
     fs = FS(spark, tmp)
     days = []
     for name in fs.children(tmp, dirs=True):
