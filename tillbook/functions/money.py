@@ -10,6 +10,9 @@ become decimals, for HALF_UP rounding; they are handed back as DOUBLE.
 Exact for values with up to six decimals and magnitude below 1e9 (the double's
 own precision bounds anything larger).  A sum beyond 9.2e12 money units per
 group overflows the LONG, which raises under ANSI mode - never a wrong number.
+
+The building blocks are SQL expression text (one round trip to the JVM per
+expression, parsed there); ``Column`` wrappers are kept for callers.
 """
 
 from __future__ import annotations
@@ -18,16 +21,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCALE = 10 ** 6
-_INT = "decimal(38,0)"
 
 
+# --- SQL text ---------------------------------------------------------------------
+def micros_sql(e: str) -> str:
+    """A money expression as whole micro-units (HALF_UP), LONG."""
+    return f"CAST(ROUND(({e}) * {float(SCALE)}D) AS BIGINT)"
+
+
+def money_sum_sql(e: str) -> str:
+    """Exact sum in micro-units (LONG); NULL if all NULL."""
+    return f"SUM({micros_sql(e)})"
+
+
+def to_double_sql(micro_sum: str, digits: int) -> str:
+    """``round(sum, digits)`` HALF_UP as DOUBLE; the division by 1e6 is exact."""
+    return f"CAST(ROUND(CAST({micro_sum} AS DECIMAL(20,0)) / {SCALE}, {digits}) AS DOUBLE)"
+
+
+def rounded_sum_sql(e: str, digits: int) -> str:
+    """``round(sum(e), digits)`` summed exactly, as DOUBLE."""
+    return to_double_sql(money_sum_sql(e), digits)
+
+
+# --- Column wrappers ----------------------------------------------------------------
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def micros(c: Column | str) -> Column:
-    """A money value as whole micro-units (HALF_UP), LONG."""
-    return F.round(_col(c) * float(SCALE)).cast("long")
+    if isinstance(c, str):
+        return F.expr(micros_sql(f"`{c}`"))
+    return F.round(c * float(SCALE)).cast("long")
 
 
 def money_sum(c: Column | str) -> Column:
@@ -41,7 +66,9 @@ def to_double(micro_sum: Column, digits: int) -> Column:
     return F.round(exact, digits).cast("double")
 
 
-def with_ratio(df: DataFrame, num: str, den: str, out: str, digits: int) -> DataFrame:
+# --- exact ratio ---------------------------------------------------------------------
+def with_ratio(df: DataFrame, num: str, den: str, out: str, digits: int,
+               keep: list[str] | None = None) -> DataFrame:
     """Add ``out = round(num / den, digits)`` HALF_UP (away from zero), exactly.
 
     ``num`` is a micro-unit sum (LONG), ``den`` an integral column; NULL when
@@ -50,18 +77,21 @@ def with_ratio(df: DataFrame, num: str, den: str, out: str, digits: int) -> Data
     ``digits`` could move a value lying just below a half-cent tie; so the
     quotient is ``floor((2a + b) / 2b)`` in integers, with the approximate
     division corrected by its exact remainder.  Runs once per group, in its
-    own projections after the aggregation.
+    own projections after the aggregation.  ``keep``: columns to carry along
+    (default all).
     """
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    a = F.abs(F.col(num).cast(_INT)) * F.lit(10 ** digits)
-    b = F.abs(F.col(den).cast(_INT)) * F.lit(SCALE)
-    t = df.select(*keep, (a * 2 + b).cast(_INT).alias("__n2"),
-                  F.when(b != 0, (b * 2).cast(_INT)).alias("__d2"))
-    t = t.select(*keep, "__n2", "__d2",
-                 F.floor(F.col("__n2") / F.col("__d2")).cast(_INT).alias("__q0"))
+    keep = [f"`{c}`" for c in (keep if keep is not None else df.columns)]
+    a = f"abs(CAST(`{num}` AS DECIMAL(38,0))) * {10 ** digits}"
+    b = f"abs(CAST(`{den}` AS DECIMAL(38,0))) * {SCALE}"
+    t = df.selectExpr(
+        *keep, f"`{num}` AS __num", f"`{den}` AS __den",
+        f"CAST(({a}) * 2 + ({b}) AS DECIMAL(38,0)) AS __n2",
+        f"CASE WHEN ({b}) <> 0 THEN CAST(({b}) * 2 AS DECIMAL(38,0)) END AS __d2")
+    t = t.selectExpr(*keep, "__num", "__den", "__n2", "__d2",
+                     "CAST(floor(__n2 / __d2) AS DECIMAL(38,0)) AS __q0")
     # the rounded division can only overshoot by one
-    q = F.when(F.col("__n2") - F.col("__q0") * F.col("__d2") < 0, F.col("__q0") - 1) \
-        .otherwise(F.col("__q0"))
-    negative = (F.col(num) < 0) != (F.col(den) < 0)
-    signed = F.when(negative, -q).otherwise(q)
-    return t.select(*keep, (signed.cast("double") / F.lit(float(10 ** digits))).alias(out))
+    q = "(CASE WHEN __n2 - __q0 * __d2 < 0 THEN __q0 - 1 ELSE __q0 END)"
+    return t.selectExpr(
+        *keep,
+        f"CAST(CASE WHEN (__num < 0) <> (__den < 0) THEN -{q} ELSE {q} END AS DOUBLE)"
+        f" / {float(10 ** digits)} AS `{out}`")

@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import money_sum, to_double, with_ratio
+from tillbook.functions.money import (money_sum_sql, rounded_sum_sql, to_double_sql,
+                                      with_ratio)
 from tillbook.schemas import FREIGHT_REPORT, PRODUCT_REPORT, TAX_REPORT
 
 KEYS_TAX = list(TAX_REPORT.keys)
@@ -26,102 +27,95 @@ KEYS_FREIGHT = list(FREIGHT_REPORT.keys)
 KEYS_PRODUCT = list(PRODUCT_REPORT.keys)
 
 
+def _by(df: DataFrame, keys: list[tuple[str, str]], aggs: list[str]) -> DataFrame:
+    """``groupBy`` renamed keys, aggregates given as SQL expression text."""
+    return df.groupBy(*[F.expr(f"`{src}` AS {dst}") for src, dst in keys]) \
+        .agg(*[F.expr(a) for a in aggs])
+
+
 def tax_summary(tributos: DataFrame) -> DataFrame:
     """A1: ``round(sum(valor_pago), 4)`` by day, branch, tax type."""
-    return tributos.groupBy(
-        F.col("data_pagamento").alias("CodigoData"),
-        F.col("filial_id").alias("FilialId"),
-        F.col("tipo_imposto").alias("TipoImposto"),
-    ).agg(to_double(money_sum("valor_pago"), 4).alias("TotalImpostoPago"))
+    return _by(tributos, [("data_pagamento", "CodigoData"), ("filial_id", "FilialId"),
+                          ("tipo_imposto", "TipoImposto")],
+               [f"{rounded_sum_sql('valor_pago', 4)} AS TotalImpostoPago"])
 
 
 def freight_summary(frete: DataFrame) -> DataFrame:
     """A2: ``round(sum(valor_frete), 4)`` by day, branch, carrier."""
-    return frete.groupBy(
-        F.col("data_envio").alias("CodigoData"),
-        F.col("filial_id").alias("FilialId"),
-        F.col("transportadora").alias("Transportadora"),
-    ).agg(to_double(money_sum("valor_frete"), 4).alias("TotalFretePago"))
+    return _by(frete, [("data_envio", "CodigoData"), ("filial_id", "FilialId"),
+                       ("transportadora", "Transportadora")],
+               [f"{rounded_sum_sql('valor_frete', 4)} AS TotalFretePago"])
 
 
-FREIGHT_SQL = """
+# The reference's freight job is SQL text; identifiers match case-insensitively.
+FREIGHT_SQL = f"""
 SELECT DATA_ENVIO     AS CodigoData,
        FILIAL_ID      AS FilialId,
        transportadora AS Transportadora,
-       CAST(ROUND(CAST(SUM(CAST(ROUND(VALOR_FRETE * 1000000) AS BIGINT)) AS DECIMAL(20,0))
-                  / 1000000, 4) AS DOUBLE) AS TotalFretePago
-FROM {view}
+       {rounded_sum_sql('VALOR_FRETE', 4)} AS TotalFretePago
+FROM {{view}}
 GROUP BY DATA_ENVIO, FILIAL_ID, transportadora
 """
 
 
 def freight_summary_sql(spark: SparkSession, frete: DataFrame,
                         view: str = "fretes") -> DataFrame:
-    """S5 + A2 in SQL text over a temp view (identifiers are case-insensitive)."""
+    """S5 + A2 in SQL text over a temp view."""
     frete.createOrReplaceTempView(view)
     return spark.sql(FREIGHT_SQL.format(view=view))
 
 
 def returns_summary(devolucao: DataFrame) -> DataFrame:
     """A3: ``sum(quantidade)`` by day, product, branch."""
-    return devolucao.groupBy(
-        F.col("data_devolucao").alias("CodigoData"),
-        F.col("produto_id").alias("ProdutoId"),
-        F.col("filial_id").alias("FilialId"),
-    ).agg(F.sum("quantidade").alias("TotalDevolvido"))
+    return _by(devolucao, [("data_devolucao", "CodigoData"), ("produto_id", "ProdutoId"),
+                           ("filial_id", "FilialId")],
+               ["sum(quantidade) AS TotalDevolvido"])
 
 
 def stock_summary(estoque: DataFrame) -> DataFrame:
     """A4: ``sum(quantidade_disponivel)`` by day, product, branch."""
-    return estoque.groupBy(
-        F.col("data_referencia").alias("CodigoData"),
-        F.col("produto_id").alias("ProdutoId"),
-        F.col("filial_id").alias("FilialId"),
-    ).agg(F.sum("quantidade_disponivel").alias("TotalEmEstoque"))
+    return _by(estoque, [("data_referencia", "CodigoData"), ("produto_id", "ProdutoId"),
+                         ("filial_id", "FilialId")],
+               ["sum(quantidade_disponivel) AS TotalEmEstoque"])
 
 
-def _sales_measures(qty, price):
-    return [F.sum(qty).alias("TotalQuantidadeVendida"), money_sum(price).alias("__v")]
+def _sales_measures(qty: str, price: str) -> list[str]:
+    return [f"sum({qty}) AS TotalQuantidadeVendida", f"{money_sum_sql(price)} AS __v"]
 
 
-def _finish_sales(df: DataFrame) -> DataFrame:
+def _finish_sales(df: DataFrame, keep: list[str]) -> DataFrame:
     """A5/A6 results from the per-group sums (runs once per group)."""
-    cols = [c for c in df.columns if c != "__v"]
-    df = with_ratio(df, "__v", "TotalQuantidadeVendida", "TicketMedio", 2)  # A6, NULL on 0
-    return df.select(*cols, to_double(F.col("__v"), 2).alias("TotalValorVendido"),
-                     "TicketMedio")
+    df = with_ratio(df, "__v", "TotalQuantidadeVendida", "__t", 2,
+                    keep=[*keep, "__v"])                           # A6, NULL on 0
+    return df.selectExpr(*keep, f"{to_double_sql('__v', 2)} AS TotalValorVendido",
+                         "__t AS TicketMedio")
 
 
 def sales_summary(vendas: DataFrame) -> DataFrame:
     """A5 + A6: quantity, rounded price sum and average ticket in one pass."""
-    return _finish_sales(vendas.groupBy(
-        F.col("data_venda").alias("CodigoData"),
-        F.col("produto_id").alias("ProdutoId"),
-        F.col("filial_id").alias("FilialId"),
-    ).agg(*_sales_measures(F.col("quantidade"), F.col("valor_unitario"))))
+    df = _by(vendas, [("data_venda", "CodigoData"), ("produto_id", "ProdutoId"),
+                      ("filial_id", "FilialId")],
+             _sales_measures("quantidade", "valor_unitario"))
+    return _finish_sales(df, [*KEYS_PRODUCT, "TotalQuantidadeVendida"])
 
 
 # Tagged shape shared by the three product inputs.
 def tag_returns(devolucao: DataFrame) -> DataFrame:
-    return devolucao.select(
-        F.col("data_devolucao").alias("day"), F.col("produto_id").alias("product"),
-        F.col("filial_id").alias("branch"), F.lit("R").alias("flag"),
-        F.col("quantidade").alias("qty"), F.lit(None).cast("double").alias("price"))
+    return devolucao.selectExpr(
+        "data_devolucao AS day", "produto_id AS product", "filial_id AS branch",
+        "'R' AS flag", "quantidade AS qty", "CAST(NULL AS DOUBLE) AS price")
 
 
 def tag_stock(estoque: DataFrame) -> DataFrame:
-    return estoque.select(
-        F.col("data_referencia").alias("day"), F.col("produto_id").alias("product"),
-        F.col("filial_id").alias("branch"), F.lit("A").alias("flag"),
-        F.col("quantidade_disponivel").alias("qty"),
-        F.lit(None).cast("double").alias("price"))
+    return estoque.selectExpr(
+        "data_referencia AS day", "produto_id AS product", "filial_id AS branch",
+        "'A' AS flag", "quantidade_disponivel AS qty", "CAST(NULL AS DOUBLE) AS price")
 
 
 def tag_sales(vendas: DataFrame) -> DataFrame:
-    return vendas.select(
-        F.col("data_venda").alias("day"), F.col("produto_id").alias("product"),
-        F.col("filial_id").alias("branch"), F.lit("N").alias("flag"),
-        F.col("quantidade").alias("qty"), F.col("valor_unitario").alias("price"))
+    return vendas.selectExpr(
+        "data_venda AS day", "produto_id AS product", "filial_id AS branch",
+        "'N' AS flag", "quantidade AS qty", "valor_unitario AS price")
 
 
 def product_summary_tagged(lines: DataFrame) -> DataFrame:
@@ -129,28 +123,19 @@ def product_summary_tagged(lines: DataFrame) -> DataFrame:
 
     flag R = returns, A = stock, N = sales.  A key is kept only when all three
     flags occur for it and no key part is NULL - the rows the reference's
-    ``returns ⋈ stock ⋈ sales`` inner join on the three keys keeps.
+    ``returns ⋈ stock ⋈ sales`` inner join on the three keys keeps.  Catalyst
+    pushes the NULL-key test below the aggregation, to the scan.
     """
-    is_r, is_a, is_n = (F.col("flag") == "R"), (F.col("flag") == "A"), (F.col("flag") == "N")
-    sold_qty = F.when(is_n, F.col("qty"))
-    sold_price = F.when(is_n, F.col("price"))
-    return (
-        lines.filter(F.col("day").isNotNull() & F.col("product").isNotNull()
-                     & F.col("branch").isNotNull()
-                     & F.col("flag").isin("R", "A", "N"))
-        .groupBy(F.col("day").alias("CodigoData"), F.col("product").alias("ProdutoId"),
-                 F.col("branch").alias("FilialId"))
-        .agg(
-            F.sum(F.when(is_r, F.col("qty"))).alias("TotalDevolvido"),
-            F.sum(F.when(is_a, F.col("qty"))).alias("TotalEmEstoque"),
-            *_sales_measures(sold_qty, sold_price),
-            F.bool_or(is_r).alias("_r"), F.bool_or(is_a).alias("_a"),
-            F.bool_or(is_n).alias("_n"),
-        )
-        .filter(F.col("_r") & F.col("_a") & F.col("_n"))
-        .transform(_finish_sales)
-        .drop("_r", "_a", "_n")
-    )
+    df = _by(lines, [("day", "CodigoData"), ("product", "ProdutoId"), ("branch", "FilialId")], [
+        "sum(CASE WHEN flag = 'R' THEN qty END) AS TotalDevolvido",
+        "sum(CASE WHEN flag = 'A' THEN qty END) AS TotalEmEstoque",
+        *_sales_measures("CASE WHEN flag = 'N' THEN qty END",
+                         "CASE WHEN flag = 'N' THEN price END"),
+        "bool_or(flag = 'R') AND bool_or(flag = 'A') AND bool_or(flag = 'N') AS __all",
+    ]).where("__all AND CodigoData IS NOT NULL AND ProdutoId IS NOT NULL"
+             " AND FilialId IS NOT NULL")
+    return _finish_sales(df, [*KEYS_PRODUCT, "TotalDevolvido", "TotalEmEstoque",
+                              "TotalQuantidadeVendida"])
 
 
 def product_summary(devolucao: DataFrame, estoque: DataFrame,

@@ -43,70 +43,55 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales (N), stock (A) and returns (R) domains.  Day = month of ship date.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_returnflag", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+        "l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice",
+        "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (
-        li.join(part, li.l_partkey == part.p_partkey)
-        .join(supp, li.l_suppkey == supp.s_suppkey)
-        .select(
-            F.trunc(F.to_date("l_shipdate"), "month").alias("day"),
-            F.col("p_size").alias("product"),
-            F.col("s_nationkey").alias("branch"),
-            F.col("l_returnflag").alias("flag"),
-            F.col("l_quantity").cast("int").alias("qty"),
-            F.col("l_extendedprice").alias("price"),
-        )
-    )
+    return (li.join(part, F.expr("l_partkey = p_partkey"))
+            .join(supp, F.expr("l_suppkey = s_suppkey"))
+            .selectExpr("trunc(to_date(l_shipdate), 'month') AS day", "p_size AS product",
+                        "s_nationkey AS branch", "l_returnflag AS flag",
+                        "CAST(l_quantity AS INT) AS qty", "l_extendedprice AS price"))
 
 
 def _lines(spark, sf_dir, flag):
-    return product_lines(spark, sf_dir).filter(F.col("flag") == flag)
+    return product_lines(spark, sf_dir).where(f"flag = '{flag}'")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, SALE_FLAG).select(
-        F.col("day").alias("data_venda"), F.col("product").alias("produto_id"),
-        F.col("branch").alias("filial_id"), F.col("qty").alias("quantidade"),
-        F.col("price").alias("valor_unitario"))
+    return _lines(spark, sf_dir, SALE_FLAG).selectExpr(
+        "day AS data_venda", "product AS produto_id", "branch AS filial_id",
+        "qty AS quantidade", "price AS valor_unitario")
 
 
 def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir, STOCK_FLAG).select(
-        F.col("product").alias("produto_id"), F.col("branch").alias("filial_id"),
-        F.col("qty").alias("quantidade_disponivel"),
-        F.col("day").alias("data_referencia"))
+    return _lines(spark, sf_dir, STOCK_FLAG).selectExpr(
+        "product AS produto_id", "branch AS filial_id", "qty AS quantidade_disponivel",
+        "day AS data_referencia")
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No unique order id exists for a returned line, so pedido_id is NULL and
     # this domain is never used for upsert tests.
-    return _lines(spark, sf_dir, RETURN_FLAG).select(
-        F.lit(None).cast("string").alias("pedido_id"),
-        F.col("product").alias("produto_id"), F.col("qty").alias("quantidade"),
-        F.lit(None).cast("string").alias("motivo"),
-        F.col("day").alias("data_devolucao"), F.col("branch").alias("filial_id"))
+    return _lines(spark, sf_dir, RETURN_FLAG).selectExpr(
+        "CAST(NULL AS STRING) AS pedido_id", "product AS produto_id", "qty AS quantidade",
+        "CAST(NULL AS STRING) AS motivo", "day AS data_devolucao", "branch AS filial_id")
 
 
 def freight(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("o_orderkey").alias("pedido_id"),
-        F.col("o_totalprice").alias("valor_frete"),
-        F.to_date("o_orderdate").alias("data_envio"),
-        F.col("o_orderpriority").alias("transportadora"),
-        F.col("c_nationkey").alias("filial_id"))
+    return o.join(c, F.expr("o_custkey = c_custkey")).selectExpr(
+        "o_orderkey AS pedido_id", "o_totalprice AS valor_frete",
+        "to_date(o_orderdate) AS data_envio", "o_orderpriority AS transportadora",
+        "c_nationkey AS filial_id")
 
 
 def taxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("data_pagamento"),
-        F.col("event_type").alias("tipo_imposto"),
-        F.col("value").alias("valor_pago"),
-        (F.col("user_id") % BRANCHES).alias("filial_id"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "to_date(ts) AS data_pagamento", "event_type AS tipo_imposto",
+        "value AS valor_pago", f"user_id % {BRANCHES} AS filial_id")
 
 
 FRAMES = {
