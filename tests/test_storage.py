@@ -159,3 +159,20 @@ def test_write_dispatch(spark, scratch):
     storage.write(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))      # bootstrap
     storage.write(spark, t, frame(spark, [("1", 2.0, "2024-01-01")]))      # upsert
     assert rows(spark, t) == [("1", 2.0, "2024-01-01")]
+
+
+def test_malformed_day_is_rejected_before_any_job(spark, scratch):
+    from tillbook.functions.days import as_date, day_range
+    with pytest.raises(ValueError, match="YYYY-MM-DD"):
+        as_date("2024-13-01")
+    with pytest.raises(ValueError, match="YYYY-MM-DD"):
+        storage.read(spark, table(scratch), days=["01/02/2024"])
+    assert [str(d) for d in day_range("2024-02-28", "2024-03-01")] == \
+        ["2024-02-28", "2024-02-29", "2024-03-01"]
+
+
+def test_write_conf_is_restored(spark, scratch):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key, None)
+    storage.create(spark, table(scratch), frame(spark, [("1", 1.0, "2024-01-01")]))
+    assert spark.conf.get(key, None) == before
