@@ -1 +1 @@
-"""tillbook package."""
+"""tillbook: daily retail finance reports (bronze CSV -> silver -> gold) on Spark."""

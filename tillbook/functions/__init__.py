@@ -1 +1 @@
-"""tillbook package."""
+"""Column-level helpers: exact money, days."""

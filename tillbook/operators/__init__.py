@@ -1 +1 @@
-"""tillbook package."""
+"""Table operators, gold summaries and report queries."""

@@ -159,22 +159,6 @@ def product_summary_by_join(devolucao: DataFrame, estoque: DataFrame,
             .join(sales_summary(vendas), keys, "inner"))
 
 
-SUMMARIES = {
-    TAX_REPORT.name: tax_summary,
-    FREIGHT_REPORT.name: freight_summary,
-}
-
-
-def for_write(df: DataFrame, keys: list[str]) -> DataFrame:
-    """O1: the key order the reference sorts by, as file layout.
-
-    ``rebalance`` on the day lets AQE split a hot day over several tasks and
-    merge small ones, and the per-task sort orders rows (and Parquet row-group
-    statistics) by key; no global range shuffle.
-    """
-    return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
-
-
 def preview(df: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     """O2: first ``n`` rows in key order (top-n per task, no full sort)."""
     return df.orderBy(*keys).limit(n)

@@ -1 +1 @@
-"""tillbook package."""
+"""Jobs a user calls, and the registered queries."""

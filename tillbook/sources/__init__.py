@@ -1 +1 @@
-"""tillbook package."""
+"""Bronze scans, driver-table fixtures and file-system metadata calls."""
