@@ -25,8 +25,13 @@ SCALE = 10 ** 6
 
 # --- SQL text ---------------------------------------------------------------------
 def micros_sql(e: str) -> str:
-    """A money expression as whole micro-units (HALF_UP), LONG."""
-    return f"CAST(ROUND(({e}) * {float(SCALE)}D) AS BIGINT)"
+    """A money expression as whole micro-units (HALF_UP), LONG.
+
+    ``x * 1e6 ± 0.5`` truncated toward zero is HALF_UP away from zero; for
+    in-range values the product lies next to an integer, never near a tie.
+    Plain double arithmetic - ``ROUND`` on a double builds a BigDecimal per row.
+    """
+    return f"CAST(({e}) * {float(SCALE)}D + signum({e}) * 0.5D AS BIGINT)"
 
 
 def money_sum_sql(e: str) -> str:
@@ -52,7 +57,7 @@ def _col(c: Column | str) -> Column:
 def micros(c: Column | str) -> Column:
     if isinstance(c, str):
         return F.expr(micros_sql(f"`{c}`"))
-    return F.round(c * float(SCALE)).cast("long")
+    return (c * float(SCALE) + F.signum(c) * 0.5).cast("long")
 
 
 def money_sum(c: Column | str) -> Column:
