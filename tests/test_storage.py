@@ -172,7 +172,6 @@ def test_malformed_day_is_rejected_before_any_job(spark, scratch):
 
 
 def test_write_conf_is_restored(spark, scratch):
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key, None)
+    before = {k: spark.conf.get(k, None) for k in storage.WRITE_CONF}
     storage.create(spark, table(scratch), frame(spark, [("1", 1.0, "2024-01-01")]))
-    assert spark.conf.get(key, None) == before
+    assert {k: spark.conf.get(k, None) for k in storage.WRITE_CONF} == before

@@ -132,9 +132,14 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
 
 # Writing by day: ``rebalance(day)`` sends each day to one task and AQE splits a
 # day bigger than the advisory size into several, so files per day stay
-# minimal.  Merging small partitions would save no file - only put many days'
-# files into one serial task - so it is switched off for the write.
-WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+# minimal.  AQE then merges small partitions up to min(total / parallelism,
+# advisory size) - but never below its minimum partition size (1 MB), which
+# would put every day of a small multi-day write into one serial task that
+# opens thousands of files.  For the write only, that floor is dropped: empty
+# partitions still merge away on a big cluster, and small days spread over the
+# cores.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+              "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
 
 
 def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
