@@ -120,3 +120,25 @@ def test_spark_written_folder_reads_like_a_file(spark, scratch):
     assert os.path.isdir(_path(scratch, TAXES, "2024-01-02"))
     back = bronze.read_days(spark, scratch, TAXES, days)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_new_bronze_column_is_kept_and_old_days_read_null(spark, scratch):
+    lake = Lake(scratch)
+    write_csv(_path(scratch, TAXES, "2024-01-01"),
+              "data_pagamento,tipo_imposto,valor_pago,filial_id\n2024-01-01,ICMS,1.5,SP01\n")
+    write_csv(_path(scratch, TAXES, "2024-01-02"),
+              "data_pagamento,tipo_imposto,valor_pago,filial_id,canal\n2024-01-02,ISS,2.5,SP02,web\n")
+    ingest(spark, lake, TAXES, ["2024-01-01"])
+    ingest(spark, lake, TAXES, ["2024-01-02"])
+    got = sorted((str(r.data_pagamento), r.canal)
+                 for r in storage.read(spark, lake.silver(TAXES), evolved=True).collect())
+    assert got == [("2024-01-01", None), ("2024-01-02", "web")]
+    # the declared view is unchanged
+    assert storage.read(spark, lake.silver(TAXES)).columns == TAXES.columns
+
+
+def test_missing_bronze_column_reads_null(spark, scratch):
+    write_csv(_path(scratch, TAXES, "2024-01-01"),
+              "data_pagamento,valor_pago,filial_id\n2024-01-01,1.5,SP01\n")
+    r = bronze.read_day(spark, scratch, TAXES, "2024-01-01").first()
+    assert r.tipo_imposto is None and r.valor_pago == 1.5
