@@ -86,3 +86,22 @@ def test_upsert_moves_day_refreshes_both_gold_days(spark, scratch):
     got = sorted((str(r.CodigoData), r.TotalFretePago)
                  for r in storage.read(spark, lake.gold(pipeline.FREIGHT_REPORT)).collect())
     assert got == [("2024-01-01", 5.0), ("2024-01-02", 10.0)]
+
+
+def test_report_choices_over_stored_gold(spark, scratch):
+    lake = Lake(scratch)
+    storage.create(spark, lake.silver(TAXES), fx.taxes(spark, SF))
+    pipeline.build_gold(spark, lake, "taxes")
+    ch = pipeline.report_choices(spark, lake, "taxes")
+    assert "products" not in ch
+    branches = [r[0] for r in ch["branches"].collect()]
+    expected = fx.taxes(spark, SF).select("filial_id").distinct().count()
+    assert branches == sorted(branches) and len(branches) == expected
+    lo, hi = ch["bounds"].first()
+    days = [r[0] for r in ch["days"].collect()]
+    assert (lo, hi) == (days[0], days[-1])
+    # an empty report: (NULL, NULL) bounds and no branches
+    storage.delete_days(spark, lake.gold(TAX_REPORT), days)
+    empty = pipeline.report_choices(spark, lake, "taxes")
+    assert tuple(empty["bounds"].first()) == (None, None)
+    assert empty["branches"].count() == 0

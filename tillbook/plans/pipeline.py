@@ -179,3 +179,16 @@ def report_series(spark: SparkSession, lake: Lake, name: str, branches=None, lo=
     measure, money = MEASURE[_report(name).name]
     return reports.daily_totals(report(spark, lake, name, branches, lo, hi, product),
                                 measure, money)
+
+
+def report_choices(spark: SparkSession, lake: Lake, name: str) -> dict[str, DataFrame]:
+    """P5: what a report can be filtered by - branches, products (product report
+    only), days, and the default range (first and last day) - as lazy frames
+    over the stored gold table (A8, A9)."""
+    df = storage.read(spark, lake.gold(_report(name)))
+    out = {"branches": reports.distinct_values(df, "FilialId"),
+           "days": reports.distinct_values(df, "CodigoData"),
+           "bounds": reports.date_bounds(df)}
+    if _report(name) is PRODUCT_REPORT:
+        out["products"] = reports.distinct_values(df, "ProdutoId")
+    return out
