@@ -12,7 +12,13 @@ from tillbook.session import local_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or list(E.queries())
-spark = local_session(8)
+if os.environ.get("TILLBOOK_PLAIN_SESSION"):       # a session as the driver builds it
+    from pyspark.sql import SparkSession
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = local_session(8)
 qs, sql = E.queries(), E.oracle_sql()
 bad = 0
 for n in names:

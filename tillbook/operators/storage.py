@@ -62,6 +62,14 @@ def read(spark: SparkSession, table: Table, days=None, evolved: bool = False) ->
     file schemas; declared columns keep their declared types and order.
     """
     recover(spark, table)
+    with session_conf(spark, list_conf(spark)):   # file listing happens here, eagerly
+        df = _scan(spark, table, days, evolved)
+    if days is not None:
+        df = df.filter(F.col(table.day).isin([as_date(d) for d in days]))
+    return df
+
+
+def _scan(spark: SparkSession, table: Table, days, evolved: bool) -> DataFrame:
     if evolved:
         try:
             df = spark.read.option("mergeSchema", "true").parquet(table.path)
@@ -84,8 +92,6 @@ def read(spark: SparkSession, table: Table, days=None, evolved: bool = False) ->
               reader.parquet(table.path).filter(F.lit(False))).select(*table.columns)
     else:
         df = spark.read.schema(table.schema).parquet(table.path).select(*table.columns)
-    if days is not None:
-        df = df.filter(F.col(table.day).isin([as_date(d) for d in days]))
     return df
 
 
@@ -142,6 +148,13 @@ WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
 
 
+def list_conf(spark: SparkSession) -> dict[str, str]:
+    """Listing a table's day folders: at most one task per core, not one per
+    folder (Spark's default allows 10,000 tasks for thousands of tiny days)."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism":
+            str(max(1, spark.sparkContext.defaultParallelism))}
+
+
 def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
                  **options) -> None:
     """One Spark job writing ``df`` partitioned by ``day`` to ``path``."""

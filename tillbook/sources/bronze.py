@@ -64,9 +64,11 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
     for p in paths:
         groups[fs.first_line(p)].append(p)
     frames = []
+    from tillbook.operators.storage import list_conf, session_conf
     for _header, group in groups.items():
-        raw = (spark.read.option("header", True).option("inferSchema", infer)
-               .csv(group))
+        with session_conf(spark, list_conf(spark)):      # files are listed here
+            raw = (spark.read.option("header", True).option("inferSchema", infer)
+                   .csv(group))
         if with_file_day:
             path = F.col("_metadata.file_path")
             raw = raw.withColumn(FILE_DAY, F.to_date(F.concat_ws(
