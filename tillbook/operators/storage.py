@@ -55,13 +55,15 @@ def exists(spark: SparkSession, table: Table) -> bool:
     return FS(spark, table.path).exists(table.path)
 
 
-def read(spark: SparkSession, table: Table, days=None, evolved: bool = False) -> DataFrame:
+def read(spark: SparkSession, table: Table, days=None, evolved: bool = False,
+         _recover: bool = True) -> DataFrame:
     """S3 (whole table) or S4 (``days`` only, pruned to those partitions).
 
     ``evolved=True`` also returns columns added by appends (T3), merging the
     file schemas; declared columns keep their declared types and order.
     """
-    recover(spark, table)
+    if _recover:
+        recover(spark, table)
     with session_conf(spark, list_conf(spark)):   # file listing happens here, eagerly
         df = _scan(spark, table, days, evolved)
     if days is not None:
@@ -164,9 +166,14 @@ def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str =
         w.format(fmt).save(path)
 
 
-def _stage(spark: SparkSession, table: Table, df: DataFrame) -> tuple[str, list[str]]:
-    """Write rows to a new staging run; return (run folder, days with rows)."""
-    run = f"{table.path}/{STAGING}/{uuid.uuid4().hex}"
+def _new_run(table: Table) -> str:
+    return f"{table.path}/{STAGING}/{uuid.uuid4().hex}"
+
+
+def _stage(spark: SparkSession, table: Table, df: DataFrame,
+           run: str | None = None) -> tuple[str, list[str]]:
+    """Write rows to a staging run (new unless given); return (run, days with rows)."""
+    run = run or _new_run(table)
     write_by_day(df, table.day, [table.day, *table.sort], f"{run}/data")
     fs = FS(spark, run)
     prefix = f"{table.day}="
@@ -313,21 +320,30 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
         return create(spark, table, src, evolve=False)
     recover(spark, table)
 
+    # 0. the source batch, typed, written once into this run's folder: both jobs
+    #    below read the same rows (a bronze file may change meanwhile) and the
+    #    CSV is parsed once; lineage is cut at a table on the shared store
+    run = _new_run(table)
+    src.write.mode("overwrite").parquet(f"{run}/source")
+    src = spark.read.schema(table.schema).parquet(f"{run}/source")
+
     # 1. touched days and the duplicate check, in one job (bounded by days)
     s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
-    target_keys = read(spark, table).select(k, d).filter(F.col(k).isNotNull())
+    target_keys = read(spark, table, _recover=False).select(k, d) \
+        .filter(F.col(k).isNotNull())
     matched = target_keys.join(s_keys, k)
     info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))
             .unionByName(src.select(d).distinct().withColumn("_n", F.lit(0).cast("long")))
             .groupBy(d).agg(F.max("_n").alias("_n"))
             .collect())
     if any(r["_n"] > 1 for r in info):
+        FS(spark, run).delete(run)
         raise ValueError(
             f"upsert on {k}: a target row matches several source rows")
     touched = sorted(day_str(r[0]) for r in info)
 
     # 2. new content of the touched days
-    tgt = read(spark, table, days=touched)
+    tgt = read(spark, table, days=touched, _recover=False)
     tgt_nn, tgt_null = tgt.filter(F.col(k).isNotNull()), tgt.filter(F.col(k).isNull())
     src_nn, src_null = src.filter(F.col(k).isNotNull()), src.filter(F.col(k).isNull())
     s = src_nn.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__hit"))
@@ -338,7 +354,7 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     merged = (updated_or_kept.unionByName(inserted).unionByName(src_null)
               .unionByName(tgt_null))
 
-    run, rows = _stage(spark, table, merged)
+    run, rows = _stage(spark, table, merged, run)
     _commit(spark, table, run, rows, touched)
     return sorted(set(rows) | set(touched))
 
