@@ -105,3 +105,21 @@ def test_report_choices_over_stored_gold(spark, scratch):
     empty = pipeline.report_choices(spark, lake, "taxes")
     assert tuple(empty["bounds"].first()) == (None, None)
     assert empty["branches"].count() == 0
+
+
+def test_latest_per_key_with_a_hot_key(spark):
+    """A key holding a third of the rows across many files: only the newest
+    file's rows of it survive; other keys and NULL keys are untouched."""
+    from tillbook.sources.bronze import FILE_DAY
+    n = 3000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN CAST(id AS STRING) END AS k",
+        f"date_add(DATE'2024-01-01', CAST(id % 10 AS INT)) AS {FILE_DAY}", "id")
+    out = pipeline.latest_per_key(df, "k")
+    hot = out.filter("k = 'hot'").collect()
+    newest = max(r[FILE_DAY] for r in df.filter("k = 'hot'").select(FILE_DAY).collect())
+    expected_hot = df.filter(F.col("k") == "hot").filter(F.col(FILE_DAY) == newest).count()
+    assert len(hot) == expected_hot > 0
+    assert out.filter("k IS NULL").count() == n // 3
+    assert out.filter("k <> 'hot'").count() == n // 3
+    assert FILE_DAY not in out.columns

@@ -175,3 +175,22 @@ def test_write_conf_is_restored(spark, scratch):
     before = {k: spark.conf.get(k, None) for k in storage.WRITE_CONF}
     storage.create(spark, table(scratch), frame(spark, [("1", 1.0, "2024-01-01")]))
     assert {k: spark.conf.get(k, None) for k in storage.WRITE_CONF} == before
+
+
+def test_hot_day_is_split_over_several_tasks(spark, scratch):
+    """A day holding a third of all rows: rebalance lets AQE split it."""
+    t = table(scratch, key=None)
+    n = 30000
+    df = spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS k", "CAST(id AS DOUBLE) AS v",
+        "CASE WHEN id % 3 = 0 THEN DATE'2024-01-01' "
+        "ELSE date_add(DATE'2024-01-02', CAST(id % 50 AS INT)) END AS d")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        storage.create(spark, t, df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(f"{scratch}/d=2024-01-01") if f.endswith(".parquet")]
+    assert len(hot) > 1                                  # split, not one task
+    assert storage.read(spark, t).count() == n           # nothing dropped
+    assert storage.read(spark, t, days=["2024-01-01"]).count() == n // 3
