@@ -338,9 +338,15 @@ def date_bounds(spark, sf_dir):
     return reports.date_bounds(gold_freight(spark, sf_dir))
 
 
-@register("date_bounds_empty", "SELECT CAST(NULL AS DATE) AS first_day, CAST(NULL AS DATE) AS last_day")
+NO_DATA = ("2099-01-01", "2099-12-31")     # a range no table reaches: an empty report
+
+
+@register("date_bounds_empty", f"""SELECT MIN(CodigoData) AS first_day, MAX(CodigoData) AS last_day
+FROM ({FREIGHT_SQL}) g WHERE CodigoData BETWEEN DATE '{NO_DATA[0]}' AND DATE '{NO_DATA[1]}'""")
 def date_bounds_empty(spark, sf_dir):
-    return reports.date_bounds(reports.filter_report(gold_freight(spark, sf_dir), branches=[]))
+    # the whole freight summary is computed; the range then leaves no row
+    return reports.date_bounds(reports.filter_report(gold_freight(spark, sf_dir),
+                                                     lo=NO_DATA[0], hi=NO_DATA[1]))
 
 
 # --- A3, A4, A5/A6 alone, J1 in join form, O2 -----------------------------------
