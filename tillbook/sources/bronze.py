@@ -20,6 +20,7 @@ touched.  ``infer=True`` keeps the reference's ``inferSchema`` behaviour.
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +62,12 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
         raise ValueError("no bronze file to read")
     fs = FS(spark, paths[0])
     groups: dict[str | None, list[str]] = defaultdict(list)
-    for p in paths:
-        groups[fs.first_line(p)].append(p)
+    # one small read per file; on an object store these are round trips, so a
+    # long range is probed by a few threads (I/O bound, results in file order)
+    with ThreadPoolExecutor(max_workers=min(16, len(paths))) as pool:
+        headers = list(pool.map(fs.first_line, paths))
+    for p, h in zip(paths, headers):
+        groups[h].append(p)
     frames = []
     from tillbook.operators.storage import list_conf, session_conf
     for _header, group in groups.items():
