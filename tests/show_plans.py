@@ -35,9 +35,9 @@ def main():
     captured = {}
     orig = storage._stage
 
-    def spy(spark_, table, df):
+    def spy(spark_, table, df, run=None):
         captured.setdefault("upsert", plan(df))
-        return orig(spark_, table, df)
+        return orig(spark_, table, df, run)
 
     storage._stage = spy
     storage.upsert(spark, ftab, storage.read(spark, ftab, days=["2024-01-10"])
