@@ -123,3 +123,26 @@ def test_latest_per_key_with_a_hot_key(spark):
     assert out.filter("k IS NULL").count() == n // 3
     assert out.filter("k <> 'hot'").count() == n // 3
     assert FILE_DAY not in out.columns
+
+
+def test_report_and_series_over_products(spark, scratch):
+    lake = Lake(scratch)
+    for d in (RETURNS, STOCK, SALES):
+        storage.create(spark, lake.silver(d), fx.FRAMES[d.name](spark, SF))
+    pipeline.build_gold(spark, lake, PRODUCT_REPORT)
+    gold_rows = storage.read(spark, lake.gold(PRODUCT_REPORT))
+    one = gold_rows.first()
+    rows = pipeline.report(spark, lake, "products", [one.FilialId], one.CodigoData,
+                           one.CodigoData, one.ProdutoId).collect()
+    assert [tuple(r) for r in rows] == [tuple(one)]
+    # the series sums quantities per day and branch over the filtered rows
+    series = pipeline.report_series(spark, lake, "products", [one.FilialId]).collect()
+    expected = gold_rows.filter(F.col("FilialId") == one.FilialId) \
+        .groupBy("CodigoData").agg(F.sum("TotalQuantidadeVendida").alias("q")).collect()
+    assert sorted((r.CodigoData, r.TotalQuantidadeVendida) for r in series) == \
+        sorted((r.CodigoData, r.q) for r in expected)
+    # a product argument is ignored by the reports without products
+    storage.create(spark, lake.silver(TAXES), fx.taxes(spark, SF))
+    pipeline.build_gold(spark, lake, "taxes")
+    assert pipeline.report(spark, lake, "taxes", product=3).count() == \
+        storage.read(spark, lake.gold(TAX_REPORT)).count()
