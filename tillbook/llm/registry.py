@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import exact_dedup
+from tillbook.llm import exact_dedup, simhash
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,8 @@ FROM d JOIN g ON d.h = g.h JOIN k ON d.h = k.h"""
 @register("op1_exact_dedup", OP1_SQL)
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+@register("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
