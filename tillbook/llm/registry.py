@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import exact_dedup, simhash
+from tillbook.llm import byte_bpe, exact_dedup, packing, simhash
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@register("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
+@register("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"))
