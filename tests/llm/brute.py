@@ -56,3 +56,21 @@ def exact_groups(docs):
     for i, t in docs:
         by[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i))
     return {i: (min(g)[1], len(g), sha256(k.encode()).hexdigest()) for k, g in by.items() for _, i in g}
+
+
+def substring(docs, window=50):
+    """{doc_id: (n_words, n_removed, sha256 of the kept words)} of (doc_id, text) pairs."""
+    words = {i: WORD.findall(t or "") for i, t in docs}
+    first = {}
+    for i, w in sorted(words.items()):
+        for p in range(len(w) - window + 1):
+            first.setdefault(tuple(w[p:p + window]), i)
+    out = {}
+    for i, w in words.items():
+        gone = set()
+        for p in range(len(w) - window + 1):
+            if first[tuple(w[p:p + window])] < i:
+                gone.update(range(p, p + window))
+        kept = " ".join(x for p, x in enumerate(w) if p not in gone)
+        out[i] = (len(w), len(gone), sha256(kept.encode()).hexdigest())
+    return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import byte_bpe, exact_dedup, packing, simhash
+from tillbook.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,27 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"),
                           public_tokenizers.path("word_bpe_49k.json"))
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w
+  FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+s AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS words FROM p),
+f AS (SELECT words, min(doc_id) AS first_id FROM s GROUP BY words),
+r AS (SELECT s.doc_id, s.i FROM s JOIN f ON s.words = f.words WHERE s.doc_id > f.first_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM r),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+y AS (SELECT x.doc_id, count(g.k) AS n_removed,
+             string_agg(word, ' ' ORDER BY x.k) FILTER (WHERE g.k IS NULL) AS kept
+      FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.k = g.k GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(y.n_removed, 0) AS n_removed,
+       sha256(coalesce(y.kept, '')) AS kept_sha256
+FROM d LEFT JOIN y ON d.doc_id = y.doc_id"""
+
+
+@register("op2_substring_dedup", OP2_SQL)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(table(spark, sf_dir, "documents"))
