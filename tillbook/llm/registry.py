@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import byte_bpe, exact_dedup, packing, simhash, substring_dedup
+from tillbook.llm import byte_bpe, exact_dedup, langid, packing, quality, simhash, substring_dedup
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,13 @@ FROM d LEFT JOIN y ON d.doc_id = y.doc_id"""
 @register("op2_substring_dedup", OP2_SQL)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@register("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judged(table(spark, sf_dir, "documents"))
