@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import byte_bpe, exact_dedup, langid, packing, quality, simhash, substring_dedup
+from tillbook.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    langid,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    topk,
+    url_filter,
+)
 from tillbook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +101,58 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.judged(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+  WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@register("op3_exact_topk", OP3_SQL)
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@register("op8_url_filter")
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judged(pages, url_filter.labelled_pages(pages, table(spark, sf_dir, "labels")))
+
+
+OP10_SQL = """
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM conversations),
+c AS (
+  SELECT conv_id, max(place) AS n_turns, list(struct_pack(r := role, x := text) ORDER BY place) AS turns,
+         string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '')
+                    || '<|im_end|>' || chr(10), '' ORDER BY place) AS chat
+  FROM t GROUP BY conv_id),
+one AS (
+  SELECT turns, min(conv_id) AS conv_id, count(*) AS copies, any_value(n_turns) AS n_turns,
+         any_value(chat) AS chat
+  FROM c GROUP BY turns),
+i AS (SELECT turns, unnest(range(1, n_turns)) AS i FROM c),
+p AS (SELECT DISTINCT turns[1:i] AS turns FROM i)
+SELECT conv_id, n_turns, copies, chat FROM one
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.turns = one.turns)"""
+
+
+@register("op10_chat_format", OP10_SQL)
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(table(spark, sf_dir, "conversations"))
