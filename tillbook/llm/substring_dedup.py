@@ -301,12 +301,18 @@ def removals(docs: DataFrame, **options) -> DataFrame:
         F.nullif("key", F.lit(LAST_ID)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars",
+                 **options) -> DataFrame:
     """``docs`` with the kept words, joined by one space, as the text of documents that
-    lose words; the others keep their text as it is.  No row is dropped."""
+    lose words (and its length as their n_chars, if there is such a column); the others
+    keep their row as it is.  No row is dropped."""
     found = judged(docs, text, doc_id, with_text=True, **options).filter("n_removed > 0").groupBy(
         F.col("key").alias("__key"), F.col("xx").alias("__xx")).agg(F.first("kept_text").alias("__kept"))
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
     joined = docs.join(found, (key == F.col("__key")) & (
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__xx")), "left")
-    return joined.withColumn(text, F.coalesce("__kept", text)).select(*docs.columns)
+    new = {text: F.coalesce("__kept", text)}
+    if n_chars in docs.columns:
+        kind = docs.schema[n_chars].dataType
+        new[n_chars] = F.coalesce(F.char_length("__kept").cast(kind), n_chars)
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
