@@ -20,8 +20,11 @@ Fingerprints, not documents, are linked: copies share one.  Components of the
 links come from :mod:`tillbook.llm.components`.
 
 Defined cases: a null text counts as empty; without words the fingerprint is
-zero; a null doc_id stands after every other; repeated rows are repeated in the
-result; an empty table gives an empty result.
+zero; a null doc_id stands after every other (as documents without an id cannot
+be told apart by it, :func:`keep_one` keeps one row for each of their
+fingerprints that no document with an id is linked to); repeated rows are
+repeated in the result; an empty table gives an empty result; other columns ride
+along.
 """
 
 from __future__ import annotations
@@ -77,16 +80,21 @@ def _fingerprint_batches(shingle: int):
             found = [text_fingerprint(t or b"", shingle) for t in texts]
             signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(signed, pa.int64())], ["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("xx"), pa.array(signed, pa.int64())],
+                ["doc_id", "xx", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of each row; fp as a signed long."""
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+    """(doc_id, xx, fp) of each row; xx a hash of the text, fp as a signed long."""
+    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _text_hash(text).alias("xx"),
                     F.col(text).cast("string").alias("text"))
-    return d.mapInArrow(_fingerprint_batches(shingle), "doc_id long, fp long")
+    return d.mapInArrow(_fingerprint_batches(shingle), "doc_id long, xx long, fp long")
+
+
+def _text_hash(text: str) -> F.Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def _signed(x: int) -> int:
@@ -121,15 +129,18 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fp (long), component_id."""
+    """One row per document: doc_id, xx, fp (long), component_id."""
     rows = stored(fingerprints(docs, text, doc_id, shingle), "fingerprints")
     ids = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
-    fps = stored(rows.groupBy("fp").agg(F.min(ids).alias("node")), "fingerprint-classes")
-    found = components(links(fps, radius))
-    label = fps.join(found, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
+    fps = stored(rows.groupBy("fp").agg(F.min(ids).alias("id")), "fingerprint-classes")
+    found = stored(components(links(fps.withColumn("node", F.col("fp")), radius)).withColumnRenamed(
+        "node", "fp"), "fingerprint-components")
+    least = found.join(fps, "fp").groupBy("component").agg(F.min("id").alias("component_id"))
+    linked = found.join(least, "component").select("fp", "component_id")
+    label = fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "id").alias("component_id"))
     return rows.join(label, "fp").select(
-        "doc_id", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
+        "doc_id", "xx", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
 
 
 def groups(docs: DataFrame, **options) -> DataFrame:
@@ -138,16 +149,20 @@ def groups(docs: DataFrame, **options) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its group.
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The row of each group with the smallest doc_id, with its columns.
 
-    Rows that repeat a doc_id count as one document, the first in text order.
+    Of rows that share this doc_id one stays, that of the least text hash.
     """
-    keep = near_groups(docs, doc_id=doc_id, **options).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("__repeats")).withColumnRenamed("doc_id", "__keep")
-    d = docs.join(keep, docs[doc_id].cast("long").eqNullSafe(F.col("__keep")))
+    first = near_groups(docs, text, doc_id, **options).filter(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp", "xx").agg(
+        F.count(F.lit(1)).alias("n"))
+    # a null doc_id names no single group; its rows are groups by fingerprint
+    keep = first.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp"))).agg(
+        F.min(F.struct("xx", "n")).alias("r")).select(
+        F.col("doc_id").alias("__keep"), F.col("r.xx").alias("__xx"), F.col("r.n").alias("__repeats"))
+    d = docs.join(keep, docs[doc_id].cast("long").eqNullSafe(F.col("__keep"))
+                  & (_text_hash(text) == F.col("__xx")))
     once = d.filter("__repeats = 1").select(*docs.columns)
-    again = d.filter("__repeats > 1").groupBy("__keep").agg(
-        F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
-    return once.unionByName(again.select(*[F.col("r")[c].alias(c) for c in docs.columns]))
+    again = d.filter("__repeats > 1").dropDuplicates(["__keep", "__xx"]).select(*docs.columns)
+    return once.unionByName(again)
