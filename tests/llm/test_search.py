@@ -1,0 +1,184 @@
+"""Top-k search, URL filters and chat formatting against brute force."""
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillbook.llm import chat, topk, url_filter
+
+
+# --- exact top-k ------------------------------------------------------------
+def brute_top(rows, is_query, k):
+    v = {i: [math.floor(256 * x) for x in e] for i, e in rows
+         if e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    out = []
+    for q in sorted(filter(is_query, v)):
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[i])), i) for i in v
+                      if i != q and len(v[i]) == len(v[q]))[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return out
+
+
+def search(spark, rows, every=5, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns(
+        {"v": F.lit("clash"), "row": F.lit(1)}).repartition(3)
+    found = topk.search(df, df.filter(f"vec_id % {every} = 0"), **options).collect()
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
+
+
+def vectors(rng, n, dim):
+    centres = [[rng.gauss(0, 0.3) for _ in range(dim)] for _ in range(4)]
+    return [(i, [float(np.float32(c + rng.gauss(0, 0.1))) for c in rng.choice(centres)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("dim", [1, 3, 16, 64])
+def test_topk_blocks(spark, dim):
+    rows = vectors(random.Random(dim), 230, dim)
+    got = search(spark, rows, query_rows=11, candidate_rows=37)
+    assert got == brute_top(rows, lambda i: i % 5 == 0, 5)
+
+
+def test_topk_ties_nulls_and_short_tables(spark):
+    rng = random.Random(9)
+    same = [0.5] * 8
+    rows = [(i, same) for i in range(40)] + [(40, None), (45, [1.0, None] * 4), (50, [float("nan")] * 8),
+            (55, [float("inf")] * 8), (60, []), (65, [1.0]), (70, [2.0, 1.0]), (71, [0.25, -1.0])]
+    rows += [(i + 100, e) for i, e in vectors(rng, 30, 8)]
+    assert search(spark, rows, candidate_rows=13) == brute_top(rows, lambda i: i % 5 == 0, 5)
+    assert search(spark, rows[:3], 1) == brute_top(rows[:3], lambda i: True, 5)
+
+
+def test_topk_large_components(spark):
+    rows = [(i, [float(np.float32(10.0 ** (i % 7) + i)), float(i)]) for i in range(30)]
+    assert search(spark, rows) == brute_top(rows, lambda i: i % 5 == 0, 5)
+
+
+def test_topk_empty(spark):
+    assert search(spark, []) == []
+
+
+def test_segment_bounds_hold():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, 24)) * 100
+    for s in (1, 4, 7, 24):
+        f = topk.statistics(x, s)
+        low = ((f[:, None] - f[None]) ** 2).sum(-1)
+        true = ((x[:, None] - x[None]) ** 2).sum(-1)
+        assert (low <= true * (1 + 1e-9) + 1e-6).all()
+
+
+# --- URL filters ------------------------------------------------------------
+URLS = ["http://a.example.com/x", "HTTPS://WWW.Example.COM/en/1?q=/fr/", "http://example.com/en/", "http://example.com",
+        "http://b.example.com/en", "http://notexample.com/en/2", "http://x.net/es/1.html#top", "http://x.net/fr", "ftp://net/fr/",
+        "no scheme/en/", None, "", "://com/", "http:///en/", "http://www.example.com/en/a", "http://q.org/%C3%A9?a=1&b=2", "x://y://z.com/"]
+
+
+def plain_rule(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        n = min([len(rest)] + [rest.index(c) for c in "/?#" if c in rest])
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:n])
+        path = rest[n:]
+        path = path[:min([len(path)] + [path.index(c) for c in "?#" if c in path])]
+    fit = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES
+           if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *(max(fit)[1:] if fit else (None, None))
+
+
+def test_url_parts_and_fixed_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    none = spark.createDataFrame([], "url string, bad boolean")
+    got = {r.page_id: r for r in url_filter.judged(pages, none).collect()}
+    for i, u in enumerate(URLS):
+        host, path, rule, verdict = plain_rule(u)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule), u
+        assert got[i].verdict == (verdict or "allow")
+
+
+def plain_rules(sets, min_support, min_rows, min_confidence, most=4):
+    from itertools import combinations
+    count, bad, need = {}, {}, max(min_support * len(sets), min_rows)
+    for tokens, label in sets:
+        for k in range(1, most + 1):
+            for c in combinations(sorted(tokens), k):
+                count[c] = count.get(c, 0) + 1
+                bad[c] = bad.get(c, 0) + label
+    rules = {c: bad[c] / n for c, n in count.items() if bad[c] >= need and bad[c] / n >= min_confidence}
+    return {c: f for c, f in rules.items()
+            if not any(rules.get(tuple(t for t in c if t != x), -1) >= f for x in c)}
+
+
+def test_mined_rules_and_matching(spark):
+    rng = random.Random(4)
+    urls = [f"http://{rng.choice(['a', 'spam', 'c'])}.{rng.choice(['org', 'edu'])}/{rng.choice(['en', 'xx', 'de'])}/{n}"
+            f"{rng.choice(['', '.html', '?ref=x'])}" for n in range(400)]
+    bad = lambda u: ("spam" in u and "/xx/" in u) or ("//c." in u and "ref" in u and ".edu" in u)
+    noisy = [(u, bad(u) != (rng.random() < 0.03)) for u in urls]
+    labelled = spark.createDataFrame(noisy, "url string, bad boolean")
+    tokens = {r.url: r.t for r in labelled.select("url", url_filter.tokens_of(F.col("url")).alias("t")).collect()}
+    rules = url_filter.mine(labelled.select(url_filter.tokens_of(F.col("url")).alias("tokens"), "bad"), 0.01, 10, 0.7)
+    got = {tuple(r.tokens): r.confidence for r in rules.collect()}
+    want = plain_rules([(tokens[u], b) for u, b in noisy], 0.01, 10, 0.7)
+    assert got == pytest.approx(want) and got
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    verdict = {r.page_id: r.verdict for r in url_filter.judged(
+        pages, labelled, (), min_support=0.01, min_rows=10, min_confidence=0.7).collect()}
+    for i, u in enumerate(urls):
+        assert verdict[i] == ("block" if any(set(c) <= set(tokens[u]) for c in want) else "allow")
+        assert verdict[i] == "block" or not bad(u)
+
+
+def test_labelled_pages(spark):
+    pages = spark.createDataFrame([("http://a/en/12.html#top",), ("http://a/12/",), ("http://a/x",), (None,),
+                                   ("http://a/7?x=12",), ("http://a/" + "9" * 30,)], "url string")
+    labels = spark.createDataFrame([(12, 1, 0), (12, 0, None), (7, None, None), (None, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    got = sorted((r.url, r.bad) for r in url_filter.labelled_pages(pages, labels).collect())
+    assert got == [("http://a/12/", True), ("http://a/7?x=12", False), ("http://a/en/12.html#top", True)]
+
+
+# --- chat formatting --------------------------------------------------------
+def plain_chats(rows):
+    by = {}
+    key = lambda x: (x is not None, x if x is not None else 0)
+    text = lambda x: (x is not None, (x or "").encode())
+    for c, t, r, x in sorted(rows, key=lambda w: (key(w[1]), text(w[2]), text(w[3]))):
+        by.setdefault(c, []).append((r, x))
+    out = {}
+    for c in sorted(by, key=lambda c: (c is None, c or 0)):
+        if any(len(o) > len(by[c]) and o[:len(by[c])] == by[c] for o in by.values()):
+            continue
+        if any(by[k] == by[c] for k in out):
+            continue
+        out[c] = by[c]
+    return {c: (len(v), sum(o == v for o in by.values()), "".join(
+        f"<|im_start|>{r or ''}\n{x or ''}<|im_end|>\n" for r, x in v)) for c, v in out.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chat_snapshots(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(60):
+        n = rng.randint(1, 5)
+        rows += [(c, t, rng.choice(["user", "user", None]), rng.choice(["hi", "hi", "", None, "é"]))
+                 if rng.random() < 0.5 else (c, t, "user", "hi") for t in range(n)]
+    rows += [(None, None, "x", "y"), (70, 1, "a", "b"), (70, 1, "a", "b"), (71, 1, "a", "b"), (72, None, "z", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(
+        {"place": F.lit(5), "conv": F.lit("c"), "a": F.lit(1)}).repartition(4)
+    got = {r.conv_id: (r.n_turns, r.copies, r.chat) for r in chat.conversations(df).collect()}
+    assert got == plain_chats(rows)
+
+
+def test_chat_empty(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.conversations(empty).collect() == []
+
+
+def test_chat_plan_is_native(spark):
+    df = spark.createDataFrame([(1, 1, "a", "b")], "conv_id long, turn long, role string, text string")
+    plan = chat.conversations(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -110,8 +110,8 @@ class Tree:
 
 def code_lengths(trees: dict[str, Tree], words: list[bytes]) -> np.ndarray:
     """Bits of each word (rows) under each language (columns, by name)."""
-    if not words:
-        return np.zeros((0, len(trees)))
+    if not words or not trees:
+        return np.zeros((len(words), len(trees)))
     data, off = framed(words)
     _, depth, keys = coded(data, off)
     return np.stack([trees[name].lengths(off, depth, keys) for name in sorted(trees)], 1)

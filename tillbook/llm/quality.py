@@ -38,7 +38,9 @@ from tillbook.llm.common import _flags, distinct, held_out, slices, spans_to_arr
 
 #: Labelled rows that are learned from, at most.
 MAX_ROWS = 10_000
-WORD_BITS, BINS, RANK, EPOCHS, BATCH, RATE, DECAY = 14, 16, 8, 8, 64, 0.05, 1e-5
+WORD_BITS, BINS, RANK, BATCH, RATE, DECAY = 14, 16, 8, 64, 0.05, 1e-5
+#: Passes over the sample, and batches at least.
+EPOCHS, STEPS = 8, 1200
 THRESHOLD = 0.3
 
 _KINDS = [_flags(range(65, 91)), _flags(range(97, 123)), _flags(range(48, 58)),
@@ -154,7 +156,7 @@ def fit(bounds, bucket, weight, stats, label) -> Model:
     model.bias = float(np.log(base / (1 - base)))
     bounds, index, value = model.rows(bounds, bucket, weight, stats)
     seen_w, seen_v, seen_b = np.full(width, 1e-3, np.float32), np.full((width, RANK), 1e-3, np.float32), 1e-3
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(label)))):
         order = rng.permutation(len(label))
         for at in range(0, len(order), BATCH):
             some = order[at:at + BATCH]
