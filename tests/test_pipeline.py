@@ -1,7 +1,8 @@
 """Jobs (P1-P5) and the invariants of SURVEY section 5 on bronze files derived
 from the sf0.001 tables."""
 
-from conftest import SF
+from conftest import SF, write_csv
+import pytest
 from pyspark.sql import functions as F
 
 from tillbook.operators import storage
@@ -146,3 +147,84 @@ def test_report_and_series_over_products(spark, scratch):
     pipeline.build_gold(spark, lake, "taxes")
     assert pipeline.report(spark, lake, "taxes", product=3).count() == \
         storage.read(spark, lake.gold(TAX_REPORT)).count()
+
+
+HEAD = "data_pagamento,tipo_imposto,valor_pago,filial_id\n"
+
+
+def _tax_file(lake, day, *lines):
+    write_csv(lake.bronze(TAXES, day), HEAD + "".join(f"{x}\n" for x in lines))
+
+
+def _gold_taxes(spark, lake):
+    return sorted((str(r.CodigoData), r.TotalImpostoPago)
+                  for r in storage.read(spark, lake.gold(TAX_REPORT)).collect())
+
+
+def test_failed_bootstrap_is_bootstrapped_again(spark, scratch, monkeypatch):
+    lake = Lake(scratch)
+    for n, d in enumerate(("2024-01-01", "2024-01-02")):
+        _tax_file(lake, d, f"{d},ICMS,{n + 1}.5,SP01")
+        pipeline.ingest(spark, lake, TAXES, [d])
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_commit", lambda *a, **k: (_ for _ in ()).throw(OSError("full")))
+        with pytest.raises(OSError):
+            pipeline.build_gold(spark, lake, TAX_REPORT)
+    assert not storage.exists(spark, lake.gold(TAX_REPORT))
+    pipeline.build_gold(spark, lake, TAX_REPORT, days=["2024-01-01"])
+    assert _gold_taxes(spark, lake) == [("2024-01-01", 1.5), ("2024-01-02", 2.5)]
+
+
+def test_a_failing_report_stops_no_other_and_is_caught_up(spark, scratch, monkeypatch):
+    lake = Lake(scratch)
+    day = "2024-01-01"
+    _tax_file(lake, day, f"{day},ICMS,1.5,SP01")
+    write_csv(lake.bronze(FREIGHT, day), "pedido_id,valor_frete,data_envio,transportadora,filial_id\n"
+              f"a,2.5,{day},Loggi,SP01\n")
+    with monkeypatch.context() as m:
+        m.setattr(pipeline.gold, "tax_summary", lambda df: (_ for _ in ()).throw(RuntimeError("no taxes")))
+        status = pipeline.run_day(spark, lake, day)["status"]
+        with pytest.raises(RuntimeError, match="reports failed.*no taxes"):
+            pipeline.backfill(spark, lake, day, day, ["tributos"])
+    assert status["taxes"].startswith("failed: RuntimeError: no taxes") and status["freight"] == "ok"
+    assert storage.read(spark, lake.gold(pipeline.FREIGHT_REPORT)).count() == 1
+    # the next run builds what the failed one left, though it touches another day
+    _tax_file(lake, "2024-01-02", "2024-01-02,ICMS,3.5,SP01")
+    assert pipeline.run_day(spark, lake, "2024-01-02")["status"]["taxes"] == "ok"
+    assert _gold_taxes(spark, lake) == [("2024-01-01", 1.5), ("2024-01-02", 3.5)]
+    assert storage.pending(spark, lake.silver(TAXES)) == {}
+
+
+def test_a_crash_between_silver_and_gold_leaves_nothing_stale(spark, scratch):
+    lake = Lake(scratch)
+    head = "pedido_id,valor_frete,data_envio,transportadora,filial_id\n"
+    write_csv(lake.bronze(FREIGHT, "2024-01-01"), head + "a,10.0,2024-01-01,Loggi,SP01\nb,5.0,2024-01-01,Loggi,SP01\n")
+    pipeline.run_day(spark, lake, "2024-01-01")
+    write_csv(lake.bronze(FREIGHT, "2024-01-02"), head + "a,10.0,2024-01-02,Loggi,SP01\n")
+    pipeline.ingest(spark, lake, FREIGHT, ["2024-01-02"])           # moved a; the run dies here
+    pipeline.run_day(spark, lake, "2024-01-02")                     # the day again: touches 01-02 only
+    got = sorted((str(r.CodigoData), r.TotalFretePago)
+                 for r in storage.read(spark, lake.gold(pipeline.FREIGHT_REPORT)).collect())
+    assert got == [("2024-01-01", 5.0), ("2024-01-02", 10.0)]
+
+
+def test_backfill_takes_the_days_that_exist(spark, scratch):
+    lake = Lake(scratch)
+    for d in ("2024-01-01", "2024-01-03"):
+        _tax_file(lake, d, f"{d},ICMS,1.5,SP01")
+    out = pipeline.backfill(spark, lake, "2024-01-01", "2024-01-04", ["tributos", "frete"])
+    assert out["missing"]["tributos"] == ["2024-01-02", "2024-01-04"] and len(out["missing"]["frete"]) == 4
+    assert out["touched"] == {"tributos": ["2024-01-01", "2024-01-03"], "frete": []}
+    assert _gold_taxes(spark, lake) == [("2024-01-01", 1.5), ("2024-01-03", 1.5)]
+
+
+def test_rows_of_another_day_are_appended_each_time(spark, scratch):
+    """As the reference does: only rows of the file's own day are replaced."""
+    lake = Lake(scratch)
+    _tax_file(lake, "2024-01-01", "2024-01-01,ICMS,1.0,SP01")
+    pipeline.ingest(spark, lake, TAXES, ["2024-01-01"])
+    _tax_file(lake, "2024-01-02", "2024-01-01,ICMS,2.0,SP01", "2024-01-02,ICMS,4.0,SP01")
+    for _ in range(2):
+        pipeline.ingest(spark, lake, TAXES, ["2024-01-02"])
+    got = sorted((str(r.data_pagamento), r.valor_pago) for r in storage.read(spark, lake.silver(TAXES)).collect())
+    assert got == [("2024-01-01", 1.0), ("2024-01-01", 2.0), ("2024-01-01", 2.0), ("2024-01-02", 4.0)]

@@ -1,7 +1,7 @@
 """Table operators (T1-T6, S3, S4) on hand-made frames: FIXTURES.md section 4."""
 
-import json
 import os
+import threading
 
 import pytest
 from conftest import D
@@ -79,8 +79,7 @@ def test_day_read_prunes_partitions(spark, scratch):
     t = table(scratch, key=None)
     storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]))
     df = storage.read(spark, t, days=["2024-01-02"])
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "d=2024-01-02" in plan
+    assert [f.rsplit("/", 2)[1] for f in df.inputFiles()] == ["d=2024-01-02"]
     assert [r.k for r in df.collect()] == ["2"]
     assert storage.read(spark, t, days=["2030-01-01"]).count() == 0
 
@@ -138,19 +137,149 @@ def test_upsert_duplicate_source_key(spark, scratch):
                               ("7", 3.0, "2024-01-01")]
 
 
-def test_crashed_run_is_rolled_forward_or_dropped(spark, scratch):
+def _die_after_manifest(spark, t, df, replace, monkeypatch):
+    """A run that reached its manifest and never got to swap its days in."""
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_apply", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        run, staged = storage._stage(spark, t, df)
+        with pytest.raises(KeyboardInterrupt):
+            storage._commit(spark, t, run, staged, replace)
+
+
+def test_crashed_run_is_rolled_forward_or_dropped_by_the_next_writer(spark, scratch, monkeypatch):
     t = table(scratch)
     storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
-    # a run that reached its manifest: staged, not yet swapped in
-    run, staged = storage._stage(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]))
-    with open(f"{run}/_manifest.json", "w") as fh:
-        json.dump({"rows": staged, "replace": ["2024-01-01"], "all": False}, fh)
-    # a run that died before its manifest
-    storage._stage(spark, t, frame(spark, [("1", 7.0, "2024-01-01")]))
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01")]      # read recovers first
+    _die_after_manifest(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]), ["2024-01-01"], monkeypatch)
+    storage._stage(spark, t, frame(spark, [("1", 7.0, "2024-01-01")]))      # died before its manifest
+    assert rows(spark, t) == [("1", 1.0, "2024-01-01")]                     # readers leave runs alone
+    assert len(os.listdir(f"{scratch}/_staging")) == 2
+    storage.append(spark, t, frame(spark, [("2", 2.0, "2024-01-02")]))
+    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]
     assert os.listdir(f"{scratch}/_staging") == []
-    storage.recover(spark, t)                                   # idempotent
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01")]
+    storage.recover(spark, t)                                               # idempotent
+    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]
+
+
+@pytest.mark.parametrize("replace_all", [False, True])
+def test_a_read_never_touches_a_running_write(spark, scratch, replace_all):
+    t = table(scratch)
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
+    run, staged = storage._stage(spark, t, frame(spark, [("1", 5.0, "2024-01-01"), ("2", 6.0, "2024-01-02")]))
+    assert rows(spark, t) == [("1", 1.0, "2024-01-01")]
+    assert rows(spark, t, days=["2024-01-01"]) == [("1", 1.0, "2024-01-01")]
+    storage._commit(spark, t, run, staged, staged, replace_all)
+    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 6.0, "2024-01-02")]
+
+
+def test_writes_survive_reads_in_another_thread(spark, scratch):
+    t = table(scratch, key=None)
+    storage.create(spark, t, frame(spark, [("0", 0.0, "2024-01-01")]))
+    stop, failures = threading.Event(), []
+
+    def poll():
+        while not stop.is_set():
+            try:
+                storage.added_columns(spark, t), storage.exists(spark, t)
+                storage.read(spark, t, days=["2024-02-01"]).count()
+            except Exception as e:  # noqa: BLE001
+                failures.append(e)
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for i in range(4):
+            storage.replace_days(spark, t, frame(spark, [(str(i), float(i), "2024-01-02")]), ["2024-01-02"])
+    finally:
+        stop.set()
+        reader.join()
+    assert not failures
+    assert rows(spark, t) == [("0", 0.0, "2024-01-01"), ("3", 3.0, "2024-01-02")]
+
+
+def test_commit_refuses_when_staged_days_are_gone(spark, scratch):
+    t = table(scratch)
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
+    run, staged = storage._stage(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]))
+    os.rename(f"{run}/data", f"{run}/elsewhere")
+    with pytest.raises(FileNotFoundError, match="staged days are gone"):
+        storage._commit(spark, t, run, staged, None, replace_all=True)
+    assert rows(spark, t) == [("1", 1.0, "2024-01-01")]
+
+
+def test_a_table_exists_from_its_first_commit(spark, scratch, monkeypatch):
+    t = table(scratch)
+    with pytest.raises(Exception, match="NULL in day column"):
+        storage.create(spark, t, frame(spark, [("1", 1.0, None)]))
+    assert not storage.exists(spark, t)
+    _die_after_manifest(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]), [], monkeypatch)
+    assert storage.exists(spark, t)                                         # the next writer finishes it
+    storage.append(spark, t, frame(spark, [("2", 2.0, "2024-01-01")]))
+    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-01")]
+
+
+def _evolved(spark, t):
+    return sorted((r.k, r.v, r.canal, str(r.d)) for r in storage.read(spark, t, evolved=True).collect())
+
+
+def test_upsert_and_delete_where_keep_added_columns(spark, scratch):
+    t = table(scratch)
+    web = frame(spark, [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-01"), ("3", 3.0, "2024-01-02")]) \
+        .withColumn("canal", F.concat(F.lit("web"), "k"))
+    storage.append(spark, t, web)
+    storage.upsert(spark, t, frame(spark, [("2", 20.0, "2024-01-02"), ("4", 4.0, "2024-01-02")]))
+    assert _evolved(spark, t) == [("1", 1.0, "web1", "2024-01-01"), ("2", 20.0, "web2", "2024-01-02"),
+                                  ("3", 3.0, "web3", "2024-01-02"), ("4", 4.0, None, "2024-01-02")]
+    # columns the batch lacks stay; an added column it has is updated
+    storage.upsert(spark, t, frame(spark, [("3", 0.0, "2024-01-02")]).drop("v").withColumn("canal", F.lit("app")))
+    assert _evolved(spark, t)[2] == ("3", 3.0, "app", "2024-01-02")
+    storage.delete_where(spark, t, "v > 10")
+    storage.delete_where(spark, t, "canal = 'web1'")
+    assert _evolved(spark, t) == [("3", 3.0, "app", "2024-01-02"), ("4", 4.0, None, "2024-01-02")]
+
+
+def test_an_added_column_keeps_its_type(spark, scratch):
+    t = table(scratch, key=None)
+    storage.append(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]).withColumn("canal", F.lit("web")))
+    for write in (storage.append, storage.replace_days):
+        with pytest.raises(ValueError, match="canal .* is string, not int"):
+            write(spark, t, frame(spark, [("2", 2.0, "2024-01-01")]).withColumn("canal", F.lit(7)))
+    assert _evolved(spark, t) == [("1", 1.0, "web", "2024-01-01")]
+
+
+def test_session_settings_survive_overlapping_uses(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    one, two = (storage.session_conf(spark, storage.WRITE_CONF) for _ in range(2))
+    one.__enter__(), two.__enter__()
+    one.__exit__(None, None, None)
+    assert spark.conf.get(key) == "1"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(key, None) == before
+
+
+def test_pending_days_of_a_tracked_table(spark, scratch):
+    t = Table(scratch, "d", SCHEMA, "k", track=True)
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]))
+    storage.clear_pending(spark, t, storage.pending(spark, t))
+    storage.upsert(spark, t, frame(spark, [("1", 1.5, "2024-01-03")]))
+    left = storage.pending(spark, t)
+    assert sorted(d for days in left.values() for d in days) == ["2024-01-01", "2024-01-03"]
+    storage.clear_pending(spark, t, left)
+    assert storage.pending(spark, t) == {}
+
+
+def test_rows_lie_in_key_order_in_their_files(spark, scratch):
+    """O1, in the files themselves: no reader sorts here."""
+    import pyarrow.parquet as pq
+    t = Table(scratch, "d", SCHEMA, None, ("k",))
+    df = spark.range(5000).selectExpr("CAST(hash(id) AS STRING) AS k", "CAST(id AS DOUBLE) AS v",
+                                      "date_add(DATE'2024-01-01', CAST(id % 7 AS INT)) AS d").repartition(6)
+    storage.create(spark, t, df)
+    files = [f"{scratch}/{d}/{f}" for d in os.listdir(scratch) if d.startswith("d=")
+             for f in os.listdir(f"{scratch}/{d}") if f.endswith(".parquet")]
+    assert len(files) >= 7
+    for f in files:
+        keys = pq.ParquetFile(f).read(["k"])["k"].to_pylist()
+        assert keys == sorted(keys) and len(keys) > 1
 
 
 def test_write_dispatch(spark, scratch):

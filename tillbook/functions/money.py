@@ -1,18 +1,20 @@
-"""Exact money arithmetic on Spark columns.
+"""Exact money arithmetic as SQL expression text.
 
 Money arrives as DOUBLE.  Summing doubles makes the result depend on row order
 (different partitioning gives different last digits) and lets half-cent ties
-round either way.  Each value is therefore turned into an exact integer count
-of micro-units (1e-6) and summed as a LONG - as fast as a double sum inside
-whole-stage codegen, unlike a per-row decimal.  Only the per-group results
-become decimals, for HALF_UP rounding; they are handed back as DOUBLE.
-
-Exact for values with up to six decimals and magnitude below 1e9 (the double's
-own precision bounds anything larger).  A sum beyond 9.2e12 money units per
-group overflows the LONG, which raises under ANSI mode - never a wrong number.
-
-The building blocks are SQL expression text (one round trip to the JVM per
-expression, parsed there); ``Column`` wrappers are kept for callers.
+round either way.  Each value is therefore rounded HALF_UP to whole micro-units
+(1e-6) and summed as integers; only the per-group results become decimals, for
+HALF_UP rounding, and are handed back as DOUBLE.
+
+The rule for values finer than 1e-6 is that rounding comes first: a thousand
+rows of 0.0000004 sum to 0 (SURVEY B3 chose six decimals).
+
+Micro-units below 2^53 are split at 2^26 into a high and a low part, each summed
+as a LONG: as fast as a double sum inside whole-stage codegen, unlike a per-row
+decimal.  Whatever the ANSI setting, neither sum can wrap or raise below 6e10
+rows in one group, even if all of them have the largest magnitude.  Values that
+have no exact micro-units (NaN, the infinities, magnitudes from 9e9 on) are
+summed as doubles beside them, so that NaN makes its own group NaN and no other.
 """
 
 from __future__ import annotations
@@ -21,82 +23,82 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCALE = 10 ** 6
+SPLIT = 2 ** 26
+WILD = "9e9D"
 
 
-# --- SQL text ---------------------------------------------------------------------
-def micros_sql(e: str) -> str:
-    """A money expression as whole micro-units (HALF_UP), LONG.
+def _tame(e: str, then: str) -> str:
+    # NaN compares greater than every number
+    return f"CASE WHEN abs({e}) < {WILD} THEN {then} END"
 
-    ``x * 1e6 ± 0.5`` truncated toward zero is HALF_UP away from zero; for
-    in-range values the product lies next to an integer, never near a tie.
-    Plain double arithmetic - ``ROUND`` on a double builds a BigDecimal per row.
-    """
-    return f"CAST(({e}) * {float(SCALE)}D + signum({e}) * 0.5D AS BIGINT)"
 
+def _micros(e: str) -> str:
+    """``x * 1e6 ± 0.5``: truncated toward zero it is HALF_UP away from zero."""
+    return f"(({e}) * {SCALE}D + signum({e}) * 0.5D)"
 
-def money_sum_sql(e: str) -> str:
-    """Exact sum in micro-units (LONG); NULL if all NULL."""
-    return f"SUM({micros_sql(e)})"
 
+def _high(e: str) -> str:
+    return f"CAST({_micros(e)} / {SPLIT}D AS BIGINT)"
 
-def to_double_sql(micro_sum: str, digits: int) -> str:
-    """``round(sum, digits)`` HALF_UP as DOUBLE; the division by 1e6 is exact."""
-    return f"CAST(ROUND(CAST({micro_sum} AS DECIMAL(20,0)) / {SCALE}, {digits}) AS DOUBLE)"
 
+def _low(e: str) -> str:
+    # the difference is exact: both are multiples of the value's last bit
+    return f"CAST({_micros(e)} - {_high(e)} * {SPLIT}D AS BIGINT)"
 
-def rounded_sum_sql(e: str, digits: int) -> str:
-    """``round(sum(e), digits)`` summed exactly, as DOUBLE."""
-    return to_double_sql(money_sum_sql(e), digits)
+
+def micro_sum_sql(e: str) -> str:
+    """Exact sum of the tame values in micro-units, DECIMAL(38,0); NULL if there is none."""
+    return (f"CAST(CAST(SUM({_tame(e, _high(e))}) AS DECIMAL(20,0)) * {SPLIT}"
+            f" + SUM({_tame(e, _low(e))}) AS DECIMAL(38,0))")
 
 
-# --- Column wrappers ----------------------------------------------------------------
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def wild_sum_sql(e: str) -> str:
+    """Double sum of the values without micro-units; NULL if there is none."""
+    return f"SUM(CASE WHEN abs({e}) >= {WILD} THEN CAST({e} AS DOUBLE) END)"
 
 
-def micros(c: Column | str) -> Column:
-    if isinstance(c, str):
-        return F.expr(micros_sql(f"`{c}`"))
-    return (c * float(SCALE) + F.signum(c) * 0.5).cast("long")
+def to_double_sql(micro_sum: str, wild: str, digits: int) -> str:
+    """``round(sum, digits)`` HALF_UP as DOUBLE; the division by 1e6 is exact."""
+    exact = f"CAST(ROUND(CAST({micro_sum} AS DECIMAL(32,0)) / {SCALE}, {digits}) AS DOUBLE)"
+    return f"CASE WHEN {wild} IS NULL THEN {exact} ELSE {wild} + COALESCE({exact}, 0D) END"
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact sum of a money column in micro-units (LONG); NULL if all NULL."""
-    return F.sum(micros(c))
+def rounded_sum_sql(e: str, digits: int) -> str:
+    """``round(sum(e), digits)`` summed exactly, as DOUBLE."""
+    return to_double_sql(micro_sum_sql(e), wild_sum_sql(e), digits)
 
 
-def to_double(micro_sum: Column, digits: int) -> Column:
-    """``round(sum, digits)`` HALF_UP, as DOUBLE (nearest double to the decimal)."""
-    exact = micro_sum.cast("decimal(20,0)") / F.lit(SCALE)      # decimal(31,11), exact
-    return F.round(exact, digits).cast("double")
+def rounded_sum(column: str, digits: int) -> Column:
+    return F.expr(rounded_sum_sql(f"`{column}`", digits))
 
 
 # --- exact ratio ---------------------------------------------------------------------
-def with_ratio(df: DataFrame, num: str, den: str, out: str, digits: int,
+def with_ratio(df: DataFrame, num: str, wild: str, den: str, out: str, digits: int,
                keep: list[str] | None = None) -> DataFrame:
     """Add ``out = round(num / den, digits)`` HALF_UP (away from zero), exactly.
 
-    ``num`` is a micro-unit sum (LONG), ``den`` an integral column; NULL when
-    ``den`` is 0 or NULL, as ``try_divide``.  Spark's decimal division keeps
-    only six decimals once operands are wide, and rounding that again to
-    ``digits`` could move a value lying just below a half-cent tie; so the
-    quotient is ``floor((2a + b) / 2b)`` in integers, with the approximate
-    division corrected by its exact remainder.  Runs once per group, in its
-    own projections after the aggregation.  ``keep``: columns to carry along
-    (default all).
+    ``num`` is a micro-unit sum, ``wild`` the double sum beside it, ``den`` an
+    integral column; NULL when ``den`` is 0 or NULL, as ``try_divide``.  Spark's
+    decimal division keeps only six decimals once operands are wide, and
+    rounding that again to ``digits`` could move a value lying just below a
+    half-cent tie; so the quotient is ``floor((2a + b) / 2b)`` in integers, with
+    the approximate division corrected by its exact remainder.  Runs once per
+    group, in its own projections after the aggregation.  ``keep``: columns to
+    carry along (default all).
     """
     keep = [f"`{c}`" for c in (keep if keep is not None else df.columns)]
     a = f"abs(CAST(`{num}` AS DECIMAL(38,0))) * {10 ** digits}"
     b = f"abs(CAST(`{den}` AS DECIMAL(38,0))) * {SCALE}"
     t = df.selectExpr(
-        *keep, f"`{num}` AS __num", f"`{den}` AS __den",
+        *keep, f"`{num}` AS __num", f"`{wild}` AS __wild", f"`{den}` AS __den",
         f"CAST(({a}) * 2 + ({b}) AS DECIMAL(38,0)) AS __n2",
         f"CASE WHEN ({b}) <> 0 THEN CAST(({b}) * 2 AS DECIMAL(38,0)) END AS __d2")
-    t = t.selectExpr(*keep, "__num", "__den", "__n2", "__d2",
+    t = t.selectExpr(*keep, "__num", "__wild", "__den", "__n2", "__d2",
                      "CAST(floor(__n2 / __d2) AS DECIMAL(38,0)) AS __q0")
     # the rounded division can only overshoot by one
     q = "(CASE WHEN __n2 - __q0 * __d2 < 0 THEN __q0 - 1 ELSE __q0 END)"
+    exact = (f"CAST(CASE WHEN (__num < 0) <> (__den < 0) THEN -{q} ELSE {q} END AS DOUBLE)"
+             f" / {float(10 ** digits)}")
     return t.selectExpr(
-        *keep,
-        f"CAST(CASE WHEN (__num < 0) <> (__den < 0) THEN -{q} ELSE {q} END AS DOUBLE)"
-        f" / {float(10 ** digits)} AS `{out}`")
+        *keep, f"CASE WHEN __wild IS NULL THEN {exact} ELSE try_divide("
+        f"__wild + COALESCE(CAST(__num AS DOUBLE), 0D) / {float(SCALE)}, __den) END AS `{out}`")

@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import (money_sum_sql, rounded_sum_sql, to_double_sql,
-                                      with_ratio)
+from tillbook.functions.money import (micro_sum_sql, rounded_sum_sql, to_double_sql,
+                                      wild_sum_sql, with_ratio)
 from tillbook.schemas import FREIGHT_REPORT, PRODUCT_REPORT, TAX_REPORT
 
 KEYS_TAX = list(TAX_REPORT.keys)
@@ -80,14 +80,15 @@ def stock_summary(estoque: DataFrame) -> DataFrame:
 
 
 def _sales_measures(qty: str, price: str) -> list[str]:
-    return [f"sum({qty}) AS TotalQuantidadeVendida", f"{money_sum_sql(price)} AS __v"]
+    return [f"sum({qty}) AS TotalQuantidadeVendida", f"{micro_sum_sql(price)} AS __v",
+            f"{wild_sum_sql(price)} AS __w"]
 
 
 def _finish_sales(df: DataFrame, keep: list[str]) -> DataFrame:
     """A5/A6 results from the per-group sums (runs once per group)."""
-    df = with_ratio(df, "__v", "TotalQuantidadeVendida", "__t", 2,
-                    keep=[*keep, "__v"])                           # A6, NULL on 0
-    return df.selectExpr(*keep, f"{to_double_sql('__v', 2)} AS TotalValorVendido",
+    df = with_ratio(df, "__v", "__w", "TotalQuantidadeVendida", "__t", 2,
+                    keep=[*keep, "__v", "__w"])                    # A6, NULL on 0
+    return df.selectExpr(*keep, f"{to_double_sql('__v', '__w', 2)} AS TotalValorVendido",
                          "__t AS TicketMedio")
 
 

@@ -10,18 +10,26 @@ table laid out as ``<path>/<day>=YYYY-MM-DD/part-*.parquet``:
   retries - leaves the table as it was;
 * then a small manifest names the days to replace and the days that got rows,
   and the staged day folders are swapped in by renames (driver-side metadata,
-  bounded by days).  A run that died after its manifest is rolled forward by
-  the next operator on the table; one that died before it is discarded.
+  bounded by days).  The next writer rolls a run forward that died after its
+  manifest, and discards one that died before it.
 
-Reads always use the declared schema (partition value types, column order,
-no footer merge), so a day filter becomes a ``PartitionFilters`` entry.
-One writer per table at a time is assumed, as in the reference.
+One writer per table at a time is assumed, as in the reference (writers of one
+driver wait for each other).  So a run that a writer finds is no longer alive.
+Readers touch neither runs nor manifests; a table exists from its first
+completed commit, which writes ``_table.json`` with the columns added to the
+declared ones.
+
+Reads always use the stored schema (partition value types, column order, no
+footer merge), so a day filter becomes a ``PartitionFilters`` entry.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -34,6 +42,11 @@ from tillbook.sources.fs import FS
 
 STAGING = "_staging"
 MANIFEST = "_manifest.json"
+MARKER = "_table.json"        # a commit has completed; holds the added columns
+PENDING = "_pending"          # days changed since the reports were built, a file per commit
+
+#: File-system calls in flight while a commit swaps days in.
+COMMIT_THREADS = 16
 
 
 @dataclass(frozen=True)
@@ -43,99 +56,133 @@ class Table:
     schema: T.StructType           # declared columns, day included
     key: str | None = None         # upsert key
     sort: tuple[str, ...] = ()     # extra in-file sort keys (O1)
+    track: bool = False            # keep the days each commit changed until cleared
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
 
+# --- one writer at a time -----------------------------------------------------
+_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
+_LOCKS_GUARD = threading.Lock()
+
+
+@contextmanager
+def _writer(spark: SparkSession, table: Table):
+    """Writers of one table wait for each other; the first thing each does is to
+    finish or drop what a dead one left."""
+    with _LOCKS_GUARD:
+        lock = _LOCKS[table.path.rstrip("/")]
+    with lock:
+        recover(spark, table)
+        yield
+
+
 # --- reads (S3, S4) -----------------------------------------------------------
 def exists(spark: SparkSession, table: Table) -> bool:
-    """T1's probe: the table folder exists (checked on the file system)."""
-    return FS(spark, table.path).exists(table.path)
+    """T1's probe: some commit has completed, or has got as far as its manifest."""
+    fs = FS(spark, table.path)
+    return fs.exists(f"{table.path}/{MARKER}") or any(
+        fs.exists(f"{run}/{MANIFEST}") for run in _runs(fs, table))
 
 
-def read(spark: SparkSession, table: Table, days=None, evolved: bool = False,
-         _recover: bool = True) -> DataFrame:
+def added_columns(spark: SparkSession, table: Table) -> list[T.StructField]:
+    """Columns that commits added to the declared ones (T3), oldest first."""
+    fs = FS(spark, table.path)
+    if not fs.exists(f"{table.path}/{MARKER}"):
+        return []
+    return list(T.StructType.fromJson(json.loads(fs.read_text(f"{table.path}/{MARKER}"))["added"]))
+
+
+def read(spark: SparkSession, table: Table, days=None, evolved: bool = False) -> DataFrame:
     """S3 (whole table) or S4 (``days`` only, pruned to those partitions).
 
-    ``evolved=True`` also returns columns added by appends (T3), merging the
-    file schemas; declared columns keep their declared types and order.
+    ``evolved=True`` also returns columns added by commits (T3), NULL for rows
+    written before them.
     """
-    if _recover:
-        recover(spark, table)
+    wanted = None if days is None else sorted({as_date(d) for d in days})
+    schema = T.StructType([*table.schema, *(added_columns(spark, table) if evolved else [])])
+    names = schema.fieldNames()
     with session_conf(spark, list_conf(spark)):   # file listing happens here, eagerly
-        df = _scan(spark, table, days, evolved)
-    if days is not None:
-        df = df.filter(F.col(table.day).isin([as_date(d) for d in days]))
-    return df
-
-
-def _scan(spark: SparkSession, table: Table, days, evolved: bool) -> DataFrame:
-    if evolved:
-        try:
-            df = spark.read.option("mergeSchema", "true").parquet(table.path)
-        except Exception:  # noqa: BLE001 - empty table: nothing to merge
-            df = spark.read.schema(table.schema).parquet(table.path)
-        declared = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-                    else F.lit(None).cast(f.dataType).alias(f.name)
-                    for f in table.schema]
-        extra = [c for c in df.columns if c not in table.columns]
-        df = df.select(*declared, *extra)
-    elif days is not None:
+        if wanted is None:
+            return spark.read.schema(schema).parquet(table.path).select(*names)
         # List only the requested day folders, not the whole table.
         fs = FS(spark, table.path)
         prefix = f"{table.day}="
         have = {n for n in fs.children(table.path, dirs=True) if n.startswith(prefix)}
-        paths = [f"{table.path}/{prefix}{day_str(d)}" for d in sorted(
-            {as_date(d) for d in days}) if f"{prefix}{day_str(d)}" in have]
-        reader = spark.read.schema(table.schema).option("basePath", table.path)
-        df = (reader.parquet(*paths) if paths else
-              reader.parquet(table.path).filter(F.lit(False))).select(*table.columns)
-    else:
-        df = spark.read.schema(table.schema).parquet(table.path).select(*table.columns)
-    return df
+        paths = [f"{table.path}/{prefix}{day_str(d)}" for d in wanted if f"{prefix}{day_str(d)}" in have]
+        reader = spark.read.schema(schema).option("basePath", table.path)
+        df = reader.parquet(*paths) if paths else reader.parquet(table.path).filter(F.lit(False))
+    return df.select(*names).filter(F.col(table.day).isin(wanted))
 
 
 # --- typing of incoming rows --------------------------------------------------
-def conform(df: DataFrame, table: Table, keep_extra: bool = False) -> DataFrame:
+def conform(df: DataFrame, table: Table, extra: list[T.StructField] = ()) -> DataFrame:
     """Cast by column name to the declared types; absent columns become NULL.
 
-    A NULL day is rejected inside the write job (no extra pass over the data):
-    such a row could never be replaced later (B9).
+    ``extra`` names further columns to keep.  A NULL day is rejected inside the
+    write job (no extra pass over the data): such a row could never be replaced
+    later (B9).
     """
     cols = []
-    for f in table.schema:
-        c = F.col(f.name).cast(f.dataType) if f.name in df.columns else \
+    for f in [*table.schema, *extra]:
+        c = F.col(f"`{f.name}`").cast(f.dataType) if f.name in df.columns else \
             F.lit(None).cast(f.dataType)
         if f.name == table.day:
             c = F.when(c.isNull(), F.raise_error(F.lit(
                 f"NULL in day column {table.day}: every row needs a day"))).otherwise(c)
         cols.append(c.alias(f.name))
-    if keep_extra:
-        cols += [F.col(c) for c in df.columns if c not in table.columns]
     return df.select(*cols)
 
 
-# --- staging and commit -------------------------------------------------------
-def _day_dir(table: Table, day) -> str:
-    return f"{table.path}/{table.day}={day_str(day)}"
+def _evolved(spark: SparkSession, table: Table, df: DataFrame, fresh: bool = False) -> list[T.StructField]:
+    """Added columns after ``df`` is written: those of the table (none if ``fresh``) and
+    those new in ``df``.  A column that comes back with another type is refused."""
+    known = [] if fresh else added_columns(spark, table)
+    types = {f.name: f.dataType for f in known}
+    for f in df.schema:
+        if f.name in table.columns:
+            continue
+        if f.name not in types:
+            known.append(T.StructField(f.name, f.dataType, True))
+        elif types[f.name] != f.dataType:
+            raise ValueError(f"column {f.name} of {table.path} is {types[f.name].simpleString()}, "
+                             f"not {f.dataType.simpleString()}")
+    return known
+
+
+# --- session settings of one action -------------------------------------------
+_CONF_GUARD = threading.Lock()
+_CONF_USES: dict[tuple, list] = {}        # (session, key) -> [uses, value before]
 
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set SQL options for one action, then restore the caller's values."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+    """Set SQL options for one action, then restore the caller's values.
+
+    Uses may overlap in threads: the first one sets an option and the last one
+    restores it (every use of an option here sets the same value).
+    """
+    session = id(spark._jsparkSession) if hasattr(spark, "_jsparkSession") else id(spark)
+    with _CONF_GUARD:
+        for k, v in settings.items():
+            use = _CONF_USES.setdefault((session, k), [0, spark.conf.get(k, None)])
+            use[0] += 1
+            spark.conf.set(k, v)
     try:
         yield
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        with _CONF_GUARD:
+            for k in settings:
+                use = _CONF_USES[session, k]
+                use[0] -= 1
+                if not use[0]:
+                    del _CONF_USES[session, k]
+                    if use[1] is None:
+                        spark.conf.unset(k)
+                    else:
+                        spark.conf.set(k, use[1])
 
 
 # Writing by day: ``rebalance(day)`` sends each day to one task and AQE splits a
@@ -166,6 +213,17 @@ def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str =
         w.format(fmt).save(path)
 
 
+# --- staging and commit -------------------------------------------------------
+def _day_dirs(fs: FS, path: str, day: str) -> set[str]:
+    prefix = f"{day}="
+    return {n[len(prefix):] for n in fs.children(path, dirs=True) if n.startswith(prefix)}
+
+
+def _runs(fs: FS, table: Table) -> list[str]:
+    base = f"{table.path}/{STAGING}"
+    return [f"{base}/{name}" for name in fs.children(base, dirs=True)]
+
+
 def _new_run(table: Table) -> str:
     return f"{table.path}/{STAGING}/{uuid.uuid4().hex}"
 
@@ -175,19 +233,19 @@ def _stage(spark: SparkSession, table: Table, df: DataFrame,
     """Write rows to a staging run (new unless given); return (run, days with rows)."""
     run = run or _new_run(table)
     write_by_day(df, table.day, [table.day, *table.sort], f"{run}/data")
-    fs = FS(spark, run)
-    prefix = f"{table.day}="
-    days = [n[len(prefix):] for n in fs.children(f"{run}/data", dirs=True)
-            if n.startswith(prefix)]
-    return run, days
+    return run, sorted(_day_dirs(FS(spark, run), f"{run}/data", table.day))
 
 
-def _commit(spark: SparkSession, table: Table, run: str, rows: list[str],
-            replace: list[str] | None, replace_all: bool = False) -> None:
-    """Write the manifest, then apply it."""
+def _commit(spark: SparkSession, table: Table, run: str, rows: list[str], replace: list[str] | None,
+            replace_all: bool = False, added: list[T.StructField] = ()) -> None:
+    """Check that the staged days are there, write the manifest, then apply it."""
     fs = FS(spark, table.path)
-    manifest = {"rows": sorted(rows), "replace": sorted(replace or []),
-                "all": replace_all}
+    lost = set(rows) - _day_dirs(fs, f"{run}/data", table.day)
+    if lost:
+        raise FileNotFoundError(f"staged days are gone from {run}: {sorted(lost)[:5]}")
+    manifest = {"rows": sorted(rows), "replace": sorted(replace or []), "all": replace_all,
+                "added": T.StructType(list(added)).jsonValue()}
+    fs.mkdirs(run)
     fs.write_text(f"{run}/{MANIFEST}", json.dumps(manifest))
     _apply(fs, table, run, manifest)
 
@@ -195,16 +253,20 @@ def _commit(spark: SparkSession, table: Table, run: str, rows: list[str],
 def _apply(fs: FS, table: Table, run: str, m: dict) -> None:
     """Swap staged days into the table.  Safe to repeat after a crash."""
     rows, replace = set(m["rows"]), set(m["replace"])
-    prefix = f"{table.day}="
-    existing = {n[len(prefix):] for n in fs.children(table.path, dirs=True)
-                if n.startswith(prefix)}
-    staged = {n[len(prefix):] for n in fs.children(f"{run}/data", dirs=True)
-              if n.startswith(prefix)}
+    existing = _day_dirs(fs, table.path, table.day)
+    staged = _day_dirs(fs, f"{run}/data", table.day)
     drop = (existing - rows) if m["all"] else (replace - rows)
-    for d in sorted(drop & existing):               # requested day, no rows: remove
-        fs.delete(f"{table.path}/{prefix}{d}")
-    for d in sorted(rows & staged):                 # staged days not yet moved
-        src, dst = f"{run}/data/{prefix}{d}", f"{table.path}/{prefix}{d}"
+    if table.track:                                 # before any day changes
+        mark = f"{table.path}/{PENDING}/{run.rsplit('/', 1)[1]}.json"
+        before = json.loads(fs.read_text(mark)) if fs.exists(mark) else []
+        fs.mkdirs(f"{table.path}/{PENDING}")
+        fs.write_text(mark, json.dumps(sorted({*before, *rows, *drop, *replace})))
+
+    def remove(d):                                  # requested day, no rows
+        fs.delete(f"{table.path}/{table.day}={d}")
+
+    def swap(d):
+        src, dst = f"{run}/data/{table.day}={d}", f"{table.path}/{table.day}={d}"
         if m["all"] or d in replace or d not in existing:
             if d in existing:
                 fs.delete(dst)
@@ -214,28 +276,46 @@ def _apply(fs: FS, table: Table, run: str, m: dict) -> None:
                 if not f.startswith("_") and not f.startswith("._"):
                     fs.rename(f"{src}/{f}", f"{dst}/{f}")
             fs.delete(src)
+
+    with ThreadPoolExecutor(COMMIT_THREADS) as pool:     # days are independent
+        list(pool.map(remove, sorted(drop & existing)))
+        list(pool.map(swap, sorted(rows & staged)))
+    fs.write_text(f"{table.path}/{MARKER}", json.dumps({"added": m["added"]}))
     fs.delete(run)
 
 
 def recover(spark: SparkSession, table: Table) -> None:
-    """Roll forward runs that reached their manifest; drop the others."""
+    """For writers: roll forward runs that reached their manifest; drop the others."""
     fs = FS(spark, table.path)
-    base = f"{table.path}/{STAGING}"
-    for name in fs.children(base, dirs=True):
-        run = f"{base}/{name}"
+    for run in _runs(fs, table):
         if fs.exists(f"{run}/{MANIFEST}"):
             _apply(fs, table, run, json.loads(fs.read_text(f"{run}/{MANIFEST}")))
         else:
             fs.delete(run)
 
 
+def pending(spark: SparkSession, table: Table) -> dict[str, list[str]]:
+    """Days changed by commits of a tracked table that nobody has cleared, by commit."""
+    fs = FS(spark, table.path)
+    base = f"{table.path}/{PENDING}"
+    return {n: json.loads(fs.read_text(f"{base}/{n}")) for n in fs.children(base, dirs=False)
+            if n.endswith(".json")}
+
+
+def clear_pending(spark: SparkSession, table: Table, commits) -> None:
+    fs = FS(spark, table.path)
+    for n in commits:
+        fs.delete(f"{table.path}/{PENDING}/{n}")
+
+
 # --- table operators ------------------------------------------------------------
 def create(spark: SparkSession, table: Table, df: DataFrame, evolve: bool = True) -> list[str]:
     """Create or replace the whole table with ``df``."""
-    recover(spark, table)
-    FS(spark, table.path).mkdirs(table.path)
-    run, rows = _stage(spark, table, conform(df, table, keep_extra=evolve))
-    _commit(spark, table, run, rows, None, replace_all=True)
+    with _writer(spark, table):
+        FS(spark, table.path).mkdirs(table.path)
+        added = _evolved(spark, table, df, fresh=True) if evolve else []
+        run, rows = _stage(spark, table, conform(df, table, added))
+        _commit(spark, table, run, rows, None, replace_all=True, added=added)
     return rows
 
 
@@ -244,39 +324,42 @@ def append(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
 
     Declared columns are cast by name (absent ones are NULL); columns new to
     the table are kept and read back through ``read(..., evolved=True)``,
-    NULL for rows written before them.
+    NULL for rows written before them.  A column that was added with another
+    type raises before anything is written.
     """
-    if not exists(spark, table):
-        return create(spark, table, df)
-    recover(spark, table)
-    run, rows = _stage(spark, table, conform(df, table, keep_extra=True))
-    _commit(spark, table, run, rows, [])
+    with _writer(spark, table):
+        if not exists(spark, table):
+            return create(spark, table, df)
+        added = _evolved(spark, table, df)
+        run, rows = _stage(spark, table, conform(df, table, added))
+        _commit(spark, table, run, rows, [], added=added)
     return rows
 
 
 def delete_days(spark: SparkSession, table: Table, days) -> None:
     """T4 for day predicates: drop those partitions (metadata only)."""
-    recover(spark, table)
-    fs = FS(spark, table.path)
-    for d in days:
-        fs.delete(_day_dir(table, d))
+    days = sorted({day_str(d) for d in days})
+    with _writer(spark, table):
+        if exists(spark, table):
+            _commit(spark, table, _new_run(table), [], days, added=added_columns(spark, table))
 
 
 def delete_where(spark: SparkSession, table: Table, predicate: Column | str) -> list[str]:
-    """T4 for any predicate: rewrite only the days holding matching rows.
+    """T4 for any predicate, also over added columns: rewrite only the days holding
+    matching rows.
 
     A row is deleted when the predicate is TRUE; NULL never matches, as in a
     SQL ``DELETE``.
     """
-    recover(spark, table)
     pred = F.expr(predicate) if isinstance(predicate, str) else predicate
-    touched = sorted(day_str(r[0]) for r in
-                     read(spark, table).filter(pred).select(table.day).distinct().collect())
-    if not touched:
-        return []
-    kept = read(spark, table, days=touched).filter(~F.coalesce(pred, F.lit(False)))
-    run, rows = _stage(spark, table, kept)
-    _commit(spark, table, run, rows, touched)
+    with _writer(spark, table):
+        touched = sorted(day_str(r[0]) for r in read(spark, table, evolved=True).filter(pred)
+                         .select(table.day).distinct().collect())
+        if not touched:
+            return []
+        kept = read(spark, table, days=touched, evolved=True).filter(~F.coalesce(pred, F.lit(False)))
+        run, rows = _stage(spark, table, kept)
+        _commit(spark, table, run, rows, touched, added=added_columns(spark, table))
     return touched
 
 
@@ -286,76 +369,87 @@ def replace_days(spark: SparkSession, table: Table, df: DataFrame, days=None,
 
     A requested day without rows is removed (the reference's delete + empty
     append).  Rows of days not requested are appended to those days, as the
-    reference's append does.  ``days=None`` replaces the days ``df`` has.
+    reference's append does - so repeating a call repeats *those* rows.
+    ``days=None`` replaces the days ``df`` has.
     """
-    if not exists(spark, table):
-        return create(spark, table, df, evolve=evolve)
-    recover(spark, table)
-    run, rows = _stage(spark, table, conform(df, table, keep_extra=evolve))
-    replace = rows if days is None else [day_str(d) for d in days]
-    _commit(spark, table, run, rows, replace)
+    with _writer(spark, table):
+        if not exists(spark, table):
+            return create(spark, table, df, evolve=evolve)
+        known = added_columns(spark, table)
+        added = _evolved(spark, table, df) if evolve else known
+        run, rows = _stage(spark, table, conform(df, table, added))
+        replace = rows if days is None else [day_str(d) for d in days]
+        _commit(spark, table, run, rows, replace, added=added)
     return sorted(set(rows) | set(replace))
 
 
 def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     """Merge ``df`` into the table on ``table.key``; return touched days.
 
-    Matched target rows take all source columns (also their day, so a row can
-    move to another day); unmatched source rows are inserted; every other row
-    stays.  NULL keys never match.  A target row matched by two source rows is
-    an error; source duplicates of a new key are all inserted.  Source columns
-    the table does not declare are dropped, as the reference's merge does.
-
-    Only days holding a matched target row, plus the source's own days, are
-    rewritten.  The key-set of the (small, daily) source is broadcast by
-    Catalyst when its size estimate is under the broadcast threshold, so the
-    target is scanned but not shuffled; otherwise both sides sort-merge with
-    AQE's skew splitting on the target side.  NULL keys never enter a join.
+    Matched target rows take the columns that the source has (also their day, so
+    a row can move to another day) and keep the others; unmatched source rows
+    are inserted; every other row stays whole, added columns included.  NULL
+    keys never match.  A target row matched by two source rows is an error;
+    source duplicates of a new key are all inserted.  Source columns unknown to
+    the table are dropped, as the reference's merge does.
+
+    Job 1 finds the matches: it scans the key column of the target within the
+    batch's smallest and largest key (an exact filter that Parquet statistics
+    can use) and writes the matched keys with their days to the run's folder.
+    Job 2 rewrites the touched days, which it joins with the batch once; what to
+    insert it knows from the matched keys.  A batch under the broadcast
+    threshold by Catalyst's size estimate is broadcast, so the target is not
+    shuffled; else both sides sort-merge, with AQE's skew splitting.  NULL keys
+    never enter a join.
     """
-    k, d, cols = table.key, table.day, table.columns
+    k, d = table.key, table.day
     if k is None:
         raise ValueError(f"table {table.path} has no key to upsert on")
-    src = conform(df, table)
-    if not exists(spark, table):
-        return create(spark, table, src, evolve=False)
-    recover(spark, table)
-
-    # 0. the source batch, typed, written once into this run's folder: both jobs
-    #    below read the same rows (a bronze file may change meanwhile) and the
-    #    CSV is parsed once; lineage is cut at a table on the shared store
-    run = _new_run(table)
-    src.write.mode("overwrite").parquet(f"{run}/source")
-    src = spark.read.schema(table.schema).parquet(f"{run}/source")
-
-    # 1. touched days and the duplicate check, in one job (bounded by days)
-    s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
-    target_keys = read(spark, table, _recover=False).select(k, d) \
-        .filter(F.col(k).isNotNull())
-    matched = target_keys.join(s_keys, k)
-    info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))
-            .unionByName(src.select(d).distinct().withColumn("_n", F.lit(0).cast("long")))
-            .groupBy(d).agg(F.max("_n").alias("_n"))
-            .collect())
-    if any(r["_n"] > 1 for r in info):
-        FS(spark, run).delete(run)
-        raise ValueError(
-            f"upsert on {k}: a target row matches several source rows")
-    touched = sorted(day_str(r[0]) for r in info)
-
-    # 2. new content of the touched days
-    tgt = read(spark, table, days=touched, _recover=False)
-    tgt_nn, tgt_null = tgt.filter(F.col(k).isNotNull()), tgt.filter(F.col(k).isNull())
-    src_nn, src_null = src.filter(F.col(k).isNotNull()), src.filter(F.col(k).isNull())
-    s = src_nn.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__hit"))
-    updated_or_kept = tgt_nn.join(s, tgt_nn[k] == s[f"__s_{k}"], "left").select(*[
-        F.when(F.col("__hit"), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
-    matched_keys = tgt_nn.select(k).join(s_keys.select(k), k, "left_semi")
-    inserted = src_nn.join(matched_keys, k, "left_anti")
-    merged = (updated_or_kept.unionByName(inserted).unionByName(src_null)
-              .unionByName(tgt_null))
-
-    run, rows = _stage(spark, table, merged, run)
-    _commit(spark, table, run, rows, touched)
+    with _writer(spark, table):
+        if not exists(spark, table):
+            return create(spark, table, conform(df, table), evolve=False)
+        added = added_columns(spark, table)
+        fields = [*table.schema, *added]
+        given = [f.name for f in fields if f.name in df.columns]
+
+        # 0. the source batch, typed, written once into this run's folder: both
+        #    jobs read the same rows and the CSV is parsed once; lineage is cut
+        #    at a table on the shared store
+        run = _new_run(table)
+        src = conform(df, table, added)
+        src.write.mode("overwrite").parquet(f"{run}/source")
+        src = spark.read.schema(T.StructType(fields)).parquet(f"{run}/source")
+        s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
+
+        # 1. matched keys and their days
+        lo, hi = src.agg(F.min(k), F.max(k)).first()
+        target = read(spark, table).select(k, d).filter(F.col(k).isNotNull())
+        if lo is not None:
+            target = target.filter(F.col(k).between(F.lit(lo), F.lit(hi)))
+        target.join(s_keys, k).groupBy(k, d).agg(F.max("_n").alias("_n")).write.parquet(f"{run}/matched")
+        matched = spark.read.schema(T.StructType([table.schema[k], table.schema[d], T.StructField(
+            "_n", T.LongType())])).parquet(f"{run}/matched")
+        info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))
+                .unionByName(src.select(d).distinct().withColumn("_n", F.lit(0).cast("long")))
+                .groupBy(d).agg(F.max("_n").alias("_n")).collect())
+        if any(r["_n"] > 1 for r in info):
+            FS(spark, run).delete(run)
+            raise ValueError(f"upsert on {k}: a target row matches several source rows")
+        touched = sorted(day_str(r[0]) for r in info)
+
+        # 2. new content of the touched days
+        tgt = read(spark, table, days=touched, evolved=True)
+        s = src.filter(F.col(k).isNotNull()).select(
+            F.col(k).alias("__k"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__s_{c}") for c in given])
+        updated_or_kept = tgt.filter(F.col(k).isNotNull()).join(s, F.col(k) == F.col("__k"), "left").select(*[
+            (F.when(F.col("__hit"), F.col(f"__s_{f.name}")).otherwise(F.col(f.name)) if f.name in given
+             else F.col(f.name)).alias(f.name) for f in fields])
+        inserted = src.filter(F.col(k).isNotNull()).join(matched.select(k).distinct(), k, "left_anti")
+        merged = (updated_or_kept.unionByName(inserted)
+                  .unionByName(src.filter(F.col(k).isNull()))
+                  .unionByName(tgt.filter(F.col(k).isNull())))
+        run, rows = _stage(spark, table, merged, run)
+        _commit(spark, table, run, rows, touched, added=added)
     return sorted(set(rows) | set(touched))
 
 

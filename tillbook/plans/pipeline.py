@@ -31,7 +31,7 @@ class Lake:
     def silver(self, domain: Domain) -> Table:
         sort = (domain.key,) if domain.key else ()
         return Table(f"{self.root}/silver/{domain.name}/{domain.name}", domain.day,
-                     domain.schema, domain.key, sort)
+                     domain.schema, domain.key, sort, track=True)
 
     def gold(self, report: Report) -> Table:
         return Table(f"{self.root}/gold/{report.folder}/{report.table}", report.day,
@@ -51,8 +51,13 @@ def ingest(spark: SparkSession, lake: Lake, domain: Domain | str, days) -> list[
     """Load the bronze files of ``days`` into the domain's silver table.
 
     Missing table -> created from the files (T2); keyed domain -> upsert (T6);
-    otherwise the days are replaced (T5).  Returns the days whose silver rows
-    changed (an upsert can touch older days), for the gold refresh.
+    otherwise the days are replaced (T5).  A missing file raises before anything
+    is written.  Returns the days whose silver rows changed (an upsert can touch
+    older days); the table remembers them until the reports are built.
+
+    Repeating a day is safe for rows of that day.  A file of an unkeyed domain
+    that holds rows of another day appends those to it, as the reference does,
+    and a second run appends them again.
     """
     domain = _domain(domain)
     days = [as_date(d) for d in days]
@@ -115,26 +120,49 @@ def build_gold(spark: SparkSession, lake: Lake, report: Report | str, days=None)
 
 
 # --- P3 -----------------------------------------------------------------------
-def backfill(spark: SparkSession, lake: Lake, lo, hi, domains=None) -> dict[str, list[str]]:
-    """Ingest every day of ``lo..hi`` and refresh the gold tables.
+def backfill(spark: SparkSession, lake: Lake, lo, hi, domains=None) -> dict:
+    """Ingest every day of ``lo..hi`` that has a file and refresh the gold tables.
 
-    One job per domain for the whole range (not one per day), then one gold
-    job per report over every day the ingests touched.
+    One job per domain for the whole range (not one per day), then one gold job
+    per report over every day the ingests touched.  Returns ``{"touched": days
+    per domain, "missing": days without a file per domain, "reports": ...}``; a
+    report that fails raises after the others are built.
     """
     days = day_range(lo, hi)
     domains = [_domain(d) for d in (domains or list(DOMAINS))]
-    touched = {d.name: ingest(spark, lake, d, days) for d in domains}
-    refresh_reports(spark, lake, touched)
-    return touched
+    touched, missing = {}, {}
+    for d in domains:
+        there = bronze.days_present(spark, lake.root, d, days)
+        missing[d.name] = sorted({day_str(x) for x in days} - {day_str(x) for x in there})
+        touched[d.name] = ingest(spark, lake, d, there) if there else []
+    reports_ = refresh_reports(spark, lake, touched)
+    failed = {n: r for n, r in reports_.items() if isinstance(r, Exception)}
+    if failed:
+        raise RuntimeError(f"reports failed: { {n: str(e)[:200] for n, e in failed.items()} }") \
+            from next(iter(failed.values()))
+    return {"touched": touched, "missing": missing, "reports": reports_}
 
 
 def refresh_reports(spark: SparkSession, lake: Lake, touched: dict[str, list[str]]) -> dict:
-    """Refresh each report whose inputs all succeeded, over their touched days."""
-    done = {}
+    """Refresh each report whose inputs are all in ``touched``, over their touched days
+    and those that earlier runs left (a run that died between silver and gold, a
+    report that failed).  A silver table forgets its days once its report is built.
+    Returns the days per report, or the exception of one that failed."""
+    done: dict[str, list[str] | Exception] = {}
     for report in REPORTS.values():
-        if all(n in touched for n in report.needs):
-            days = sorted(set().union(*[set(touched[n]) for n in report.needs]))
-            done[report.name] = build_gold(spark, lake, report, days)
+        if not all(n in touched for n in report.needs):
+            continue
+        left = {n: storage.pending(spark, lake.silver(DOMAINS[n])) for n in report.needs}
+        days = {d for n in report.needs for d in touched[n]}
+        days |= {d for commits in left.values() for changed in commits.values() for d in changed}
+        try:
+            if not all(storage.exists(spark, lake.silver(DOMAINS[n])) for n in report.needs):
+                continue                            # a domain that has never had a file
+            done[report.name] = build_gold(spark, lake, report, sorted(days))
+            for n, commits in left.items():
+                storage.clear_pending(spark, lake.silver(DOMAINS[n]), commits)
+        except Exception as e:  # noqa: BLE001 - returned, other reports go on
+            done[report.name] = e
     return done
 
 
@@ -142,8 +170,10 @@ def refresh_reports(spark: SparkSession, lake: Lake, touched: dict[str, list[str
 def run_day(spark: SparkSession, lake: Lake, day) -> dict:
     """The daily run.  Five ingests, then the reports whose inputs loaded.
 
-    A failed domain (say, its file is missing) skips only the reports that
-    need it.  Upserts can touch older days (B6); those are refreshed too.
+    A failed domain (say, its file is missing) skips only the reports that need
+    it, and a failed report stops no other one; nothing is raised, so the caller
+    has to look at ``status``.  Upserts can touch older days (B6); those are
+    refreshed too.
     """
     status, touched = {}, {}
     for domain in (RETURNS, STOCK, SALES, FREIGHT, TAXES):
@@ -151,13 +181,18 @@ def run_day(spark: SparkSession, lake: Lake, day) -> dict:
             touched[domain.name] = ingest(spark, lake, domain, [day])
             status[domain.name] = "ok"
         except Exception as e:  # noqa: BLE001 - reported, other domains go on
-            status[domain.name] = f"failed: {type(e).__name__}: {str(e)[:200]}"
+            status[domain.name] = _failure(e)
     built = refresh_reports(spark, lake, touched)
     for r in REPORTS.values():
-        status[r.name] = "ok" if r.name in built else "skipped"
+        got = built.get(r.name)
+        status[r.name] = "skipped" if got is None else _failure(got) if isinstance(got, Exception) else "ok"
     return {"status": status, "touched": touched}
 
 
+def _failure(e: Exception) -> str:
+    return f"failed: {type(e).__name__}: {str(e)[:200]}"
+
+
 # --- P5 -----------------------------------------------------------------------
 MEASURE = {TAX_REPORT.name: ("TotalImpostoPago", True),
            FREIGHT_REPORT.name: ("TotalFretePago", True),

@@ -35,10 +35,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only where none is set."""
+    """The shared checkpoint folder; a private one only where none is set and the
+    driver is the only executor.  On a cluster a folder of the driver's own disk would
+    be another one on each executor, so an unset folder is an error there."""
     root = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is unset on {master}: it has to name a "
+                               "folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tillbook-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -87,6 +87,17 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
     return out
 
 
+def days_present(spark: SparkSession, root: str, domain: Domain, days) -> list:
+    """Those of ``days`` that have a bronze file."""
+    days = list(days)
+    if not days:
+        return []
+    fs = FS(spark, root)
+    with ThreadPoolExecutor(max_workers=min(16, len(days))) as pool:
+        there = list(pool.map(lambda d: fs.exists(bronze_path(root, domain, d)), days))
+    return [d for d, yes in zip(days, there) if yes]
+
+
 def read_days(spark: SparkSession, root: str, domain: Domain, days,
               infer: bool = False, with_file_day: bool = False) -> DataFrame:
     """S1 + S2 for a list of days of one domain."""
