@@ -81,6 +81,13 @@ def gold_freight_sql(spark, sf_dir):
 
 @register("gold_products", PRODUCTS_SQL)
 def gold_products(spark, sf_dir):
+    return gold.product_summary(fx.returns(spark, sf_dir), fx.stock(spark, sf_dir),
+                                fx.sales(spark, sf_dir))
+
+
+@register("gold_products_tagged", PRODUCTS_SQL)
+def gold_products_tagged(spark, sf_dir):
+    # lines that already carry their flag, read once
     return gold.product_summary_tagged(fx.product_lines(spark, sf_dir))
 
 
@@ -166,6 +173,30 @@ def append_schema_evolution(spark, sf_dir):
     return storage.read(spark, t, evolved=True)
 
 
+_WEB = "concat('web', CAST(pedido_id AS VARCHAR))"
+
+
+@register("upsert_keeps_new_columns", f"""
+SELECT * REPLACE (valor_frete + 1 AS valor_frete), {_WEB} AS canal FROM ({SILVER_SQL['frete']}) f""")
+def upsert_keeps_new_columns(spark, sf_dir):
+    t = _silver(spark, "upsertnew", FREIGHT)
+    f = fx.freight(spark, sf_dir).withColumn("data_envio", F.trunc("data_envio", "month"))
+    storage.append(spark, t, f.withColumn("canal", F.expr("concat('web', CAST(pedido_id AS STRING))")))
+    storage.upsert(spark, t, fx.freight(spark, sf_dir).withColumn("valor_frete", F.col("valor_frete") + 1))
+    return storage.read(spark, t, evolved=True)          # every row matched and moved to its own day
+
+
+@register("delete_where_keeps_new_columns", f"""
+SELECT * FROM (SELECT *, 'u' || CAST(filial_id AS VARCHAR) AS canal FROM ({SILVER_SQL['tributos']}) t) x
+WHERE NOT (valor_pago > 50 AND canal <> 'u3')""")
+def delete_where_keeps_new_columns(spark, sf_dir):
+    t = _silver(spark, "deletenew", TAXES)
+    storage.append(spark, t, fx.taxes(spark, sf_dir).withColumn(
+        "canal", F.expr("concat('u', CAST(filial_id AS STRING))")))
+    storage.delete_where(spark, t, "valor_pago > 50 AND canal <> 'u3'")
+    return storage.read(spark, t, evolved=True)
+
+
 # --- T4 ------------------------------------------------------------------------
 _DROPPED_SQL = f"""SELECT * FROM ({SILVER_SQL['tributos']}) t
 WHERE data_pagamento NOT IN (DATE '{DROPPED[0]}', DATE '{DROPPED[1]}')"""
@@ -248,6 +279,8 @@ def upsert_moves_day(spark, sf_dir):
 BRANCH_PICK = (1, 5, 7, 12)
 RANGE = ("1996-01-01", "1998-12-31")
 PRODUCT_PICK = 10
+ONE_PRODUCT = 2                 # with rows for the picked branches and range
+
 
 
 def _products(spark, sf_dir):
@@ -278,11 +311,11 @@ def report_filter_all_products(spark, sf_dir):
 
 
 @register("report_filter_all", f"""SELECT * FROM ({PRODUCTS_SQL}) p
-WHERE FilialId IN {BRANCH_PICK} AND ProdutoId = {PRODUCT_PICK}
+WHERE FilialId IN {BRANCH_PICK} AND ProdutoId = {ONE_PRODUCT}
   AND CodigoData BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")
 def report_filter_all(spark, sf_dir):
     return reports.filter_report(_products(spark, sf_dir), BRANCH_PICK, RANGE[0], RANGE[1],
-                                 PRODUCT_PICK)
+                                 ONE_PRODUCT)
 
 
 @register("report_filter_no_branch", f"SELECT * FROM ({PRODUCTS_SQL}) p WHERE FALSE")
@@ -442,6 +475,14 @@ def bronze_scan_day(spark, sf_dir):
     return bronze.read_days(spark, lake.root, TAXES, days["tributos"])
 
 
+@register("bronze_scan_infer", f"SELECT * FROM {fx.SQL['tributos']} t")
+def bronze_scan_infer(spark, sf_dir):
+    # inferred types: branch numbers come back as numbers
+    from tillbook.sources import bronze
+    lake, days = _bronze_lake(spark, sf_dir, "infer", (TAXES,))
+    return bronze.read_days(spark, lake.root, TAXES, days["tributos"], infer=True)
+
+
 @register("ingest_sales_replace", SILVER_SQL["vendas"])
 def ingest_sales_replace(spark, sf_dir):
     lake, days = _bronze_lake(spark, sf_dir, "ingestsales", (SALES,))
@@ -458,6 +499,19 @@ def ingest_freight_upsert(spark, sf_dir):
     return storage.read(spark, lake.silver(FREIGHT))
 
 
+RETURNS_SQL = f"SELECT * REPLACE ({_as_text('pedido_id', 'filial_id')}) FROM {fx.SQL['devolucao_pedido']} d"
+
+
+@register("ingest_returns_upsert", f"SELECT * REPLACE (quantidade + 1 AS quantidade) FROM ({RETURNS_SQL}) r")
+def ingest_returns_upsert(spark, sf_dir):
+    lake = _lake(spark, "ingestreturns")
+    first = fx.returns_by_order(spark, sf_dir)
+    for df in (first, first.withColumn("quantidade", F.col("quantidade") + 1)):
+        days = fx.write_bronze(spark, lake.root, RETURNS, df)
+        pipeline.ingest(spark, lake, RETURNS, days)      # bootstrap, then an upsert of every key
+    return storage.read(spark, lake.silver(RETURNS))
+
+
 @register("backfill_range", _gold_text(TAXES_SQL))
 def backfill_range(spark, sf_dir):
     lake, days = _bronze_lake(spark, sf_dir, "backfill", (TAXES,))
@@ -466,18 +520,68 @@ def backfill_range(spark, sf_dir):
     return storage.read(spark, lake.gold(TAX_REPORT))
 
 
-@register("run_day_summary", _gold_text(PRODUCTS_SQL))
+@register("backfill_keyed_with_gaps", f"""
+SELECT * REPLACE (quantidade + 1 AS quantidade, CAST(data_devolucao + INTERVAL 1 MONTH AS DATE) AS data_devolucao)
+FROM ({RETURNS_SQL}) r""")
+def backfill_keyed_with_gaps(spark, sf_dir):
+    # a file on the first of each month only; every key again, changed, in the next
+    # month's file, whose row wins
+    lake = _lake(spark, "backfillkeyed")
+    first = fx.returns_by_order(spark, sf_dir)
+    later = first.withColumns({"quantidade": F.col("quantidade") + 1,
+                               "data_devolucao": F.add_months("data_devolucao", 1)})
+    days = fx.write_bronze(spark, lake.root, RETURNS, first.unionByName(later))
+    out = pipeline.backfill(spark, lake, min(days), max(days), domains=["devolucao"])
+    assert out["missing"]["devolucao"] and set(days) <= set(out["touched"]["devolucao"])
+    return storage.read(spark, lake.silver(RETURNS))
+
+
+# All five domains on common days, the first of a month.
+MONTHLY = {
+    "frete": "SELECT * REPLACE (CAST(date_trunc('month', data_envio) AS DATE) AS data_envio)"
+             f" FROM {fx.SQL['frete']} f",
+    "tributos": "SELECT CAST(DATE '1996-01-01' + to_months(CAST(user_id % 24 AS INTEGER)) AS DATE)"
+                " AS data_pagamento, event_type AS tipo_imposto, value AS valor_pago,"
+                f" user_id % {fx.BRANCHES} AS filial_id FROM events",
+}
+
+
+def _monthly(spark, sf_dir) -> dict:
+    frames = {n: f(spark, sf_dir) for n, f in fx.FRAMES.items()}
+    frames["frete"] = frames["frete"].withColumn("data_envio", F.trunc("data_envio", "month"))
+    frames["tributos"] = frames["tributos"].withColumn(
+        "data_pagamento", F.expr("add_months(DATE'1996-01-01', CAST(filial_id AS INT))"))
+    return frames
+
+
+@register("run_day_summary", f"""
+SELECT 'taxes' AS report, CodigoData, CAST(FilialId AS VARCHAR) AS FilialId, TipoImposto AS item,
+       TotalImpostoPago AS total FROM ({TAXES_SQL.replace(fx.SQL['tributos'], f"({MONTHLY['tributos']})")}) t
+UNION ALL
+SELECT 'freight', CodigoData, CAST(FilialId AS VARCHAR), Transportadora, TotalFretePago
+FROM ({FREIGHT_SQL.replace(fx.SQL['frete'], f"({MONTHLY['frete']})")}) f
+UNION ALL
+SELECT 'products', CodigoData, CAST(FilialId AS VARCHAR), CAST(ProdutoId AS VARCHAR), TotalValorVendido
+FROM ({PRODUCTS_SQL}) p""")
 def run_day_summary(spark, sf_dir):
-    # History without one day, then the daily run adds that day.  (Re-running
-    # a day would insert the returns again: their order id is NULL here, and
-    # NULL keys never match in an upsert - the reference's merge does the same.)
-    doms = (RETURNS, STOCK, SALES)
-    lake, days = _bronze_lake(spark, sf_dir, "runday", doms)
-    common = sorted(set(days["vendas"]) & set(days["estoque"]) & set(days["devolucao"]))
+    # History without one day, then the daily run adds that day to all five
+    # domains and all three reports.  (Re-running a day would insert the returns
+    # again: their order id is NULL here, and NULL keys never match in an upsert
+    # - the reference's merge does the same.)
+    lake, frames = _lake(spark, "runday"), _monthly(spark, sf_dir)
+    days = {n: fx.write_bronze(spark, lake.root, DOMAINS[n], df) for n, df in frames.items()}
+    common = sorted(set.intersection(*map(set, days.values())))
     today = common[len(common) // 2]
-    for d in doms:
-        pipeline.ingest(spark, lake, d, [x for x in days[d.name] if x != today])
-    pipeline.build_gold(spark, lake, PRODUCT_REPORT)
+    for n in frames:
+        pipeline.ingest(spark, lake, n, [x for x in days[n] if x != today])
+    for name in pipeline.REPORTS:
+        pipeline.build_gold(spark, lake, name)
     out = pipeline.run_day(spark, lake, today)
-    assert out["status"]["products"] == "ok", out
-    return storage.read(spark, lake.gold(PRODUCT_REPORT))
+    assert set(out["status"].values()) == {"ok"}, out
+    one = {n: storage.read(spark, lake.gold(r)) for n, r in pipeline.REPORTS.items()}
+    return one["taxes"].selectExpr(
+        "'taxes' AS report", "CodigoData", "FilialId", "TipoImposto AS item", "TotalImpostoPago AS total").unionByName(
+        one["freight"].selectExpr("'freight' AS report", "CodigoData", "FilialId", "Transportadora AS item",
+                                  "TotalFretePago AS total")).unionByName(
+        one["products"].selectExpr("'products' AS report", "CodigoData", "FilialId",
+                                   "CAST(ProdutoId AS STRING) AS item", "TotalValorVendido AS total"))

@@ -18,6 +18,7 @@ from tillbook.schemas import FREIGHT, RETURNS, SALES, STOCK, TAXES
 # --- fixed values: how the driver's columns stand in for the domains ---------
 SALE_FLAG, STOCK_FLAG, RETURN_FLAG = "N", "A", "R"
 BRANCHES = 24   # tax branch = user_id % 24
+PRODUCTS = 50   # product of an order's return = customer % 50
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -71,8 +72,8 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # No unique order id exists for a returned line, so pedido_id is NULL and
-    # this domain is never used for upsert tests.
+    # No unique order id exists for a returned line, so pedido_id is NULL here;
+    # returns_by_order has returns with a key.
     return _lines(spark, sf_dir, RETURN_FLAG).selectExpr(
         "CAST(NULL AS STRING) AS pedido_id", "product AS produto_id", "qty AS quantidade",
         "CAST(NULL AS STRING) AS motivo", "day AS data_devolucao", "branch AS filial_id")
@@ -88,6 +89,16 @@ def freight(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_nationkey AS filial_id")
 
 
+def returns_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns keyed by order: one per order, on the first of its month."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return o.join(c, F.expr("o_custkey = c_custkey")).selectExpr(
+        "o_orderkey AS pedido_id", f"CAST(o_custkey % {PRODUCTS} AS INT) AS produto_id",
+        "CAST(1 + o_orderkey % 9 AS INT) AS quantidade", "o_orderpriority AS motivo",
+        "trunc(to_date(o_orderdate), 'month') AS data_devolucao", "c_nationkey AS filial_id")
+
+
 def taxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "to_date(ts) AS data_pagamento", "event_type AS tipo_imposto",
@@ -113,6 +124,11 @@ SQL = {
     "devolucao": f"""(SELECT CAST(NULL AS VARCHAR) AS pedido_id, product AS produto_id,
         qty AS quantidade, CAST(NULL AS VARCHAR) AS motivo, day AS data_devolucao,
         branch AS filial_id FROM {LINES_SQL} x WHERE flag = 'R')""",
+    "devolucao_pedido": f"""(SELECT o.o_orderkey AS pedido_id,
+        CAST(o.o_custkey % {PRODUCTS} AS INTEGER) AS produto_id,
+        CAST(1 + o.o_orderkey % 9 AS INTEGER) AS quantidade, o.o_orderpriority AS motivo,
+        CAST(date_trunc('month', o.o_orderdate) AS DATE) AS data_devolucao, c.c_nationkey AS filial_id
+   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)""",
     "frete": """(SELECT o.o_orderkey AS pedido_id, o.o_totalprice AS valor_frete,
         CAST(o.o_orderdate AS DATE) AS data_envio, o.o_orderpriority AS transportadora,
         c.c_nationkey AS filial_id
