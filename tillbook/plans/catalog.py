@@ -546,7 +546,7 @@ MONTHLY = {
 }
 
 
-def _monthly(spark, sf_dir) -> dict:
+def monthly_frames(spark, sf_dir) -> dict:
     frames = {n: f(spark, sf_dir) for n, f in fx.FRAMES.items()}
     frames["frete"] = frames["frete"].withColumn("data_envio", F.trunc("data_envio", "month"))
     frames["tributos"] = frames["tributos"].withColumn(
@@ -568,7 +568,7 @@ def run_day_summary(spark, sf_dir):
     # domains and all three reports.  (Re-running a day would insert the returns
     # again: their order id is NULL here, and NULL keys never match in an upsert
     # - the reference's merge does the same.)
-    lake, frames = _lake(spark, "runday"), _monthly(spark, sf_dir)
+    lake, frames = _lake(spark, "runday"), monthly_frames(spark, sf_dir)
     days = {n: fx.write_bronze(spark, lake.root, DOMAINS[n], df) for n, df in frames.items()}
     common = sorted(set.intersection(*map(set, days.values())))
     today = common[len(common) // 2]
