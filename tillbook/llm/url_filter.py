@@ -140,7 +140,8 @@ def judged(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str
     own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("__url")).withColumns({
         "host": host_of(F.col("__url")), "path": path_of(F.col("__url")), "tokens": tokens_of(F.col("__url"))})
     own = own.withColumn("fit", fixed_rule(F.col("host"), F.col("path"), rules))
-    blocked = matched(own.filter(F.col("fit").isNull()).select("tokens").distinct(), found)
+    blocked = stored(matched(own.filter(F.col("fit").isNull()).select("tokens").distinct(), found),
+                     "blocked-tokens")
     return own.join(blocked, "tokens", "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
         F.coalesce(F.col("fit.verdict"), F.when(F.col("confidence").isNotNull(), "block").otherwise("allow"))
