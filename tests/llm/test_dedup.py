@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from made import docs_of  # noqa: F401
 from tillbook.llm import components, exact_dedup, simhash, substring_dedup
 
 SF = "/root/testdata/sf0.001"

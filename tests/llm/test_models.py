@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from made import docs_of  # noqa: F401
 from tillbook.llm import langid, quality
 from tillbook.llm.common import held_out
 

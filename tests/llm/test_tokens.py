@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
+from made import docs_of  # noqa: F401
 from tillbook.llm import byte_bpe, packing
 
 SF = "/root/testdata/sf0.001"
