@@ -268,8 +268,11 @@ def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
         F.min(F.struct("key", "xx")).alias("r"), F.first("phrases").alias("phrases")).select(
         "sha", "r.key", "r.xx", "phrases")
     each = texts.select("sha", "key", "xx", F.explode("phrases").alias("h"))
-    recurring = each.groupBy("h").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a < b")
-    known = each.join(recurring.select("h"), "h").groupBy("sha", "key", "xx").agg(
+    # what hot keys are joined with is stored first: then both sides of the join come
+    # straight from shuffles, and AQE can split the partition of a hot key
+    recurring = stored(each.groupBy("h").agg(F.min("key").alias("a"), F.max("key").alias("b"))
+                       .filter("a < b").select("h"), "recurring")
+    known = each.join(recurring, "h").groupBy("sha", "key", "xx").agg(
         F.collect_list("h").alias("phrases"))
     squeezed = d.mapInArrow(_squeeze, "key long, xx long, ztext binary")
     located = stored(
@@ -277,15 +280,16 @@ def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
             _locate(window, phrase), "sha binary, key long, ztext binary, at array<int>, "
             "hi array<long>, lo array<long>"), "windows")
     windows = located.select("sha", "key", F.inline(F.arrays_zip("at", "hi", "lo")))
-    least = windows.groupBy("hi", "lo").agg(F.min("key").alias("first_key"))
+    least = stored(windows.groupBy("hi", "lo").agg(F.min("key").alias("first_key"), F.max("key").alias("b"))
+                   .filter("first_key < b").drop("b"), "window-owners")
     starts = windows.join(least, ["hi", "lo"]).filter("key > first_key").groupBy("sha").agg(
         F.collect_set("at").alias("starts"))
     changed = located.select("sha", "ztext").dropDuplicates(["sha"]).join(starts, "sha").mapInArrow(
         _remove(window, with_text), "sha binary, n_removed long, kept_sha256 string"
         + (", kept_text string" if with_text else ""))
-    first = texts.select("sha", F.col("key").alias("first_key"))
-    both = rows.select("key", "xx", "n_words", "sha").join(
-        first.join(changed, "sha", "left"), "sha", "left")
+    first = stored(texts.select("sha", F.col("key").alias("first_key")).join(changed, "sha", "left"),
+                   "judged-texts")
+    both = rows.select("key", "xx", "n_words", "sha").join(first, "sha", "left")
     copy = F.col("key") > F.col("first_key")             # false where there is no window
     out = {"n_removed": F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))),
            "kept_sha256": F.when(copy, F.sha2(F.lit(""), 256)).otherwise(
