@@ -137,8 +137,9 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "node", "fp"), "fingerprint-components")
     least = found.join(fps, "fp").groupBy("component").agg(F.min("id").alias("component_id"))
     linked = found.join(least, "component").select("fp", "component_id")
-    label = fps.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "id").alias("component_id"))
+    # stored, so that the last join reads straight from shuffles and AQE can split a hot one
+    label = stored(fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "id").alias("component_id")), "fingerprint-labels")
     return rows.join(label, "fp").select(
         "doc_id", "xx", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
 
