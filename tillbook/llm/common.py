@@ -21,6 +21,9 @@ from tillbook.session import scratch_dir
 #: Text bytes that a task holds at once (a single longer text counts as one).
 SLICE_BYTES = 4 << 20
 
+#: Range of :func:`place`.
+PLACES = 1 << 40
+
 #: The white space that splits words: [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -50,6 +53,23 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
+def place(col) -> F.Column:
+    """A hash of an id, evenly spread over 0 to PLACES - 1."""
+    return F.pmod(F.xxhash64(col), F.lit(PLACES))
+
+
+def share_below(rows, of) -> F.Column:
+    """The place below which about twice ``rows`` (and some) of ``of`` rows lie: whoever
+    looks for the ``rows`` least places reads no more than these, at any table size."""
+    return F.least(F.lit(1.0), (F.lit(2.0 * rows) + 1000) / of) * PLACES
+
+
+def least_places(df: DataFrame, doc_id: str, rows: int) -> DataFrame:
+    """The ``rows`` rows of ``df`` whose ids have the least places."""
+    few = df.filter(place(doc_id) < share_below(rows, F.lit(max(1, df.count()))))
+    return few.orderBy(place(doc_id), doc_id).limit(rows)
+
+
 # --- inside tasks -----------------------------------------------------------
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -34,7 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.common import _flags, distinct, held_out, slices, spans_to_array, text_buffer, word_spans
+from tillbook.llm.common import (
+    _flags,
+    distinct,
+    held_out,
+    least_places,
+    slices,
+    spans_to_array,
+    text_buffer,
+    word_spans,
+)
 
 #: Labelled rows that are learned from, at most.
 MAX_ROWS = 10_000
@@ -213,7 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     known = known.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     present = known.groupBy("doc_id").agg(F.min("label").alias("label")).join(
         docs.select(F.col(doc_id).cast("long").alias("doc_id")), "doc_id", "left_semi")
-    chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).collect()
+    chosen = least_places(present, "doc_id", max_rows).collect()
     sample = F.broadcast(spark.createDataFrame(           # at most max_rows pairs of numbers
         [(r["doc_id"], r["label"]) for r in chosen], "__doc long, label int"))
     d = docs.withColumn("__doc", F.col(doc_id).cast("long")).join(sample, "__doc")
@@ -223,8 +232,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     found = one.select("doc_id", "r.*").toArrow().sort_by("doc_id")
     bucket, weight, stats = (_flat(found[c]) for c in ("bucket", "weight", "stats"))
     size = pc.list_value_length(found["bucket"]).to_numpy()
-    return fit(np.append(0, np.cumsum(size, dtype=np.int64)), bucket.astype(np.int64), weight,
-               stats.reshape(-1, N_STATS), found["label"].to_numpy().astype(np.float64))
+    model = fit(np.append(0, np.cumsum(size, dtype=np.int64)), bucket.astype(np.int64), weight,
+                stats.reshape(-1, N_STATS), found["label"].to_numpy().astype(np.float64))
+    del found, bucket, weight, stats, size
+    pa.default_memory_pool().release_unused()             # the driver runs on with the model only
+    return model
 
 
 def _flat(lists: pa.ChunkedArray) -> np.ndarray:
