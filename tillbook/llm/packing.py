@@ -103,7 +103,12 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, text: str = "text",
 def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[tuple]:
     """Placements (length, first rank, end rank, first sequence, copies per
     sequence, offset): rank r of the length stands in sequence
-    first + (r - first rank) // copies at offset + length * ((r - first rank) % copies)."""
+    first + (r - first rank) // copies at offset + length * ((r - first rank) % copies).
+
+    A length opens at most two patterns and splits at most one, so there are at most
+    3 * size patterns of at most sqrt(2 * size) different lengths: a bound on the
+    placements that does not know the input's size.
+    """
     packs: list[tuple[int, int, int]] = []             # (-room, first sequence, how many)
     placed, sequences = [], 0
     for length in sorted(histogram, reverse=True):
