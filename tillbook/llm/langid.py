@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillbook.llm.common import SPACES, held_out, slices, words_of
+from tillbook.llm.common import SPACES, held_out, place, share_below, slices, stored, words_of
 
 ORDER = 4
 #: Labelled rows of each language that are learned from, at most.
@@ -123,13 +123,18 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(lang).alias("lang"),
                     F.col(text).cast("string").alias("text"))
     d = d.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
-    # ids first: texts of all rows are never sorted
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "t")
-    pick = d.select("id", "lang", F.xxhash64("text").alias("t")).distinct().withColumn(
+    # few rows of a language stay before they are ranked, and ids only: no task sees them all;
+    # the counts are stored, so that their size is known and rows need no shuffle to meet them
+    per = stored(d.groupBy("lang").agg(F.count(F.lit(1)).alias("of")), "language-counts")
+    few = d.select("id", "lang", F.xxhash64("text").alias("t")).join(per, "lang").filter(
+        place("id") < share_below(rows_per_language, F.col("of")))
+    order = Window.partitionBy("lang").orderBy(place("id"), "id", "t")
+    pick = few.select("id", "lang", "t").distinct().withColumn(
         "n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language)
-    pick = docs.sparkSession.createDataFrame(
-        pick.select("id", "lang", "t").collect(), "id long, lang string, t long")
-    sample = d.withColumn("t", F.xxhash64("text")).join(F.broadcast(pick), ["id", "lang", "t"]).select(
+    # a stored table of known size: Catalyst broadcasts it below the threshold, so that no
+    # text is shuffled, and shuffles it if there are that many languages
+    pick = stored(pick.select("id", "lang", "t"), "language-sample")
+    sample = d.withColumn("t", F.xxhash64("text")).join(pick, ["id", "lang", "t"]).select(
         "id", "lang", "text").distinct()
     counts = sample.select("lang", F.explode(F.split("text", f"[{SPACES}]+")).alias("word")).filter(
         "word != ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).toArrow()
