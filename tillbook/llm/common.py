@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillbook.session import scratch_dir
 
 #: Text bytes that a task holds at once (a single longer text counts as one).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Range of :func:`place`.
 PLACES = 1 << 40
@@ -83,6 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             to = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()             # the worker lives on with other tasks
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

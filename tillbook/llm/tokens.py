@@ -15,7 +15,7 @@ import pyarrow as pa
 from tillbook.llm.common import _flags, binary_array, distinct
 
 #: Distinct segments that a task remembers with their ids.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 200_000
 
 _LETTER = _flags(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _SIGN = _flags([0x97, 0xB7])               # U+00D7 and U+00F7, after the byte C3
