@@ -131,6 +131,24 @@ def test_mined_rules_and_matching(spark):
         assert verdict[i] == "block" or not bad(u)
 
 
+def test_mined_rules_of_more_than_four_tokens(spark):
+    parts = ["news", "win", "ref", "page", "top"]
+
+    def url(n, *other):
+        one, two, three, four, mark = [f"x{i}" if i in other else p for i, p in enumerate(parts)]
+        return f"http://a.org/{one}/{two}/{n}?{three}=1&{four}={n}#{mark}"
+    # all five parts are bad; whatever lacks one of them is good
+    rows = [(url(n), True) for n in range(40)] + [(url(n, i), False) for i in range(5) for n in range(50)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    seen = labelled.select(url_filter.tokens_of(F.col("url")).alias("tokens"), "bad")
+    want = plain_rules([(r.tokens, r.bad) for r in seen.collect()], 0, 30, 0.6, most=8)
+    got = {tuple(r.tokens): r.confidence for r in url_filter.mine(seen).collect()}
+    assert got == pytest.approx(want) and [len(t) for t in got] == [5]
+    pages = spark.createDataFrame(list(enumerate(u for u, _ in rows)), "page_id long, url string")
+    verdict = {r.page_id: r.verdict for r in url_filter.judged(pages, labelled, ()).collect()}
+    assert [verdict[i] == "block" for i in range(len(rows))] == [b for _, b in rows]
+
+
 def test_labelled_pages(spark):
     pages = spark.createDataFrame([("http://a/en/12.html#top",), ("http://a/12/",), ("http://a/x",), (None,),
                                    ("http://a/7?x=12",), ("http://a/" + "9" * 30,)], "url string")

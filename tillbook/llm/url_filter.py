@@ -36,7 +36,7 @@ from tillbook.llm.common import stored
 #: (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE, MAX_TOKENS = 0.001, 30, 0.6, 4
+MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.001, 30, 0.6
 
 BAD = "label=bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,20 +102,21 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int =
     # a rule's support counts the URLs that hold its tokens and the label
     model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / rows),
                      minConfidence=min_confidence).fit(items)
-    short = stored(model.freqItemsets.filter(F.size("items") <= MAX_TOKENS + 1).select(
-        F.array_sort("items").alias("items"), "freq"), "itemsets")
-    whole = short.filter(~F.array_contains("items", BAD)).withColumnsRenamed({"items": "tokens", "freq": "n"})
-    bad = short.filter(F.array_contains("items", BAD)).select(
-        F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("n_bad"))
-    rules = bad.join(whole, "tokens").withColumn("confidence", F.col("n_bad") / F.col("n")).filter(
-        F.col("confidence") >= min_confidence)
+    # a longer host suffix implies the shorter ones: a set of two of them counts the same URLs
+    # as without the shorter, and falls by that; sets of any other tokens are rules of any length
+    sets = model.freqItemsets.filter(F.size(F.filter("items", lambda t: t.startswith("host="))) <= 1)
+    labelled_so = F.array_contains("items", BAD)
+    rules = stored(sets.groupBy(F.array_sort(F.array_remove("items", BAD)).alias("tokens")).agg(
+        F.max(F.when(~labelled_so, F.col("freq"))).alias("n"), F.max(F.when(labelled_so, F.col("freq"))).alias("n_bad"))
+        .withColumn("confidence", F.col("n_bad") / F.col("n"))
+        .filter((F.size("tokens") > 0) & (F.col("confidence") >= min_confidence)), "rules")
     # a rule falls if dropping one token leaves a rule that is as confident
     parts = rules.select("tokens", "confidence", F.explode("tokens").alias("t")).withColumn(
         "part", F.array_remove(F.col("tokens"), F.col("t")))
     lesser = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"))
     falls = parts.join(lesser, "part").filter("part_confidence >= confidence").select("tokens")
     rules = rules.join(falls, "tokens", "left_anti")
-    single = whole.filter(F.size("tokens") == 1).select(F.col("tokens")[0].alias("t"), F.col("n").alias("t_n"))
+    single = seen.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("t_n"))
     key = rules.select("tokens", "confidence", F.explode("tokens").alias("t")).join(single, "t").groupBy(
         "tokens").agg(F.min(F.struct("t_n", "t")).alias("k"), F.max("confidence").alias("confidence"))
     return key.select("tokens", F.col("k.t").alias("key"), "confidence")
