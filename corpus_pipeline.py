@@ -37,7 +37,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in training sequences."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 STAGES = [("quality", good), ("exact_dedup", exact), ("simhash_near_dedup", near),

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
+import corpus_pipeline
 from made import docs_of  # noqa: F401
-from tillbook.llm import byte_bpe, packing
+from tillbook.llm import byte_bpe, packing, registry
 
 SF = "/root/testdata/sf0.001"
 RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -119,6 +120,30 @@ def test_packing_edges(docs_of, size):
     check_packing(rows, tokens_of(EDGES), size)
 
 
+MARKED = [(1, "see <|endoftext|> here"), (2, "a<|startoftext|>b<|endoftext|><|endoftext|>\u0301x"), (3, "<|ENDOFTEXT|> Cut"),
+          (4, "<|endoftext|>"), (5, "a <|endof"), (6, "text|> b"), (7, None), (8, "<|<|endoftext|>|> é<|startoftext|>é, c"),
+          (9, "<|endoftext|" * 3 + ">"), (10, "\x00\x00 <|endoftext|>\n<|endoftext |>"), (11, ""), (12, "no mark, at all")]
+
+
+def test_packing_added_tokens_as_the_tokenizer_has_them(docs_of):
+    t = Tokenizer.from_file(WORDS)
+    ids = {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in MARKED}
+    assert ids[1] == [862, 49407, 763, 1]
+    for n in (1, 4):
+        rows = packing.packed(docs_of(MARKED).coalesce(n), WORDS, 64, added_tokens=True).collect()
+        check_packing(rows, ids, 64)
+
+
+@pytest.mark.parametrize("name", ["op4_packing", "pipeline"])
+def test_packing_queries_match_added_tokens(spark, docs_of, tmp_path, name):
+    docs_of(MARKED).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    out = registry.QUERIES[name](spark, str(tmp_path)) if name in registry.QUERIES else dict(
+        corpus_pipeline.STAGES)["packing"](spark, docs, str(tmp_path))
+    t = Tokenizer.from_file(WORDS)
+    check_packing(out.collect(), {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in MARKED}, 2048)
+
+
 def test_packing_documents_with_little_padding(spark):
     docs = brute.rows(SF, "documents", "doc_id, text")
     ids = tokens_of(docs)

@@ -16,7 +16,9 @@ Ranks need no task that sees a whole length (a third of all rows may share
 one): pieces are numbered within (length, bucket), with the bucket's offset
 from the counts per (length, bucket).
 
-Defined cases: a null or empty text is the end id alone; repeated rows are
+Defined cases: a text is plain text unless ``added_tokens``, with which the added
+tokens of the tokenizer's file are matched where a text has them as they stand,
+before it is normalised; a null or empty text is the end id alone; repeated rows are
 packed each; ties of length go by bucket, doc_id, start and checksum; an empty
 table gives an empty result.
 """
@@ -24,6 +26,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -49,32 +52,68 @@ def _plain() -> np.ndarray:
     return out
 
 
-def _encoder(path: str):
+def _tokenizer(path: str):
+    """The tokenizer for segments as plain text; _Added finds the added tokens in whole texts."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def _encoder(tokenizer):
     return lambda words: [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
                           for w in words]
 
 
-def document_ids(batch: pa.RecordBatch, memo: Memo, plain: np.ndarray
+class _Added:
+    """Added tokens of the tokenizer's file, found in texts before these are normalised."""
+
+    def __init__(self, tokenizer):
+        self.ids = {t.content.encode(): i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        longest = sorted(self.ids, key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(map(re.escape, longest))) if longest else None
+
+    def spans(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """((start, end) of each occurrence, its id); none runs over a document's end."""
+        buffer, found = memoryview(data), []
+        if self.pattern and self.pattern.search(buffer):
+            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                found += [(*m.span(), self.ids[m.group()]) for m in self.pattern.finditer(buffer, a, b)]
+        out = np.array(found, np.int64).reshape(-1, 3)
+        return out[:, :2], out[:, 2]
+
+
+def document_ids(batch: pa.RecordBatch, memo: Memo, plain: np.ndarray, added: _Added | None = None
                  ) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all documents, bounds) without the end id."""
     data, off = text_buffer(batch.column("text"))
-    codes, words, bounds = segments(plain[data], off)
+    spans, ids = added.spans(data, off) if added else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+    data, edges = plain[data], off
+    if len(spans):                                       # segments of their own: nothing is cut in zeros
+        edges = np.unique(np.concatenate([off, spans.ravel()]))
+        for a, b in spans.tolist():
+            data[a:b] = 0
+    codes, words, bounds = segments(data, edges)
     lists = memo(words.to_pylist())
+    if len(spans):
+        bounds, starts = bounds[np.searchsorted(edges, off)], bounds[np.searchsorted(edges, spans[:, 0])]
+        known, number = np.unique(ids, return_inverse=True)
+        codes = codes.copy()
+        codes[starts] = len(lists) + number
+        lists = lists + [np.array([i], np.uint32) for i in known]
     at = np.zeros(len(lists) + 1, np.int64)
     np.cumsum([len(x) for x in lists], out=at[1:])
     flat = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
     return gather(at, codes, flat, bounds)
 
 
-def _piece_batches(path: str, size: int, with_ids: bool):
+def _piece_batches(path: str, size: int, with_ids: bool, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, plain = Memo(_encoder(path)), _plain()
+        tokenizer, plain = _tokenizer(path), _plain()
+        memo, added = Memo(_encoder(tokenizer)), _Added(tokenizer) if added_tokens else None
         for batch in slices(batches):
-            ids, bounds = document_ids(batch, memo, plain)
+            ids, bounds = document_ids(batch, memo, plain, added)
             rows: list[tuple] = []
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(),
                                  bounds[1:].tolist(), strict=True):
@@ -93,10 +132,10 @@ def _piece_batches(path: str, size: int, with_ids: bool):
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, text: str = "text",
-           doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
+           doc_id: str = "doc_id", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                     F.col(text).cast("string").alias("text"))
-    return d.mapInArrow(_piece_batches(path, size, with_ids),
+    return d.mapInArrow(_piece_batches(path, size, with_ids, added_tokens),
                         PIECES + (", ids array<int>" if with_ids else ""))
 
 

@@ -66,7 +66,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"),
-                          public_tokenizers.path("word_bpe_49k.json"))
+                          public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 OP2_SQL = r"""
