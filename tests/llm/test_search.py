@@ -149,6 +149,14 @@ def test_mined_rules_of_more_than_four_tokens(spark):
     assert [verdict[i] == "block" for i in range(len(rows))] == [b for _, b in rows]
 
 
+@pytest.mark.parametrize("others", [15, 100_000])
+def test_least_number_of_bad_urls_is_the_same_at_any_size(spark, others):
+    def seen(host, n, bad):
+        return spark.range(n).select(F.array(F.lit(f"host={host}")).alias("tokens"), F.lit(bad).alias("bad"))
+    labelled = seen("spam", 30, True).union(seen("few", 29, True)).union(seen("good", others, False))
+    assert [(r.tokens, r.confidence) for r in url_filter.mine(labelled).collect()] == [(["host=spam"], 1.0)]
+
+
 def test_labelled_pages(spark):
     pages = spark.createDataFrame([("http://a/en/12.html#top",), ("http://a/12/",), ("http://a/x",), (None,),
                                    ("http://a/7?x=12",), ("http://a/" + "9" * 30,)], "url string")

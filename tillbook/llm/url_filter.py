@@ -8,9 +8,9 @@ column expressions.
 Other URLs are judged by mined rules.  A URL is a set of tokens: the first host
 label, host suffixes, path words, extension, query parameters and fragment,
 numbers as ``#``.  Spark's FP-growth finds token combinations that are frequent among the
-labelled URLs together with the label ``bad``; rules tokens -> bad are kept at
-the given support (a share of the labelled URLs, and a least number of them) and
-confidence, unless a rule with fewer of the same tokens
+labelled URLs together with the label ``bad``; rules tokens -> bad are kept from
+a least number of bad URLs on, the same however many URLs are labelled (and a share of
+them, if one is given), and at the given confidence, unless a rule with fewer of the same tokens
 is as confident.  A rule is filed in an inverted index under its least frequent
 token; the distinct token sets of all URLs look their tokens up there, and a
 rule matches if the set holds all its tokens.
@@ -36,7 +36,7 @@ from tillbook.llm.common import stored
 #: (verdict, host, path)
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.001, 30, 0.6
+MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.0, 30, 0.6
 
 BAD = "label=bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -99,8 +99,9 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_rows: int =
     rows = items.count()
     if rows < max(1, min_rows):
         return spark.createDataFrame([], "tokens array<string>, key string, confidence double")
-    # a rule's support counts the URLs that hold its tokens and the label
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / rows),
+    # a rule's support counts the URLs that hold its tokens and the label; FP-growth rounds
+    # support * rows up, so half a row less keeps min_rows whatever the division rounds to
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, (min_rows - 0.5) / rows),
                      minConfidence=min_confidence).fit(items)
     # a longer host suffix implies the shorter ones: a set of two of them counts the same URLs
     # as without the shorter, and falls by that; sets of any other tokens are rules of any length
