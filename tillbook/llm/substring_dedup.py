@@ -8,11 +8,12 @@ window covers whose words also start in a document with a smaller doc_id.
    phrases, so windows that recur lie around phrases that recur.  One scan
    writes each document's phrase hashes; texts with the same words are joined
    into one, and phrases of one document only fall away.
-2. Automata: documents that hold recurring phrases come with the list of theirs.
-   Each shard of documents (a few MB of text) compiles one Aho-Corasick
-   automaton of the phrases known for it and streams its documents through,
-   which finds every occurrence by its words.  The automata grow with the text,
-   not with its square: a shard never meets phrases that are not in it.
+2. Locating: a join of the fingerprints gives documents that hold recurring
+   phrases the list of theirs; other documents are not read again.  Each shard of
+   documents (a few MB of text) compiles one Aho-Corasick automaton of the phrases
+   at the places so found and streams its documents through, which re-checks those
+   places by their words and adds none.  The automata grow with the text, not with
+   its square: a shard never meets phrases that are not in it.
 3. Confirmation: windows whose least phrase was found carry a 128-bit hash of
    their words; the smallest doc_id per hash is worked out with map-side
    aggregation and joined back, and what a window of another document covers is
