@@ -74,3 +74,18 @@ def substring(docs, window=50):
         kept = " ".join(x for p, x in enumerate(w) if p not in gone)
         out[i] = (len(w), len(gone), sha256(kept.encode()).hexdigest())
     return out
+
+
+def fill_middle(doc_id, text):
+    """(n, form, prefix_chars, middle_chars, output) of one document."""
+    text = text or ""
+    h = sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    n = len(text)
+    p, q = sorted((h1 % (n + 1), h2 % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return n, "plain", None, None, text
+    a, m, z = text[:p], text[p:q], text[q:]
+    if h4 % 100 < 20:
+        return n, "spm", p, q - p, f"<S>{z}<P>{a}<M>{m}"
+    return n, "psm", p, q - p, f"<P>{a}<S>{z}<M>{m}"

@@ -11,6 +11,7 @@ from tillbook.llm import (
     byte_bpe,
     chat,
     exact_dedup,
+    fill_middle,
     langid,
     packing,
     quality,
@@ -156,3 +157,31 @@ WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.turns = one.turns)"""
 @register("op10_chat_format", OP10_SQL)
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversations(table(spark, sf_dir, "conversations"))
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+c AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+e AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS q,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM c),
+s AS (SELECT *, substr(t, 1, p) AS a, substr(t, p + 1, q - p) AS m, substr(t, q + 1) AS z FROM e)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+              ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s"""
+
+
+@register("op11_fill_in_middle", OP11_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
