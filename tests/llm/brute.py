@@ -1,7 +1,9 @@
 """Plain Python versions of the training-data operators, for small tables."""
+import math
 import re
 from collections import defaultdict
 from hashlib import sha256
+from zlib import crc32
 
 import duckdb
 import xxhash
@@ -89,3 +91,41 @@ def fill_middle(doc_id, text):
     if h4 % 100 < 20:
         return n, "spm", p, q - p, f"<S>{z}<P>{a}<M>{m}"
     return n, "psm", p, q - p, f"<P>{a}<S>{z}<M>{m}"
+
+
+def prefix_trie(convs):
+    """{prefix of turns: (conv_id, depth, parent conv_id, members, children, leaves, saved, digest)}
+    of {conv_id: [(role, text), ...]}; a conv_id of None is after every other."""
+    def least(ids):
+        return min(ids, key=lambda i: (i is None, i or 0))
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    kids = defaultdict(int)
+    for p in members:
+        if p:
+            kids[p[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += p not in kids
+            saved[p[:d]] += (len(m) - 1) * len(WORD.findall(p[-1][1])) if p else 0
+    out = {}
+    for p, m in members.items():
+        ids = sorted(ends[p], key=lambda i: (i is None, i or 0))
+        digest = sha256(",".join("" if i is None else str(i) for i in ids).encode()).hexdigest()
+        out[p] = (least(m), len(p), least(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p],
+                  saved[p], digest)
+    return out
+
+
+def rebuilt(convs):
+    """{conv_id: turns} with heads exchanged, from {conv_id: turns}."""
+    out = {}
+    for c, turns in convs.items():
+        h = 0 if c is None else crc32(str(c).encode()) % 4
+        base = [] if c is None else convs.get(c - int(math.fmod(c, 20)), [])
+        out[c] = base[:h] + turns[h:]
+    return out

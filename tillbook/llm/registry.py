@@ -18,6 +18,7 @@ from tillbook.llm import (
     simhash,
     substring_dedup,
     topk,
+    trie,
     url_filter,
 )
 from tillbook.llm.common import table
@@ -185,3 +186,42 @@ FROM s"""
 @register("op11_fill_in_middle", OP11_SQL)
 def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations),
+o AS (SELECT c, list(struct_pack(r := r, x := x) ORDER BY place) AS turns FROM t GROUP BY c),
+h AS (
+  SELECT c, turns, xor(list_reduce(
+           list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT)),
+           lambda z, s: list_reduce(range(8), lambda y, i: CASE WHEN y & 1 = 1
+             THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(z, s)), 4294967295), 4294967295) % 4 AS h
+  FROM o),
+l AS (
+  SELECT h.c, coalesce(b.turns, [])[1:h.h] || h.turns[h.h + 1:] AS turns
+  FROM h LEFT JOIN o b ON b.c = h.c - h.c % 20),
+n AS (
+  SELECT p, min(c) AS conv_id, count(*) AS n_convs
+  FROM (SELECT c, turns[1:unnest(range(0, len(turns) + 1))] AS p FROM l) GROUP BY p),
+k AS (SELECT p[1:len(p) - 1] AS p, count(*) AS n_children FROM n WHERE len(p) > 0 GROUP BY 1),
+v AS (
+  SELECT n.p, n.conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN len(n.p) = 0 THEN 0 ELSE (n.n_convs - 1) * len(list_filter(
+           regexp_split_to_array(n.p[-1].x, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+  FROM n LEFT JOIN k ON n.p = k.p),
+u AS (
+  SELECT p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT p[1:unnest(range(0, len(p) + 1))] AS p, n_children, saved FROM v) GROUP BY p),
+e AS (SELECT turns AS p, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM l GROUP BY turns)
+SELECT v.conv_id, CAST(len(v.p) AS BIGINT) AS depth, w.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+       u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM v JOIN u ON v.p = u.p LEFT JOIN e ON v.p = e.p
+LEFT JOIN v w ON len(v.p) > 0 AND w.p = v.p[1:len(v.p) - 1]"""
+
+
+@register("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_prefixes(table(spark, sf_dir, "conversations"))
