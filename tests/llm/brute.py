@@ -129,3 +129,21 @@ def rebuilt(convs):
         base = [] if c is None else convs.get(c - int(math.fmod(c, 20)), [])
         out[c] = base[:h] + turns[h:]
     return out
+
+
+def shingles(text, k=2):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1)))
+
+
+def minhash_groups(docs, percent=80):
+    """{doc_id: (n_shingles, component)} of (doc_id, text) pairs with unique ids."""
+    sets = {i: shingles(t) for i, t in docs}
+
+    def linked(a, b):
+        both = len(sets[a] & sets[b])
+        return bool(sets[a] and sets[b]) and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)
+    comp = groups_of(list(sets), linked)
+    return {i: (len(sets[i]), comp[i]) for i in sets}

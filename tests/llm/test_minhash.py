@@ -1,0 +1,96 @@
+"""MinHash near-dedup against all pairs, its registers and its edge cases."""
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from made import docs_of  # noqa: F401
+from tillbook.llm import minhash
+
+EDGES = [(0, None), (1, ""), (2, " \t\n"), (3, "one"), (4, "ONE"), (5, "one one"), (6, "two words"),
+         (7, "Two\twords"), (8, "é ß 中 文 x"), (9, "word " * 60_000), (10, "word " * 60_001), (11, "É ß 中 文 x"),
+         (12, "a b c d e f"), (13, "a b c d e g"), (14, "a b c d e f g"), (2**63 - 1, "a b c d e f"), (-3, "two words")]
+
+
+def got(df, **options):
+    out = {}
+    for r in minhash.groups(df, **options).collect():
+        assert r.kept == (r.doc_id == r.component_id)
+        out[r.doc_id] = (r.n_shingles, r.component_id)
+    return out
+
+
+def near_copies(seed, n, bases, length=120, change=.05):
+    rng = random.Random(seed)
+    texts = [[rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(length)] for _ in range(bases)]
+    docs = []
+    for i in range(n):
+        words = [w if rng.random() > change * rng.random() else f"new{rng.randrange(10**6)}" for w in rng.choice(texts)]
+        docs.append((i * 7 - 40, " ".join(words)))
+    return docs
+
+
+def test_edges(docs_of):
+    assert got(docs_of(EDGES)) == brute.minhash_groups(EDGES)
+
+
+def test_set_sizes_at_the_threshold(docs_of):
+    docs = [(i, " ".join(f"w{j}" for j in range(i % 7, 5 * i + 2))) for i in range(1, 40)]
+    assert got(docs_of(docs)) == brute.minhash_groups(docs)
+
+
+@pytest.mark.parametrize("options", [{}, {"few": 1}, {"few": 1, "block_bytes": 40_000}])
+def test_groups_of_near_copies_around_the_threshold(docs_of, options):
+    docs = near_copies(4, 160, 3, change=.1)            # links inside groups, and groups that fall apart
+    want = brute.minhash_groups(docs)
+    assert 3 < len({c for _, c in want.values()}) < 150
+    assert got(docs_of(docs).repartition(5), **options) == want
+
+
+def test_registers_merge_and_estimate():
+    rng = np.random.default_rng(2)
+    a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (700, 40))
+    whole = minhash.sketch([np.union1d(a, b)])[0]
+    assert (whole == minhash.sketch([a, b]).max(axis=0)).all()        # of a union: the maxima
+    least = minhash.minima([a, b, a[:1]])
+    assert np.isfinite(least).all()
+    assert abs(least[0].mean() * 700 - 1) < .2 and abs(least[1].mean() * 40 - 1) < .2
+    for share, ok in ((.95, True), (.9, True), (.5, False)):
+        k = int(share * 700)
+        pair = minhash.sketch([a, np.union1d(a[:k], rng.integers(0, 2**63, 700 - k, dtype=np.uint64))])
+        assert bool(minhash.likely(pair[:1], pair[1:], np.array([700.]), np.array([700.]), 80)[0]) == ok
+
+
+def test_a_forest_links_every_component_of_a_block():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[:200 - i % 9], rng.integers(0, 2**63, i % 9, dtype=np.uint64)]))
+            for i in range(50)]
+    sets.append(np.unique(rng.integers(0, 2**63, 190, dtype=np.uint64)))
+    frame = pd.DataFrame({"node": range(51), "n": [len(s) for s in sets], "component": range(51), "part": 0, "i": 0,
+                          "j": 0, "regs": [r.tobytes() for r in minhash.sketch(sets)],
+                          "shingles": [s.tobytes() for s in sets]})
+    links = minhash._block_links(80)(frame)
+    assert len(links) == 49 and 50 not in set(links["u"]) | set(links["v"])
+
+
+def test_null_ids_repeated_rows_clashing_columns(docs_of):
+    docs = [(None, "some words of a text"), (5, "some words of a text"), (5, "some words of a text"),
+            (None, "alone without an id"), (9, None), (9, None)]
+    df = docs_of(docs).withColumns({"row": F.lit("r"), "digest": F.lit(1), "u": F.lit(None), "id": F.lit("mine"),
+                                    "xx": F.lit(0), "regs": F.lit("")})
+    out = sorted(map(tuple, minhash.groups(df).collect()), key=str)
+    assert out == sorted([(None, 4, 5, False), (5, 4, 5, True), (5, 4, 5, True), (None, 3, None, True),
+                          (9, 0, 9, True), (9, 0, 9, True)], key=str)
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns and {r.id for r in kept.collect()} == {"mine"}
+    assert sorted((r.doc_id, r.text) for r in kept.filter("doc_id IS NOT NULL").collect()) == [
+        (5, "some words of a text")] * 2 + [(9, None)] * 2
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert got(none) == {}

@@ -13,6 +13,7 @@ from tillbook.llm import (
     exact_dedup,
     fill_middle,
     langid,
+    minhash,
     packing,
     quality,
     simhash,
@@ -225,3 +226,8 @@ LEFT JOIN v w ON len(v.p) > 0 AND w.p = v.p[1:len(v.p) - 1]"""
 @register("op13_prefix_trie", OP13_SQL)
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.rebuilt_prefixes(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_minhash_near_dedup")
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents"))
