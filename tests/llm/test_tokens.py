@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 import brute
 import corpus_pipeline
 from made import docs_of  # noqa: F401
-from tillbook.llm import byte_bpe, packing, registry
+from tillbook.llm import byte_bpe, packing, registry, tokens
 
 SF = "/root/testdata/sf0.001"
 RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -86,7 +86,6 @@ def test_bpe_offsets(model):
 # --- packing ----------------------------------------------------------------
 def tokens_of(docs):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in docs}
 
 
@@ -130,7 +129,7 @@ def test_packing_added_tokens_as_the_tokenizer_has_them(docs_of):
     ids = {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in MARKED}
     assert ids[1] == [862, 49407, 763, 1]
     for n in (1, 4):
-        rows = packing.packed(docs_of(MARKED).coalesce(n), WORDS, 64, added_tokens=True).collect()
+        rows = packing.packed(docs_of(MARKED).coalesce(n), WORDS, 64).collect()
         check_packing(rows, ids, 64)
 
 
@@ -190,3 +189,21 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.packed(empty, WORDS).collect() == []
     assert byte_bpe.digests(empty, RANKS, P.PATTERN).collect() == []
+
+
+def test_memo_keeps_what_it_met_again_when_it_is_full():
+    calls = []
+
+    def compute(words):
+        calls.append(list(words))
+        return np.array([len(w) for w in words]), np.frombuffer(b"".join(words), np.uint8).astype(np.uint32)
+    memo = tokens.Memo(compute, limit=40 * (tokens.ENTRY + 20))
+    rng = random.Random(4)
+    for n in range(30):
+        words = [b"often", b"", *(b"w%d" % rng.randrange(10**6) for _ in range(n))]
+        values, bounds = memo.gather(memo(words), np.arange(len(words) + 1))
+        assert bytes(values.astype(np.uint8)) == b"".join(words)
+        assert np.diff(bounds).tolist() == [len(w) for w in words]
+        assert memo.bytes < 80 * (tokens.ENTRY + 20)
+    assert sum(b"often" in c for c in calls) == 1 and memo.gather(np.array([memo.fixed(b"\xff7", 7)]),
+                                                                  np.array([0, 1]))[0].tolist() == [7]

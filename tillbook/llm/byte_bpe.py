@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.llm.common import slices, text_buffer
-from tillbook.llm.tokens import Memo, flatten, gather, segments
+from tillbook.llm.tokens import Memo, encode_words, one_thread, segments, spread
 
 
 def byte_characters() -> dict[int, str]:
@@ -78,6 +78,14 @@ class ByteBPE:
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
+        # a word that follows a space starts with a token that has it
+        self.starts = np.zeros(max(self.bytes_of) + 1, bool)
+        self.starts[[i for i, t in self.bytes_of.items() if t.startswith(b" ")]] = True
+
+    def segments(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of segments."""
+        return encode_words(self.tokenizer, words, self.starts, last=False)
+
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         return [self.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
 
@@ -97,32 +105,37 @@ def offsets(model: ByteBPE, text: str) -> tuple[list[int], list[int]]:
     return ids, (whole[ends] - inside[ends]).tolist()
 
 
+class Shown:
+    """What each id stands for, as bytes: text of ids is one gather."""
+
+    def __init__(self, table: dict[int, bytes]):
+        known = [table.get(i, b"") for i in range(max(table) + 1)]
+        self.size = np.array([len(x) for x in known], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.raw = np.frombuffer(b"".join(known), np.uint8)
+
+    def of(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids in order, bounds of documents in them)."""
+        return spread(self.start[ids], self.size[ids], self.raw, ends)
+
+
 def _digest_batches(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         model = ByteBPE(path, pattern)
-
-        def compute(words: list[bytes]) -> list[tuple[int, bytes, bytes]]:
-            return [(len(ids), "".join([f"{i}," for i in ids]).encode(), model.decode(ids))
-                    for ids in model.encode(words)]
-        memo = Memo(compute)
+        memo = Memo(model.segments)
+        shown = Shown({i: f"{i},".encode() for i in model.bytes_of}), Shown(model.bytes_of)
         for batch in slices(batches):
-            data, off = text_buffer(batch.column("text"))
-            codes, words, bounds = segments(data, off)
-            found = memo(words.to_pylist())
-            counts = np.array([n for n, _, _ in found], np.int64)
-            total = np.zeros(len(codes) + 1, np.int64)
-            np.cumsum(counts[codes], out=total[1:])
+            codes, words, bounds = segments(*text_buffer(batch.column("text")))
+            ids, ends = memo.gather(memo(words)[codes], bounds)
             digests = []
-            for part, trim in ((1, 1), (2, 0)):
-                lists = [x[part] for x in found]
-                at = np.zeros(len(lists) + 1, np.int64)
-                np.cumsum([len(x) for x in lists], out=at[1:])
-                flat, ends = gather(at, codes, np.frombuffer(b"".join(lists), np.uint8), bounds)
-                flat = memoryview(flat)
-                digests.append([sha256(flat[a:max(a, b - trim)]).hexdigest()
-                                for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)])
+            for table, trim in zip(shown, (1, 0), strict=True):
+                raw, at = table.of(ids, ends)
+                raw = memoryview(raw)
+                digests.append([sha256(raw[a:max(a, b - trim)]).hexdigest()
+                                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+                [batch.column("doc_id"), pa.array(np.diff(ends)),
                  pa.array(digests[0]), pa.array(digests[1])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
@@ -143,11 +156,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text",
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(ByteBPE(path, pattern).encode)
+        one_thread()
+        memo = Memo(ByteBPE(path, pattern).segments)
         for batch in slices(batches, text):
             codes, words, bounds = segments(*text_buffer(batch.column(text)))
-            at, flat = flatten(memo(words.to_pylist()))
-            ids, ends = gather(at, codes, flat, bounds)
+            ids, ends = memo.gather(memo(words)[codes], bounds)
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
                                              pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, into])

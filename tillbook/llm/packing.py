@@ -16,9 +16,8 @@ Ranks need no task that sees a whole length (a third of all rows may share
 one): pieces are numbered within (length, bucket), with the bucket's offset
 from the counts per (length, bucket).
 
-Defined cases: a text is plain text unless ``added_tokens``, with which the added
-tokens of the tokenizer's file are matched where a text has them as they stand,
-before it is normalised; a null or empty text is the end id alone; repeated rows are
+Defined cases: the added tokens of the tokenizer's file are matched where a text has
+them as they stand, before it is normalised, as the tokenizer itself does; a null or empty text is the end id alone; repeated rows are
 packed each; ties of length go by bucket, doc_id, start and checksum; an empty
 table gives an empty result.
 """
@@ -37,9 +36,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillbook.llm.common import bucket_count, slices, stored, text_buffer
-from tillbook.llm.tokens import Memo, flatten, gather, segments
+from tillbook.llm.tokens import Memo, encode_words, one_thread, segments
 
-SIZE, END_ID, BUCKET_ROWS = 2048, 1, 50_000
+SIZE, END_ID, BUCKET_ROWS = 2048, 1, 2_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -62,8 +61,13 @@ def _tokenizer(path: str):
 
 
 def _encoder(tokenizer):
-    return lambda words: [np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
-                          for w in words]
+    """Segments to ids; the tokens that end a word are known by the model's suffix."""
+    vocabulary = tokenizer.get_vocab()
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    ends = np.zeros(max(vocabulary.values()) + 1 if suffix else 0, bool)
+    if suffix:
+        ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+    return lambda words: encode_words(tokenizer, words, ends, last=True)
 
 
 class _Added:
@@ -84,34 +88,30 @@ class _Added:
         return out[:, :2], out[:, 2]
 
 
-def document_ids(batch: pa.RecordBatch, memo: Memo, plain: np.ndarray, added: _Added | None = None
+def document_ids(batch: pa.RecordBatch, memo: Memo, plain: np.ndarray, added: _Added
                  ) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all documents, bounds) without the end id."""
     data, off = text_buffer(batch.column("text"))
-    spans, ids = added.spans(data, off) if added else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+    spans, ids = added.spans(data, off)
     data, edges = plain[data], off
     if len(spans):                                       # segments of their own: nothing is cut in zeros
         edges = np.unique(np.concatenate([off, spans.ravel()]))
         for a, b in spans.tolist():
             data[a:b] = 0
     codes, words, bounds = segments(data, edges)
-    lists = memo(words.to_pylist())
+    places = memo(words)[codes]
     if len(spans):
         bounds, starts = bounds[np.searchsorted(edges, off)], bounds[np.searchsorted(edges, spans[:, 0])]
-        known, number = np.unique(ids, return_inverse=True)
-        codes = codes.copy()
-        codes[starts] = len(lists) + number
-        lists = lists + [np.array([i], np.uint32) for i in known]
-    at = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum([len(x) for x in lists], out=at[1:])
-    flat = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
-    return gather(at, codes, flat, bounds)
+        # no UTF-8 text has the byte FF
+        places[starts] = [memo.fixed(b"\xff%d" % i, i) for i in ids.tolist()]
+    return memo.gather(places, bounds)
 
 
-def _piece_batches(path: str, size: int, with_ids: bool, added_tokens: bool):
+def _piece_batches(path: str, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         tokenizer, plain = _tokenizer(path), _plain()
-        memo, added = Memo(_encoder(tokenizer)), _Added(tokenizer) if added_tokens else None
+        memo, added = Memo(_encoder(tokenizer)), _Added(tokenizer)
         for batch in slices(batches):
             ids, bounds = document_ids(batch, memo, plain, added)
             rows: list[tuple] = []
@@ -132,10 +132,10 @@ def _piece_batches(path: str, size: int, with_ids: bool, added_tokens: bool):
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, text: str = "text",
-           doc_id: str = "doc_id", with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
+           doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                     F.col(text).cast("string").alias("text"))
-    return d.mapInArrow(_piece_batches(path, size, with_ids, added_tokens),
+    return d.mapInArrow(_piece_batches(path, size, with_ids),
                         PIECES + (", ids array<int>" if with_ids else ""))
 
 
