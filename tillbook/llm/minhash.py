@@ -4,12 +4,12 @@
    a 128-bit hash of the sorted set tells equal sets, which become one class.
 2. **Registers.** Each element is a Poisson process of points at random
    registers; a register's least point over a set is an exponential minimum, kept
-   as ``floor(1 - log_b(minimum / a))``, truncated to 16 bits.  Registers of a
+   as ``floor(1 - log_b(minimum / a))``, truncated to 8 bits.  Registers of a
    union are the maxima of registers, and two sets agree in one with about their
    Jaccard similarity.  Few points are ever made: an element stops where all
    registers of its document are filled.
-3. **Bands** of 7 registers put classes into buckets.  A pair at 0.8 shares
-   none of the 73 with probability 3e-8.
+3. **Bands** of 5 registers put classes into buckets.  A pair at 0.8 shares
+   none of the 45 with probability 2e-8.
 4. **Links, without all pairs of a bucket.**  Each bucket's pivot, its member
    that shares most buckets (the middle of a group of near copies), is compared with
    the others.  A bucket whose other members now stand in one component is
@@ -49,16 +49,17 @@ from tillbook.llm.common import (distinct, slices, spans_to_array, stored, text_
 from tillbook.llm.components import components
 
 WORDS, SIMILARITY = 2, 80                  # words of a shingle, per cent
-REGISTERS, ROWS = 512, 7                   # of a sketch (a power of two), of a band
-BANDS = REGISTERS // ROWS
+REGISTERS, ROWS, BANDS = 256, 5, 45        # of a sketch (a power of two), of a band, and bands
 #: Base, rate and largest value of the registers.
-BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
+BASE, RATE, TOP = 1.11, 20.0, 2**8 - 1
 #: How much less likely (as a logarithm) the wanted similarity may be than the best one.
 SLACK = 20.0
 #: Members of a bucket whose pairs across components are compared one by one.
 FEW = 16
 #: Bytes of sets and registers that a block holds.
 BLOCK_BYTES = 8 << 20
+#: Pairs of a block that are judged at once.
+PAIRS = 8192
 #: Points of an element process that are made at once.
 POINTS = 1 << 17
 
@@ -139,11 +140,11 @@ def minima(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:
 
 def registers_of(least: np.ndarray) -> np.ndarray:
     """Exponentially spaced, truncated registers of the minima."""
-    return np.clip(np.floor(1 - np.log(least / RATE) / math.log(BASE)), 0, TOP).astype(np.uint16)
+    return np.clip(np.floor(1 - np.log(least / RATE) / math.log(BASE)), 0, TOP).astype(np.uint8)
 
 
 def sketch(sets: list[np.ndarray]) -> np.ndarray:
-    return registers_of(minima(sets)) if sets else np.zeros((0, REGISTERS), np.uint16)
+    return registers_of(minima(sets)) if sets else np.zeros((0, REGISTERS), np.uint8)
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
@@ -158,6 +159,15 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
 def likely(ku: np.ndarray, kv: np.ndarray, nu: np.ndarray, nv: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of registers and set sizes may have the similarity, by the joint
     likelihood of the registers that are greater, less and equal."""
+    # with a quarter of the registers fewer equal than the similarity says, the similarity
+    # is more than e^40 times less likely than the best one
+    maybe = np.flatnonzero(100 * (ku == kv).sum(axis=1) >= (percent - 25) * ku.shape[1])
+    out = np.zeros(len(ku), bool)
+    out[maybe] = _joint(ku[maybe], kv[maybe], nu[maybe], nv[maybe], percent)
+    return out
+
+
+def _joint(ku: np.ndarray, kv: np.ndarray, nu: np.ndarray, nv: np.ndarray, percent: int) -> np.ndarray:
     plus, minus = (ku > kv).sum(axis=1), (ku < kv).sum(axis=1)
     same = ku.shape[1] - plus - minus
     u = nu / (nu + nv)
@@ -208,7 +218,7 @@ def _sketch_batches(words: int):
                 pa.array(np.arange(row, row + len(sets)), pa.int64()), batch.column("doc_id"),
                 batch.column("xx"), pa.array(n, pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s) if s else None for s in raw], pa.binary()),
-                pa.array([next(filled).astype("<u2").tobytes() if s else None for s in raw], pa.binary()),
+                pa.array([next(filled).tobytes() if s else None for s in raw], pa.binary()),
                 pa.array(raw, pa.binary())],
                 ["row", "doc_id", "xx", "n", "digest", "regs", "shingles"])
             row += len(sets)
@@ -228,7 +238,7 @@ def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, REGISTERS)
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,33 +274,44 @@ def _block_links(percent: int):
         """A spanning forest of the links between members of two blocks that stand in
         different components (of one block, between its own)."""
         node, n = members["node"].to_numpy(), members["n"].to_numpy().astype(np.float64)
-        regs = np.frombuffer(b"".join(members["regs"]), "<u2").reshape(-1, REGISTERS)
+        regs = np.frombuffer(b"".join(members["regs"]), np.uint8).reshape(-1, REGISTERS)
         sets = [np.frombuffer(s, "<u8") for s in members["shingles"]]
         mine, left, right = (members[c].to_numpy() for c in ("part", "i", "j"))
         _, group = np.unique(members["component"].to_numpy(), return_inverse=True)
-        out = []
+        pairs, out = [], []
+
+        def judge() -> None:
+            x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            ok = likely(regs[x], regs[y], n[x], n[y], percent)
+            for a, b in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+                if group[a] != group[b] and near(sets[a], sets[b], percent):
+                    group[group == group[b]] = group[a]
+                    out.append((node[a], node[b]))
+            pairs.clear()
         for x in range(len(node) - 1):
             y = np.flatnonzero(group[x + 1:] != group[x]) + x + 1
             if left[x] != right[x]:
                 y = y[mine[y] != mine[x]]
             y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-            if not len(y):
-                continue
-            y = y[likely(np.broadcast_to(regs[x], (len(y), REGISTERS)), regs[y], np.full(len(y), n[x]), n[y], percent)]
-            for z in y.tolist():
-                if group[z] != group[x] and near(sets[x], sets[z], percent):
-                    group[group == group[z]] = group[x]
-                    out.append((node[x], node[z]))
+            if len(y):
+                pairs.append((np.full(len(y), x), y))
+            if sum(len(p[0]) for p in pairs) >= PAIRS:
+                judge()
+        if pairs:
+            judge()
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
     return run
 
 
 # --- links ---------------------------------------------------------------------------
 def _beside(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """Pairs (u, v) with the set sizes and one column of both."""
+    """Pairs (u, v) with the set sizes and one column of both.  Only rows of some pair are
+    shuffled, where their numbers are few enough for Spark to broadcast."""
+    named = stored(pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct(), "near-named")
+    own = rows.select("row", "n", column).join(named, "row", "left_semi")
     for side in ("v", "u"):
-        pairs = pairs.join(rows.select(F.col("row").alias(side), F.col("n").alias(f"n{side}"),
-                                       F.col(column).alias(f"c{side}")), side)
+        pairs = pairs.join(own.select(F.col("row").alias(side), F.col("n").alias(f"n{side}"),
+                                      F.col(column).alias(f"c{side}")), side)
     return pairs
 
 
@@ -336,7 +357,7 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
     wide = labelled.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
     open_ = wide.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                     F.count(F.lit(1)).alias("left"),
-                                    F.sum(F.col("n") * 8 + 2 * REGISTERS).alias("bytes")).filter("low != high")
+                                    F.sum(F.col("n") * 8 + REGISTERS).alias("bytes")).filter("low != high")
     rest = stored(wide.join(open_.select("key", "left", "bytes"), "key"), "near-open")
     small = rest.filter(F.col("left") <= few)
     a, b = (small.select("key", F.col("node").alias(s), F.col("n").alias(f"n{s}"),
