@@ -304,11 +304,16 @@ def _block_links(percent: int):
 
 
 # --- links ---------------------------------------------------------------------------
+def _needed(rows: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """Rows of these numbers.  Only they are shuffled later, where the numbers are few
+    enough for Spark to broadcast."""
+    named = stored(ids.distinct(), "near-named")
+    return rows.select("row", *columns).join(named, "row", "left_semi")
+
+
 def _beside(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """Pairs (u, v) with the set sizes and one column of both.  Only rows of some pair are
-    shuffled, where their numbers are few enough for Spark to broadcast."""
-    named = stored(pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct(), "near-named")
-    own = rows.select("row", "n", column).join(named, "row", "left_semi")
+    """Pairs (u, v) with the set sizes and one column of both."""
+    own = _needed(rows, pairs.select(F.explode(F.array("u", "v")).alias("row")), "n", column)
     for side in ("v", "u"):
         pairs = pairs.join(own.select(F.col("row").alias(side), F.col("n").alias(f"n{side}"),
                                       F.col(column).alias(f"c{side}")), side)
@@ -372,8 +377,9 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
     meets = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "key", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         "part", "node", "component", "n")
-    heavy = stored(meets, "near-blocks").join(
-        rows.select(F.col("row").alias("node"), "regs", "shingles"), "node")
+    meets = stored(meets, "near-blocks")
+    heavy = meets.join(_needed(rows, meets.select(F.col("node").alias("row")), "regs", "shingles"),
+                       F.col("node") == F.col("row")).drop("row")
     third = heavy.groupBy("key", "band", "i", "j").applyInPandas(_block_links(percent), "u long, v long")
     return first.unionByName(second).unionByName(stored(third.distinct(), "near-block-links"))
 
