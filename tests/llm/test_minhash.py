@@ -71,7 +71,7 @@ def test_a_forest_links_every_component_of_a_block():
             for i in range(50)]
     sets.append(np.unique(rng.integers(0, 2**63, 190, dtype=np.uint64)))
     frame = pd.DataFrame({"node": range(51), "n": [len(s) for s in sets], "component": range(51), "part": 0, "i": 0,
-                          "j": 0, "regs": [r.tobytes() for r in minhash.sketch(sets)],
+                          "j": 0, "t": 0, "class": 5, "band": 5, "regs": [r.tobytes() for r in minhash.sketch(sets)],
                           "shingles": [s.tobytes() for s in sets]})
     links = minhash._block_links(80)(frame)
     assert len(links) == 49 and 50 not in set(links["u"]) | set(links["v"])

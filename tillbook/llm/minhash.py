@@ -16,8 +16,10 @@
    done: no further link could change the components.  In the rest only
    members of different components can matter: in buckets of up to ``FEW``
    members these pairs are compared too, and larger buckets are cut by set size and
-   into blocks of bounded bytes, each pair of blocks a task of its own that
-   returns a spanning forest of the links it finds.
+   into blocks of bounded bytes, and a pair is compared in the first band it shares.
+   Each pair of blocks is a task of its own: by their
+   registers first, and with the sets of those members that have likely partners it
+   returns a spanning forest of the links.
 5. A compared pair is first judged by the likelihood of its registers, jointly
    with both set sizes: it goes on unless similarity 0.8 is e^20 times less likely than
    the best one.  What is left is **verified** on the full sets.
@@ -269,36 +271,53 @@ def _near_batches(percent: int):
     return run
 
 
+def _candidates(members: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (x, y) of likely pairs between members of two blocks (of one block, between
+    its own) that stand in different components, some at a time."""
+    n, group = members["n"].to_numpy().astype(np.float64), members["component"].to_numpy()
+    regs = np.frombuffer(b"".join(members["regs"]), np.uint8).reshape(-1, REGISTERS)
+    mine, cross = members["part"].to_numpy(), members["i"].iloc[0] != members["j"].iloc[0]
+    lower = members["class"].to_numpy() < members["band"].to_numpy()      # these met in their own class
+    band = int(members["t"].iloc[0])
+    pairs, waiting = [], 0
+    for x in range(len(n)):
+        y = np.flatnonzero(group[x + 1:] != group[x]) + x + 1
+        if cross:
+            y = y[mine[y] != mine[x]]
+        y = y[(100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])) & ~(lower[x] & lower[y])]
+        pairs.append((np.full(len(y), x), y))
+        waiting += len(y)
+        if waiting >= PAIRS or x == len(n) - 1:
+            u, v = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            # a pair that shares an earlier band was compared there, or needs no comparison
+            early = (regs[u, :ROWS * band] == regs[v, :ROWS * band]).reshape(len(u), band, ROWS).all(axis=2).any(axis=1)
+            u, v = u[~early], v[~early]
+            ok = likely(regs[u], regs[v], n[u], n[v], percent)
+            yield u[ok], v[ok]
+            pairs, waiting = [], 0
+
+
+def _block_members(percent: int):
+    def run(members: pd.DataFrame) -> pd.DataFrame:
+        """The members that have a likely partner."""
+        some = np.zeros(len(members), bool)
+        for u, v in _candidates(members, percent):
+            some[u] = some[v] = True
+        return members[some]
+    return run
+
+
 def _block_links(percent: int):
     def run(members: pd.DataFrame) -> pd.DataFrame:
-        """A spanning forest of the links between members of two blocks that stand in
-        different components (of one block, between its own)."""
-        node, n = members["node"].to_numpy(), members["n"].to_numpy().astype(np.float64)
-        regs = np.frombuffer(b"".join(members["regs"]), np.uint8).reshape(-1, REGISTERS)
-        sets = [np.frombuffer(s, "<u8") for s in members["shingles"]]
-        mine, left, right = (members[c].to_numpy() for c in ("part", "i", "j"))
+        """A spanning forest of the links."""
+        node, sets = members["node"].to_numpy(), [np.frombuffer(s, "<u8") for s in members["shingles"]]
         _, group = np.unique(members["component"].to_numpy(), return_inverse=True)
-        pairs, out = [], []
-
-        def judge() -> None:
-            x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            ok = likely(regs[x], regs[y], n[x], n[y], percent)
-            for a, b in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+        out = []
+        for u, v in _candidates(members, percent):
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
                 if group[a] != group[b] and near(sets[a], sets[b], percent):
                     group[group == group[b]] = group[a]
                     out.append((node[a], node[b]))
-            pairs.clear()
-        for x in range(len(node) - 1):
-            y = np.flatnonzero(group[x + 1:] != group[x]) + x + 1
-            if left[x] != right[x]:
-                y = y[mine[y] != mine[x]]
-            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-            if len(y):
-                pairs.append((np.full(len(y), x), y))
-            if sum(len(p[0]) for p in pairs) >= PAIRS:
-                judge()
-        if pairs:
-            judge()
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
     return run
 
@@ -334,10 +353,10 @@ def _fits(a: str, b: str, percent: int) -> F.Column:
 
 
 def buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, node, n, size) of classes in buckets of two and more."""
+    """(t, key, node, n, size) of classes in buckets of two and more, t the band's number."""
     own = rows.select("row", "n", "regs").join(classes.select("row"), "row")
     keyed = stored(own.mapInArrow(_key_batches, "node long, n long, keys array<long>"), "near-bands").select(
-        "node", "n", F.explode("keys").alias("key"))
+        "node", "n", F.posexplode("keys").alias("t", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return stored(keyed.join(shared, "key"), "near-buckets")
 
@@ -355,9 +374,9 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
         F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct(), rows, percent)
     # buckets whose members, the pivot aside, stand in several components
     found = stored(components(first).withColumnRenamed("node", "of"), "near-components")
-    labelled = stored(others.filter("size > 2").select("key", "node", "n").join(
+    labelled = stored(others.filter("size > 2").select("key", "t", "node", "n").join(
         found, F.col("node") == F.col("of"), "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")), "near-labelled")
+        "key", "t", "node", "n", F.coalesce("component", "node").alias("component")), "near-labelled")
     # a smaller set within the ratio has at most one size class less
     wide = labelled.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
     open_ = wide.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
@@ -375,12 +394,17 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
             "blocks": F.ceil(F.col("bytes") / block_bytes)}).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("blocks")))
     meets = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "key", "band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        "key", "t", "band", "class", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         "part", "node", "component", "n")
     meets = stored(meets, "near-blocks")
-    heavy = meets.join(_needed(rows, meets.select(F.col("node").alias("row")), "regs", "shingles"),
-                       F.col("node") == F.col("row")).drop("row")
-    third = heavy.groupBy("key", "band", "i", "j").applyInPandas(_block_links(percent), "u long, v long")
+    block = ["key", "band", "i", "j"]
+
+    def beside(part: DataFrame, column: str) -> DataFrame:
+        return part.join(_needed(rows, part.select(F.col("node").alias("row")), column),
+                         F.col("node") == F.col("row")).drop("row")
+    heavy = beside(meets, "regs")
+    some = stored(heavy.groupBy(*block).applyInPandas(_block_members(percent), heavy.schema), "near-block-members")
+    third = beside(some, "shingles").groupBy(*block).applyInPandas(_block_links(percent), "u long, v long")
     return first.unionByName(second).unionByName(stored(third.distinct(), "near-block-links"))
 
 
