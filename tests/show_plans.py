@@ -33,16 +33,16 @@ def main():
         "CAST(rand(7) * 1e9 AS BIGINT) AS pedido_id", "valor_pago AS valor_frete",
         "data_pagamento AS data_envio", "tipo_imposto AS transportadora", "filial_id"))
     captured = {}
-    orig = storage._stage
+    orig = storage._write
 
-    def spy(spark_, table, df, run=None):
+    def spy(table, df, *options, **more):
         captured.setdefault("upsert", plan(df))
-        return orig(spark_, table, df, run)
+        return orig(table, df, *options, **more)
 
-    storage._stage = spy
+    storage._write = spy
     storage.upsert(spark, ftab, storage.read(spark, ftab, days=["2024-01-10"])
                    .withColumn("valor_frete", F.col("valor_frete") + 1))
-    storage._stage = orig
+    storage._write = orig
 
     sections = [
         ("Product summary (J1, A3-A6) over the fixture join",

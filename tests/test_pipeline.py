@@ -167,7 +167,7 @@ def test_failed_bootstrap_is_bootstrapped_again(spark, scratch, monkeypatch):
         _tax_file(lake, d, f"{d},ICMS,{n + 1}.5,SP01")
         pipeline.ingest(spark, lake, TAXES, [d])
     with monkeypatch.context() as m:
-        m.setattr(storage, "_commit", lambda *a, **k: (_ for _ in ()).throw(OSError("full")))
+        m.setattr(storage, "_write", lambda *a, **k: (_ for _ in ()).throw(OSError("full")))
         with pytest.raises(OSError):
             pipeline.build_gold(spark, lake, TAX_REPORT)
     assert not storage.exists(spark, lake.gold(TAX_REPORT))

@@ -61,7 +61,6 @@ def test_null_day_is_rejected_and_table_unchanged(spark, scratch):
     with pytest.raises(Exception, match="NULL in day column"):
         storage.replace_days(spark, t, frame(spark, [("2", 2.0, None)]), ["2024-01-01"])
     assert rows(spark, t) == [("1", 1.0, "2024-01-01")]
-    assert os.listdir(f"{scratch}/_staging") == [] or not os.path.exists(f"{scratch}/_staging")
 
 
 def test_delete_days_and_predicate(spark, scratch):
@@ -137,38 +136,49 @@ def test_upsert_duplicate_source_key(spark, scratch):
                               ("7", 3.0, "2024-01-01")]
 
 
-def _die_after_manifest(spark, t, df, replace, monkeypatch):
-    """A run that reached its manifest and never got to swap its days in."""
-    with monkeypatch.context() as m:
-        m.setattr(storage, "_apply", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
-        run, staged = storage._stage(spark, t, df)
-        with pytest.raises(KeyboardInterrupt):
-            storage._commit(spark, t, run, staged, replace)
+def _failing(spark, rows):
+    """Rows of which the last one kills the job when it is reached."""
+    return frame(spark, rows).repartition(1).sortWithinPartitions("k").withColumn(
+        "v", F.when(F.col("k") == rows[-1][0], F.raise_error(F.lit("killed"))).otherwise(F.col("v")).cast("double"))
 
 
-def test_crashed_run_is_rolled_forward_or_dropped_by_the_next_writer(spark, scratch, monkeypatch):
+@pytest.mark.parametrize("write", [
+    lambda s, t, df: storage.create(s, t, df), lambda s, t, df: storage.append(s, t, df),
+    lambda s, t, df: storage.replace_days(s, t, df, ["2024-01-01", "2024-01-02"]),
+    lambda s, t, df: storage.upsert(s, t, df)])
+def test_a_killed_job_leaves_the_table_readable(spark, scratch, write):
     t = table(scratch)
-    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
-    _die_after_manifest(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]), ["2024-01-01"], monkeypatch)
-    storage._stage(spark, t, frame(spark, [("1", 7.0, "2024-01-01")]))      # died before its manifest
-    assert rows(spark, t) == [("1", 1.0, "2024-01-01")]                     # readers leave runs alone
-    assert len(os.listdir(f"{scratch}/_staging")) == 2
-    storage.append(spark, t, frame(spark, [("2", 2.0, "2024-01-02")]))
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]
-    assert os.listdir(f"{scratch}/_staging") == []
-    storage.recover(spark, t)                                               # idempotent
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]
-
-
-@pytest.mark.parametrize("replace_all", [False, True])
-def test_a_read_never_touches_a_running_write(spark, scratch, replace_all):
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]))
+    with pytest.raises(Exception, match="killed"):
+        write(spark, t, _failing(spark, [("1", 5.0, "2024-01-01"), ("7", 6.0, "2024-01-03"), ("9", 0.0, "2024-01-02")]))
+    assert rows(spark, t) == [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]
+    write(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]))                # and the next write works
+    assert ("1", 5.0, "2024-01-01") in rows(spark, t)
+
+
+def test_what_a_dead_driver_leaves_is_no_part_of_the_table(spark, scratch):
+    """A driver that dies leaves Spark's own staging folders: reads and day lists pass over them."""
     t = table(scratch)
     storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
-    run, staged = storage._stage(spark, t, frame(spark, [("1", 5.0, "2024-01-01"), ("2", 6.0, "2024-01-02")]))
+    part = next(f for f in os.listdir(f"{scratch}/d=2024-01-01") if f.endswith(".parquet"))
+    for left in (".spark-staging-1a2b", "_temporary/0/task_1"):
+        os.makedirs(f"{scratch}/{left}/d=2024-01-05")
+        with open(f"{scratch}/d=2024-01-01/{part}", "rb") as a, open(f"{scratch}/{left}/d=2024-01-05/{part}", "wb") as b:
+            b.write(a.read())
     assert rows(spark, t) == [("1", 1.0, "2024-01-01")]
-    assert rows(spark, t, days=["2024-01-01"]) == [("1", 1.0, "2024-01-01")]
-    storage._commit(spark, t, run, staged, staged, replace_all)
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 6.0, "2024-01-02")]
+    storage.replace_days(spark, t, frame(spark, [("2", 2.0, "2024-01-02")]), ["2024-01-02"])
+    storage.delete_where(spark, t, "k = '1'")
+    assert rows(spark, t) == [("2", 2.0, "2024-01-02")]
+
+
+def test_rows_of_other_days_are_appended(spark, scratch):
+    t = table(scratch, key=None)
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01"), ("2", 2.0, "2024-01-02")]))
+    new = frame(spark, [("3", 3.0, "2024-01-01"), ("4", 4.0, "2024-01-02"), ("5", 5.0, "2024-01-04")])
+    assert storage.replace_days(spark, t, new, ["2024-01-02", "2024-01-03"]) == [
+        "2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    assert rows(spark, t) == [("1", 1.0, "2024-01-01"), ("3", 3.0, "2024-01-01"), ("4", 4.0, "2024-01-02"),
+                              ("5", 5.0, "2024-01-04")]
 
 
 def test_writes_survive_reads_in_another_thread(spark, scratch):
@@ -195,25 +205,13 @@ def test_writes_survive_reads_in_another_thread(spark, scratch):
     assert rows(spark, t) == [("0", 0.0, "2024-01-01"), ("3", 3.0, "2024-01-02")]
 
 
-def test_commit_refuses_when_staged_days_are_gone(spark, scratch):
-    t = table(scratch)
-    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-01")]))
-    run, staged = storage._stage(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]))
-    os.rename(f"{run}/data", f"{run}/elsewhere")
-    with pytest.raises(FileNotFoundError, match="staged days are gone"):
-        storage._commit(spark, t, run, staged, None, replace_all=True)
-    assert rows(spark, t) == [("1", 1.0, "2024-01-01")]
-
-
-def test_a_table_exists_from_its_first_commit(spark, scratch, monkeypatch):
+def test_a_table_exists_from_its_first_write(spark, scratch):
     t = table(scratch)
     with pytest.raises(Exception, match="NULL in day column"):
         storage.create(spark, t, frame(spark, [("1", 1.0, None)]))
     assert not storage.exists(spark, t)
-    _die_after_manifest(spark, t, frame(spark, [("1", 5.0, "2024-01-01")]), [], monkeypatch)
-    assert storage.exists(spark, t)                                         # the next writer finishes it
     storage.append(spark, t, frame(spark, [("2", 2.0, "2024-01-01")]))
-    assert rows(spark, t) == [("1", 5.0, "2024-01-01"), ("2", 2.0, "2024-01-01")]
+    assert storage.exists(spark, t) and rows(spark, t) == [("2", 2.0, "2024-01-01")]
 
 
 def _evolved(spark, t):

@@ -2,22 +2,15 @@
 
 The reference gets replace-day and upsert from Delta; Spark's own Parquet
 tables refuse MERGE and DELETE, so each operator here is a Spark job over a
-table laid out as ``<path>/<day>=YYYY-MM-DD/part-*.parquet``:
-
-* every write first goes to ``<path>/_staging/<run>/data`` (one Spark job,
-  partitioned by day); nothing under the live table is touched while rows are
-  computed, so a failed or killed job - or a lost executor, which Spark simply
-  retries - leaves the table as it was;
-* then a small manifest names the days to replace and the days that got rows,
-  and the staged day folders are swapped in by renames (driver-side metadata,
-  bounded by days).  The next writer rolls a run forward that died after its
-  manifest, and discards one that died before it.
-
-One writer per table at a time is assumed, as in the reference (writers of one
-driver wait for each other).  So a run that a writer finds is no longer alive.
-Readers touch neither runs nor manifests; a table exists from its first
-completed commit, which writes ``_table.json`` with the columns added to the
-declared ones.
+table laid out as ``<path>/<day>=YYYY-MM-DD/part-*.parquet``.  Days are replaced
+by Spark's dynamic partition overwrite: rows go to a hidden staging folder
+and the days that got rows are swapped in when the job commits, so a failed or
+killed job - or a lost executor, whose tasks Spark retries - leaves the table
+as it was.  Days that have to go without getting rows are removed by name afterwards.
+
+One writer per table at a time is assumed, as in the reference.  A table exists
+from its first completed write, which leaves ``_table.json`` with the columns
+added to the declared ones.
 
 Reads always use the stored schema (partition value types, column order, no
 footer merge), so a day filter becomes a ``PartitionFilters`` entry.
@@ -26,27 +19,20 @@ footer merge), so a day filter becomes a ``PartitionFilters`` entry.
 from __future__ import annotations
 
 import json
-import threading
 import uuid
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillbook.functions.days import as_date, day_str
+from tillbook.session import list_conf, scratch_dir, session_conf
 from tillbook.sources.fs import FS
 
-STAGING = "_staging"
-MANIFEST = "_manifest.json"
-MARKER = "_table.json"        # a commit has completed; holds the added columns
-PENDING = "_pending"          # days changed since the reports were built, a file per commit
-
-#: File-system calls in flight while a commit swaps days in.
-COMMIT_THREADS = 16
+MARKER = "_table.json"        # a write has completed; holds the added columns
+PENDING = "_pending"          # days changed since the reports were built, a file per write
 
 
 @dataclass(frozen=True)
@@ -56,39 +42,21 @@ class Table:
     schema: T.StructType           # declared columns, day included
     key: str | None = None         # upsert key
     sort: tuple[str, ...] = ()     # extra in-file sort keys (O1)
-    track: bool = False            # keep the days each commit changed until cleared
+    track: bool = False            # keep the days each write changed until cleared
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
 
-# --- one writer at a time -----------------------------------------------------
-_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
-_LOCKS_GUARD = threading.Lock()
-
-
-@contextmanager
-def _writer(spark: SparkSession, table: Table):
-    """Writers of one table wait for each other; the first thing each does is to
-    finish or drop what a dead one left."""
-    with _LOCKS_GUARD:
-        lock = _LOCKS[table.path.rstrip("/")]
-    with lock:
-        recover(spark, table)
-        yield
-
-
 # --- reads (S3, S4) -----------------------------------------------------------
 def exists(spark: SparkSession, table: Table) -> bool:
-    """T1's probe: some commit has completed, or has got as far as its manifest."""
-    fs = FS(spark, table.path)
-    return fs.exists(f"{table.path}/{MARKER}") or any(
-        fs.exists(f"{run}/{MANIFEST}") for run in _runs(fs, table))
+    """T1's probe: some write has completed."""
+    return FS(spark, table.path).exists(f"{table.path}/{MARKER}")
 
 
 def added_columns(spark: SparkSession, table: Table) -> list[T.StructField]:
-    """Columns that commits added to the declared ones (T3), oldest first."""
+    """Columns that writes added to the declared ones (T3), oldest first."""
     fs = FS(spark, table.path)
     if not fs.exists(f"{table.path}/{MARKER}"):
         return []
@@ -98,7 +66,7 @@ def added_columns(spark: SparkSession, table: Table) -> list[T.StructField]:
 def read(spark: SparkSession, table: Table, days=None, evolved: bool = False) -> DataFrame:
     """S3 (whole table) or S4 (``days`` only, pruned to those partitions).
 
-    ``evolved=True`` also returns columns added by commits (T3), NULL for rows
+    ``evolved=True`` also returns columns added by writes (T3), NULL for rows
     written before them.
     """
     wanted = None if days is None else sorted({as_date(d) for d in days})
@@ -152,39 +120,7 @@ def _evolved(spark: SparkSession, table: Table, df: DataFrame, fresh: bool = Fal
     return known
 
 
-# --- session settings of one action -------------------------------------------
-_CONF_GUARD = threading.Lock()
-_CONF_USES: dict[tuple, list] = {}        # (session, key) -> [uses, value before]
-
-
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set SQL options for one action, then restore the caller's values.
-
-    Uses may overlap in threads: the first one sets an option and the last one
-    restores it (every use of an option here sets the same value).
-    """
-    session = id(spark._jsparkSession) if hasattr(spark, "_jsparkSession") else id(spark)
-    with _CONF_GUARD:
-        for k, v in settings.items():
-            use = _CONF_USES.setdefault((session, k), [0, spark.conf.get(k, None)])
-            use[0] += 1
-            spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        with _CONF_GUARD:
-            for k in settings:
-                use = _CONF_USES[session, k]
-                use[0] -= 1
-                if not use[0]:
-                    del _CONF_USES[session, k]
-                    if use[1] is None:
-                        spark.conf.unset(k)
-                    else:
-                        spark.conf.set(k, use[1])
-
-
+# --- writing -----------------------------------------------------------------
 # Writing by day: ``rebalance(day)`` sends each day to one task and AQE splits a
 # day bigger than the advisory size into several, so files per day stay
 # minimal.  AQE then merges small partitions up to min(total / parallelism,
@@ -197,126 +133,84 @@ WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
 
 
-def list_conf(spark: SparkSession) -> dict[str, str]:
-    """Listing a table's day folders: at most one task per core, not one per
-    folder (Spark's default allows 10,000 tasks for thousands of tiny days)."""
-    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism":
-            str(max(1, spark.sparkContext.defaultParallelism))}
-
-
 def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
-                 **options) -> None:
+                 mode: str = "overwrite", **options) -> None:
     """One Spark job writing ``df`` partitioned by ``day`` to ``path``."""
     w = (df.hint("rebalance", day).sortWithinPartitions(*keys)
-         .write.mode("overwrite").partitionBy(day).options(**options))
+         .write.mode(mode).partitionBy(day).options(**options))
     with session_conf(df.sparkSession, WRITE_CONF):
         w.format(fmt).save(path)
 
 
-# --- staging and commit -------------------------------------------------------
-def _day_dirs(fs: FS, path: str, day: str) -> set[str]:
-    prefix = f"{day}="
-    return {n[len(prefix):] for n in fs.children(path, dirs=True) if n.startswith(prefix)}
+def _write(table: Table, df: DataFrame, only: list[str] | None = None, mode: str = "overwrite") -> list[str]:
+    """Replace the days that ``df`` has rows for (or append to them); return all its days.
 
-
-def _runs(fs: FS, table: Table) -> list[str]:
-    base = f"{table.path}/{STAGING}"
-    return [f"{base}/{name}" for name in fs.children(base, dirs=True)]
+    ``only``: write just the rows of these days; the others' days are returned too.
+    The days are observed while the rows pass, without another job.
+    """
+    seen, day = Observation(), F.col(table.day).cast("string")
+    rows = df.observe(seen, F.collect_set(day).alias("days"))
+    if only is not None:
+        rows = rows.filter(F.col(table.day).isin([as_date(d) for d in only]))
+    write_by_day(rows, table.day, [table.day, *table.sort], table.path, mode=mode,
+                 partitionOverwriteMode="dynamic")
+    try:
+        return sorted(seen.get["days"])
+    except Py4JJavaError:      # a plan that Spark found to be empty reports nothing: nothing was written
+        return sorted(r[0] for r in df.select(day).distinct().collect())
 
 
-def _new_run(table: Table) -> str:
-    return f"{table.path}/{STAGING}/{uuid.uuid4().hex}"
+def _drop_days(spark: SparkSession, table: Table, days) -> None:
+    """Remove days by name (metadata only, bounded by days)."""
+    fs = FS(spark, table.path)
+    for d in sorted(days):
+        fs.delete(f"{table.path}/{table.day}={d}")
 
 
-def _stage(spark: SparkSession, table: Table, df: DataFrame,
-           run: str | None = None) -> tuple[str, list[str]]:
-    """Write rows to a staging run (new unless given); return (run, days with rows)."""
-    run = run or _new_run(table)
-    write_by_day(df, table.day, [table.day, *table.sort], f"{run}/data")
-    return run, sorted(_day_dirs(FS(spark, run), f"{run}/data", table.day))
+def _stored_days(spark: SparkSession, table: Table) -> set[str]:
+    prefix = f"{table.day}="
+    return {n[len(prefix):] for n in FS(spark, table.path).children(table.path, dirs=True) if n.startswith(prefix)}
 
 
-def _commit(spark: SparkSession, table: Table, run: str, rows: list[str], replace: list[str] | None,
-            replace_all: bool = False, added: list[T.StructField] = ()) -> None:
-    """Check that the staged days are there, write the manifest, then apply it."""
-    fs = FS(spark, table.path)
-    lost = set(rows) - _day_dirs(fs, f"{run}/data", table.day)
-    if lost:
-        raise FileNotFoundError(f"staged days are gone from {run}: {sorted(lost)[:5]}")
-    manifest = {"rows": sorted(rows), "replace": sorted(replace or []), "all": replace_all,
-                "added": T.StructType(list(added)).jsonValue()}
-    fs.mkdirs(run)
-    fs.write_text(f"{run}/{MANIFEST}", json.dumps(manifest))
-    _apply(fs, table, run, manifest)
-
-
-def _apply(fs: FS, table: Table, run: str, m: dict) -> None:
-    """Swap staged days into the table.  Safe to repeat after a crash."""
-    rows, replace = set(m["rows"]), set(m["replace"])
-    existing = _day_dirs(fs, table.path, table.day)
-    staged = _day_dirs(fs, f"{run}/data", table.day)
-    drop = (existing - rows) if m["all"] else (replace - rows)
-    if table.track:                                 # before any day changes
-        mark = f"{table.path}/{PENDING}/{run.rsplit('/', 1)[1]}.json"
-        before = json.loads(fs.read_text(mark)) if fs.exists(mark) else []
-        fs.mkdirs(f"{table.path}/{PENDING}")
-        fs.write_text(mark, json.dumps(sorted({*before, *rows, *drop, *replace})))
+def _describe(spark: SparkSession, table: Table, added: list[T.StructField]) -> None:
+    FS(spark, table.path).write_text(f"{table.path}/{MARKER}", json.dumps(
+        {"added": T.StructType(list(added)).jsonValue()}))
 
-    def remove(d):                                  # requested day, no rows
-        fs.delete(f"{table.path}/{table.day}={d}")
 
-    def swap(d):
-        src, dst = f"{run}/data/{table.day}={d}", f"{table.path}/{table.day}={d}"
-        if m["all"] or d in replace or d not in existing:
-            if d in existing:
-                fs.delete(dst)
-            fs.rename(src, dst)
-        else:                                       # append into an existing day
-            for f in fs.children(src, dirs=False):
-                if not f.startswith("_") and not f.startswith("._"):
-                    fs.rename(f"{src}/{f}", f"{dst}/{f}")
-            fs.delete(src)
-
-    with ThreadPoolExecutor(COMMIT_THREADS) as pool:     # days are independent
-        list(pool.map(remove, sorted(drop & existing)))
-        list(pool.map(swap, sorted(rows & staged)))
-    fs.write_text(f"{table.path}/{MARKER}", json.dumps({"added": m["added"]}))
-    fs.delete(run)
-
-
-def recover(spark: SparkSession, table: Table) -> None:
-    """For writers: roll forward runs that reached their manifest; drop the others."""
-    fs = FS(spark, table.path)
-    for run in _runs(fs, table):
-        if fs.exists(f"{run}/{MANIFEST}"):
-            _apply(fs, table, run, json.loads(fs.read_text(f"{run}/{MANIFEST}")))
-        else:
-            fs.delete(run)
+# --- days that reports have yet to see -------------------------------------------
+def _changing(spark: SparkSession, table: Table, days) -> None:
+    """Note the days of a tracked table that are about to change."""
+    if table.track and days:
+        fs = FS(spark, table.path)
+        fs.mkdirs(f"{table.path}/{PENDING}")
+        fs.write_text(f"{table.path}/{PENDING}/{uuid.uuid4().hex}.json", json.dumps(sorted(days)))
 
 
 def pending(spark: SparkSession, table: Table) -> dict[str, list[str]]:
-    """Days changed by commits of a tracked table that nobody has cleared, by commit."""
+    """Days changed by writes of a tracked table that nobody has cleared, by write."""
     fs = FS(spark, table.path)
     base = f"{table.path}/{PENDING}"
     return {n: json.loads(fs.read_text(f"{base}/{n}")) for n in fs.children(base, dirs=False)
             if n.endswith(".json")}
 
 
-def clear_pending(spark: SparkSession, table: Table, commits) -> None:
+def clear_pending(spark: SparkSession, table: Table, writes) -> None:
     fs = FS(spark, table.path)
-    for n in commits:
+    for n in writes:
         fs.delete(f"{table.path}/{PENDING}/{n}")
 
 
 # --- table operators ------------------------------------------------------------
 def create(spark: SparkSession, table: Table, df: DataFrame, evolve: bool = True) -> list[str]:
     """Create or replace the whole table with ``df``."""
-    with _writer(spark, table):
-        FS(spark, table.path).mkdirs(table.path)
-        added = _evolved(spark, table, df, fresh=True) if evolve else []
-        run, rows = _stage(spark, table, conform(df, table, added))
-        _commit(spark, table, run, rows, None, replace_all=True, added=added)
-    return rows
+    added = _evolved(spark, table, df, fresh=True) if evolve else []
+    before = _stored_days(spark, table)
+    _changing(spark, table, before)
+    days = _write(table, conform(df, table, added))
+    _changing(spark, table, set(days) - before)
+    _drop_days(spark, table, before - set(days))
+    _describe(spark, table, added)
+    return days
 
 
 def append(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
@@ -327,21 +221,21 @@ def append(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     NULL for rows written before them.  A column that was added with another
     type raises before anything is written.
     """
-    with _writer(spark, table):
-        if not exists(spark, table):
-            return create(spark, table, df)
-        added = _evolved(spark, table, df)
-        run, rows = _stage(spark, table, conform(df, table, added))
-        _commit(spark, table, run, rows, [], added=added)
-    return rows
+    if not exists(spark, table):
+        return create(spark, table, df)
+    added = _evolved(spark, table, df)
+    days = _write(table, conform(df, table, added), mode="append")
+    _describe(spark, table, added)
+    _changing(spark, table, days)
+    return days
 
 
 def delete_days(spark: SparkSession, table: Table, days) -> None:
     """T4 for day predicates: drop those partitions (metadata only)."""
     days = sorted({day_str(d) for d in days})
-    with _writer(spark, table):
-        if exists(spark, table):
-            _commit(spark, table, _new_run(table), [], days, added=added_columns(spark, table))
+    if exists(spark, table):
+        _changing(spark, table, days)
+        _drop_days(spark, table, days)
 
 
 def delete_where(spark: SparkSession, table: Table, predicate: Column | str) -> list[str]:
@@ -352,35 +246,48 @@ def delete_where(spark: SparkSession, table: Table, predicate: Column | str) ->
     SQL ``DELETE``.
     """
     pred = F.expr(predicate) if isinstance(predicate, str) else predicate
-    with _writer(spark, table):
-        touched = sorted(day_str(r[0]) for r in read(spark, table, evolved=True).filter(pred)
-                         .select(table.day).distinct().collect())
-        if not touched:
-            return []
+    touched = sorted(day_str(r[0]) for r in read(spark, table, evolved=True).filter(pred)
+                     .select(table.day).distinct().collect())
+    if touched:
         kept = read(spark, table, days=touched, evolved=True).filter(~F.coalesce(pred, F.lit(False)))
-        run, rows = _stage(spark, table, kept)
-        _commit(spark, table, run, rows, touched, added=added_columns(spark, table))
+        _rewrite(spark, table, kept, touched)
     return touched
 
 
+def _rewrite(spark: SparkSession, table: Table, df: DataFrame, days: list[str]) -> list[str]:
+    """Give ``days`` the rows of ``df``, which may come from the table itself."""
+    _changing(spark, table, days)
+    rows = _write(table, df)
+    _drop_days(spark, table, set(days) - set(rows))
+    return rows
+
+
 def replace_days(spark: SparkSession, table: Table, df: DataFrame, days=None,
                  evolve: bool = True) -> list[str]:
     """T5: each requested day gets exactly the rows of ``df`` for it.
 
     A requested day without rows is removed (the reference's delete + empty
     append).  Rows of days not requested are appended to those days, as the
-    reference's append does - so repeating a call repeats *those* rows.
+    reference's append does - so repeating a call repeats *those* rows.  Only
+    when there are such rows, they take a second pass.
     ``days=None`` replaces the days ``df`` has.
     """
-    with _writer(spark, table):
-        if not exists(spark, table):
-            return create(spark, table, df, evolve=evolve)
-        known = added_columns(spark, table)
-        added = _evolved(spark, table, df) if evolve else known
-        run, rows = _stage(spark, table, conform(df, table, added))
-        replace = rows if days is None else [day_str(d) for d in days]
-        _commit(spark, table, run, rows, replace, added=added)
-    return sorted(set(rows) | set(replace))
+    if not exists(spark, table):
+        return create(spark, table, df, evolve=evolve)
+    known = added_columns(spark, table)
+    added = _evolved(spark, table, df) if evolve else known
+    rows = conform(df, table, added)
+    asked = None if days is None else sorted({day_str(d) for d in days})
+    _changing(spark, table, asked)
+    found = set(_write(table, rows, asked))
+    others = found - set(found if asked is None else asked)
+    _changing(spark, table, found if asked is None else others)
+    if others:
+        _write(table, rows, sorted(others), mode="append")
+    _drop_days(spark, table, set(asked or []) - found)
+    if added != known:
+        _describe(spark, table, added)
+    return sorted(found | set(asked or []))
 
 
 def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
@@ -395,7 +302,7 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
 
     Job 1 finds the matches: it scans the key column of the target within the
     batch's smallest and largest key (an exact filter that Parquet statistics
-    can use) and writes the matched keys with their days to the run's folder.
+    can use) and writes the matched keys with their days to the scratch folder.
     Job 2 rewrites the touched days, which it joins with the batch once; what to
     insert it knows from the matched keys.  A batch under the broadcast
     threshold by Catalyst's size estimate is broadcast, so the target is not
@@ -405,51 +312,50 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     k, d = table.key, table.day
     if k is None:
         raise ValueError(f"table {table.path} has no key to upsert on")
-    with _writer(spark, table):
-        if not exists(spark, table):
-            return create(spark, table, conform(df, table), evolve=False)
-        added = added_columns(spark, table)
-        fields = [*table.schema, *added]
-        given = [f.name for f in fields if f.name in df.columns]
-
-        # 0. the source batch, typed, written once into this run's folder: both
-        #    jobs read the same rows and the CSV is parsed once; lineage is cut
-        #    at a table on the shared store
-        run = _new_run(table)
-        src = conform(df, table, added)
-        src.write.mode("overwrite").parquet(f"{run}/source")
-        src = spark.read.schema(T.StructType(fields)).parquet(f"{run}/source")
-        s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
-
-        # 1. matched keys and their days
-        lo, hi = src.agg(F.min(k), F.max(k)).first()
-        target = read(spark, table).select(k, d).filter(F.col(k).isNotNull())
-        if lo is not None:
-            target = target.filter(F.col(k).between(F.lit(lo), F.lit(hi)))
-        target.join(s_keys, k).groupBy(k, d).agg(F.max("_n").alias("_n")).write.parquet(f"{run}/matched")
-        matched = spark.read.schema(T.StructType([table.schema[k], table.schema[d], T.StructField(
-            "_n", T.LongType())])).parquet(f"{run}/matched")
-        info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))
-                .unionByName(src.select(d).distinct().withColumn("_n", F.lit(0).cast("long")))
-                .groupBy(d).agg(F.max("_n").alias("_n")).collect())
-        if any(r["_n"] > 1 for r in info):
-            FS(spark, run).delete(run)
-            raise ValueError(f"upsert on {k}: a target row matches several source rows")
-        touched = sorted(day_str(r[0]) for r in info)
-
-        # 2. new content of the touched days
-        tgt = read(spark, table, days=touched, evolved=True)
-        s = src.filter(F.col(k).isNotNull()).select(
-            F.col(k).alias("__k"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__s_{c}") for c in given])
-        updated_or_kept = tgt.filter(F.col(k).isNotNull()).join(s, F.col(k) == F.col("__k"), "left").select(*[
-            (F.when(F.col("__hit"), F.col(f"__s_{f.name}")).otherwise(F.col(f.name)) if f.name in given
-             else F.col(f.name)).alias(f.name) for f in fields])
-        inserted = src.filter(F.col(k).isNotNull()).join(matched.select(k).distinct(), k, "left_anti")
-        merged = (updated_or_kept.unionByName(inserted)
-                  .unionByName(src.filter(F.col(k).isNull()))
-                  .unionByName(tgt.filter(F.col(k).isNull())))
-        run, rows = _stage(spark, table, merged, run)
-        _commit(spark, table, run, rows, touched, added=added)
+    if not exists(spark, table):
+        return create(spark, table, conform(df, table), evolve=False)
+    added = added_columns(spark, table)
+    fields = [*table.schema, *added]
+    given = [f.name for f in fields if f.name in df.columns]
+
+    # 0. the source batch, typed, written once to the scratch folder: both
+    #    jobs read the same rows and the CSV is parsed once; lineage is cut
+    #    at a table on the shared store
+    run = scratch_dir(spark, "upsert")
+    src = conform(df, table, added)
+    src.write.mode("overwrite").parquet(f"{run}/source")
+    src = spark.read.schema(T.StructType(fields)).parquet(f"{run}/source")
+    s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
+
+    # 1. matched keys and their days
+    lo, hi = src.agg(F.min(k), F.max(k)).first()
+    target = read(spark, table).select(k, d).filter(F.col(k).isNotNull())
+    if lo is not None:
+        target = target.filter(F.col(k).between(F.lit(lo), F.lit(hi)))
+    target.join(s_keys, k).groupBy(k, d).agg(F.max("_n").alias("_n")).write.parquet(f"{run}/matched")
+    matched = spark.read.schema(T.StructType([table.schema[k], table.schema[d], T.StructField(
+        "_n", T.LongType())])).parquet(f"{run}/matched")
+    info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))
+            .unionByName(src.select(d).distinct().withColumn("_n", F.lit(0).cast("long")))
+            .groupBy(d).agg(F.max("_n").alias("_n")).collect())
+    if any(r["_n"] > 1 for r in info):
+        FS(spark, run).delete(run)
+        raise ValueError(f"upsert on {k}: a target row matches several source rows")
+    touched = sorted(day_str(r[0]) for r in info)
+
+    # 2. new content of the touched days
+    tgt = read(spark, table, days=touched, evolved=True)
+    s = src.filter(F.col(k).isNotNull()).select(
+        F.col(k).alias("__k"), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__s_{c}") for c in given])
+    updated_or_kept = tgt.filter(F.col(k).isNotNull()).join(s, F.col(k) == F.col("__k"), "left").select(*[
+        (F.when(F.col("__hit"), F.col(f"__s_{f.name}")).otherwise(F.col(f.name)) if f.name in given
+         else F.col(f.name)).alias(f.name) for f in fields])
+    inserted = src.filter(F.col(k).isNotNull()).join(matched.select(k).distinct(), k, "left_anti")
+    merged = (updated_or_kept.unionByName(inserted)
+              .unionByName(src.filter(F.col(k).isNull()))
+              .unionByName(tgt.filter(F.col(k).isNull())))
+    rows = _rewrite(spark, table, merged, touched)
+    FS(spark, run).delete(run)
     return sorted(set(rows) | set(touched))
 
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,43 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the scratch root (never reused)."""
     return f"{scratch_root(spark)}/tillbook/{label}-{uuid.uuid4().hex[:12]}"
+
+
+# --- session settings of one action -------------------------------------------
+_CONF_GUARD = threading.Lock()
+_CONF_USES: dict[tuple, list] = {}        # (session, key) -> [uses, value before]
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL options for one action, then restore the caller's values.
+
+    Uses may overlap in threads: the first one sets an option and the last one
+    restores it (every use of an option here sets the same value).
+    """
+    session = id(spark._jsparkSession) if hasattr(spark, "_jsparkSession") else id(spark)
+    with _CONF_GUARD:
+        for k, v in settings.items():
+            use = _CONF_USES.setdefault((session, k), [0, spark.conf.get(k, None)])
+            use[0] += 1
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _CONF_GUARD:
+            for k in settings:
+                use = _CONF_USES[session, k]
+                use[0] -= 1
+                if not use[0]:
+                    del _CONF_USES[session, k]
+                    if use[1] is None:
+                        spark.conf.unset(k)
+                    else:
+                        spark.conf.set(k, use[1])
+
+
+def list_conf(spark: SparkSession) -> dict[str, str]:
+    """Listing a table's day folders: at most one task per core, not one per
+    folder (Spark's default allows 10,000 tasks for thousands of tiny days)."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism":
+            str(max(1, spark.sparkContext.defaultParallelism))}

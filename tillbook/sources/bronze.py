@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tillbook.functions.days import file_day
 from tillbook.schemas import Domain
+from tillbook.session import list_conf, session_conf
 from tillbook.sources.fs import FS
 
 FILE_DAY = "_file_day"
@@ -69,7 +70,6 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
     for p, h in zip(paths, headers):
         groups[h].append(p)
     frames = []
-    from tillbook.operators.storage import list_conf, session_conf
     for _header, group in groups.items():
         with session_conf(spark, list_conf(spark)):      # files are listed here
             raw = (spark.read.option("header", True).option("inferSchema", infer)
