@@ -228,3 +228,19 @@ def test_rows_of_another_day_are_appended_each_time(spark, scratch):
         pipeline.ingest(spark, lake, TAXES, ["2024-01-02"])
     got = sorted((str(r.data_pagamento), r.valor_pago) for r in storage.read(spark, lake.silver(TAXES)).collect())
     assert got == [("2024-01-01", 1.0), ("2024-01-01", 2.0), ("2024-01-01", 2.0), ("2024-01-02", 4.0)]
+
+
+def test_jobs_run_side_by_side_and_fail_alone(spark):
+    import threading
+    meet = threading.Barrier(3, timeout=60)         # passed only if all three run at once
+
+    def job(n):
+        meet.wait()
+        pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        if n == "bad":
+            raise OSError("disk")
+        return pool, spark.range(n).count()
+    got = pipeline.concurrently(spark, {"five": lambda: job(5), "bad": lambda: job("bad"), "two": lambda: job(2)})
+    assert (got["five"], got["two"], str(got["bad"])) == (("five", 5), ("two", 2), "disk")
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert pipeline.concurrently(spark, {}) == {}

@@ -8,8 +8,11 @@ Layout under one root (an argument, never a constant):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,28 @@ def _report(r: Report | str) -> Report:
     return REPORTS[r] if isinstance(r, str) else r
 
 
+def concurrently(spark: SparkSession, jobs: dict[str, Callable]) -> dict:
+    """Run independent jobs side by side and return what each returned, or its exception.
+
+    Spark's scheduler takes jobs of several threads: the few tasks of a small day leave
+    cores idle that another domain can use.  Each job has a pool of its own name, so under
+    ``spark.scheduler.mode=FAIR`` a big one does not hold up the others.
+    """
+    def run(name: str):
+        sc = spark.sparkContext
+        before = sc.getLocalProperty("spark.scheduler.pool")
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return jobs[name]()
+        except Exception as e:  # noqa: BLE001 - returned, other jobs go on
+            return e
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", before)
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(run), name) for name in jobs}
+        return {name: job.result() for name, job in started.items()}
+
+
 # --- P1 -----------------------------------------------------------------------
 def ingest(spark: SparkSession, lake: Lake, domain: Domain | str, days) -> list[str]:
     """Load the bronze files of ``days`` into the domain's silver table.
@@ -123,18 +148,20 @@ def build_gold(spark: SparkSession, lake: Lake, report: Report | str, days=None)
 def backfill(spark: SparkSession, lake: Lake, lo, hi, domains=None) -> dict:
     """Ingest every day of ``lo..hi`` that has a file and refresh the gold tables.
 
-    One job per domain for the whole range (not one per day), then one gold job
-    per report over every day the ingests touched.  Returns ``{"touched": days
+    One job per domain for the whole range (not one per day), side by side, then one
+    gold job per report over every day the ingests touched.  Returns ``{"touched": days
     per domain, "missing": days without a file per domain, "reports": ...}``; a
     report that fails raises after the others are built.
     """
     days = day_range(lo, hi)
     domains = [_domain(d) for d in (domains or list(DOMAINS))]
-    touched, missing = {}, {}
-    for d in domains:
-        there = bronze.days_present(spark, lake.root, d, days)
-        missing[d.name] = sorted({day_str(x) for x in days} - {day_str(x) for x in there})
-        touched[d.name] = ingest(spark, lake, d, there) if there else []
+    there = {d.name: bronze.days_present(spark, lake.root, d, days) for d in domains}
+    missing = {n: sorted({day_str(x) for x in days} - {day_str(x) for x in have}) for n, have in there.items()}
+    touched = concurrently(spark, {n: lambda n=n: ingest(spark, lake, n, there[n]) if there[n] else []
+                                   for n in there})
+    for got in touched.values():
+        if isinstance(got, Exception):
+            raise got
     reports_ = refresh_reports(spark, lake, touched)
     failed = {n: r for n, r in reports_.items() if isinstance(r, Exception)}
     if failed:
@@ -148,40 +175,35 @@ def refresh_reports(spark: SparkSession, lake: Lake, touched: dict[str, list[str
     and those that earlier runs left (a run that died between silver and gold, a
     report that failed).  A silver table forgets its days once its report is built.
     Returns the days per report, or the exception of one that failed."""
-    done: dict[str, list[str] | Exception] = {}
-    for report in REPORTS.values():
-        if not all(n in touched for n in report.needs):
-            continue
+    def refresh(report: Report) -> list[str] | None:
         left = {n: storage.pending(spark, lake.silver(DOMAINS[n])) for n in report.needs}
         days = {d for n in report.needs for d in touched[n]}
-        days |= {d for commits in left.values() for changed in commits.values() for d in changed}
-        try:
-            if not all(storage.exists(spark, lake.silver(DOMAINS[n])) for n in report.needs):
-                continue                            # a domain that has never had a file
-            done[report.name] = build_gold(spark, lake, report, sorted(days))
-            for n, commits in left.items():
-                storage.clear_pending(spark, lake.silver(DOMAINS[n]), commits)
-        except Exception as e:  # noqa: BLE001 - returned, other reports go on
-            done[report.name] = e
-    return done
+        days |= {d for writes in left.values() for changed in writes.values() for d in changed}
+        if not all(storage.exists(spark, lake.silver(DOMAINS[n])) for n in report.needs):
+            return None                             # a domain that has never had a file
+        built = build_gold(spark, lake, report, sorted(days))
+        for n, writes in left.items():
+            storage.clear_pending(spark, lake.silver(DOMAINS[n]), writes)
+        return built
+
+    ready = [r for r in REPORTS.values() if all(n in touched for n in r.needs)]
+    done = concurrently(spark, {r.name: lambda r=r: refresh(r) for r in ready})
+    return {n: built for n, built in done.items() if built is not None}
 
 
 # --- P4 -----------------------------------------------------------------------
 def run_day(spark: SparkSession, lake: Lake, day) -> dict:
-    """The daily run.  Five ingests, then the reports whose inputs loaded.
+    """The daily run.  Five ingests side by side, then the reports whose inputs loaded.
 
     A failed domain (say, its file is missing) skips only the reports that need
     it, and a failed report stops no other one; nothing is raised, so the caller
     has to look at ``status``.  Upserts can touch older days (B6); those are
     refreshed too.
     """
-    status, touched = {}, {}
-    for domain in (RETURNS, STOCK, SALES, FREIGHT, TAXES):
-        try:
-            touched[domain.name] = ingest(spark, lake, domain, [day])
-            status[domain.name] = "ok"
-        except Exception as e:  # noqa: BLE001 - reported, other domains go on
-            status[domain.name] = _failure(e)
+    loaded = concurrently(spark, {d.name: lambda d=d: ingest(spark, lake, d, [day])
+                                  for d in (RETURNS, STOCK, SALES, FREIGHT, TAXES)})
+    status = {n: _failure(got) if isinstance(got, Exception) else "ok" for n, got in loaded.items()}
+    touched = {n: got for n, got in loaded.items() if not isinstance(got, Exception)}
     built = refresh_reports(spark, lake, touched)
     for r in REPORTS.values():
         got = built.get(r.name)

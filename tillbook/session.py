@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.scheduler.mode", "FAIR")        # domains of a day run side by side
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # listing thousands of day folders: a few tasks, not one per folder
