@@ -321,3 +321,33 @@ def test_hot_day_is_split_over_several_tasks(spark, scratch):
     assert len(hot) > 1                                  # split, not one task
     assert storage.read(spark, t).count() == n           # nothing dropped
     assert storage.read(spark, t, days=["2024-01-01"]).count() == n // 3
+
+
+def _rows_scanned(df):
+    """Rows that the scans of a plan without shuffles gave, as Spark counted them."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_upsert_of_few_random_keys_skips_row_groups_by_bloom_filter(spark, scratch):
+    t = table(scratch)
+    df = spark.range(60_000).selectExpr("md5(CAST(id AS STRING)) AS k", "CAST(id AS DOUBLE) AS v",
+                                        "date_add(DATE'2024-01-01', CAST(id % 60 AS INT)) AS d")
+    storage.create(spark, t, df)
+    batch = df.filter("v IN (7, 67, 8)").withColumn("v", F.lit(-1.0)).union(frame(spark, [("new", 0.0, "2024-01-09")]))
+    target = storage._among(storage.read(spark, t).select("k", "d"), "k", batch)
+    with storage.session_conf(spark, {"spark.sql.parquet.pushdown.inFilterThreshold": str(storage.FEW_KEYS)}):
+        assert 3 <= _rows_scanned(target) < 5_000          # 2 of 60 days hold the keys
+    assert storage.upsert(spark, t, batch) == ["2024-01-08", "2024-01-09"]
+    assert storage.read(spark, t).count() == 60_001 and storage.read(spark, t).filter("v = -1").count() == 3
+
+
+def test_days_come_from_folders_without_a_scan(spark, scratch):
+    t = table(scratch, key=None)
+    storage.create(spark, t, frame(spark, [("1", 1.0, "2024-01-03"), ("2", 2.0, "2024-01-01")]))
+    df = storage.days_frame(spark, t)
+    assert [str(r.d) for r in df.collect()] == ["2024-01-01", "2024-01-03"]
+    assert "parquet" not in df._jdf.queryExecution().toString().lower()
+    storage.delete_days(spark, t, ["2024-01-01", "2024-01-03"])
+    assert storage.days_frame(spark, t).agg(F.min("d")).first()[0] is None

@@ -133,6 +133,28 @@ WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1"}
 
 
+#: An upsert of at most so many keys looks for each of them in the files' bloom filters.
+FEW_KEYS = 500
+
+
+def _bloom(table: Table) -> dict[str, str]:
+    """Writer options: a bloom filter on the key, sized by the keys that a row group has.
+    One in 100,000: a batch of FEW_KEYS keys reads few row groups that have none of them."""
+    return {} if table.key is None else {
+        f"parquet.bloom.filter.enabled#{table.key}": "true", f"parquet.bloom.filter.fpp#{table.key}": "0.00001",
+        "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
+def _among(target: DataFrame, key: str, src: DataFrame) -> DataFrame:
+    """Rows of ``target`` that may have a key of the batch ``src``: an exact filter that the
+    Parquet reader can use on row groups, by bloom filter for few keys, else by range."""
+    few = [r[0] for r in src.select(key).filter(F.col(key).isNotNull()).distinct().limit(FEW_KEYS + 1).collect()]
+    if len(few) <= FEW_KEYS:
+        return target.filter(F.col(key).isin(few))
+    lo, hi = src.agg(F.min(key), F.max(key)).first()
+    return target.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
+
+
 def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
                  mode: str = "overwrite", **options) -> None:
     """One Spark job writing ``df`` partitioned by ``day`` to ``path``."""
@@ -153,13 +175,19 @@ def _write(table: Table, df: DataFrame, only: list[str] | None = None, mode: str
     if only is not None:
         rows = rows.filter(F.col(table.day).isin([as_date(d) for d in only]))
     write_by_day(rows, table.day, [table.day, *table.sort], table.path, mode=mode,
-                 partitionOverwriteMode="dynamic")
+                 partitionOverwriteMode="dynamic", **_bloom(table))
     try:
         return sorted(seen.get["days"])
     except Py4JJavaError:      # a plan that Spark found to be empty reports nothing: nothing was written
         return sorted(r[0] for r in df.select(day).distinct().collect())
 
 
+def days_frame(spark: SparkSession, table: Table) -> DataFrame:
+    """The days of a table from the names of its folders (every folder has rows): no file is read."""
+    rows = [(as_date(d),) for d in sorted(_stored_days(spark, table))]
+    return spark.createDataFrame(rows, T.StructType([table.schema[table.day]]))
+
+
 def _drop_days(spark: SparkSession, table: Table, days) -> None:
     """Remove days by name (metadata only, bounded by days)."""
     fs = FS(spark, table.path)
@@ -300,9 +328,9 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     source duplicates of a new key are all inserted.  Source columns unknown to
     the table are dropped, as the reference's merge does.
 
-    Job 1 finds the matches: it scans the key column of the target within the
-    batch's smallest and largest key (an exact filter that Parquet statistics
-    can use) and writes the matched keys with their days to the scratch folder.
+    Job 1 finds the matches: it scans the key column of the target - with up to FEW_KEYS
+    keys only the row groups whose bloom filter has one of them, else those within the
+    batch's smallest and largest key - and writes the matched keys with their days to the scratch folder.
     Job 2 rewrites the touched days, which it joins with the batch once; what to
     insert it knows from the matched keys.  A batch under the broadcast
     threshold by Catalyst's size estimate is broadcast, so the target is not
@@ -328,11 +356,9 @@ def upsert(spark: SparkSession, table: Table, df: DataFrame) -> list[str]:
     s_keys = src.filter(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
 
     # 1. matched keys and their days
-    lo, hi = src.agg(F.min(k), F.max(k)).first()
-    target = read(spark, table).select(k, d).filter(F.col(k).isNotNull())
-    if lo is not None:
-        target = target.filter(F.col(k).between(F.lit(lo), F.lit(hi)))
-    target.join(s_keys, k).groupBy(k, d).agg(F.max("_n").alias("_n")).write.parquet(f"{run}/matched")
+    target = _among(read(spark, table).select(k, d).filter(F.col(k).isNotNull()), k, src)
+    with session_conf(spark, {"spark.sql.parquet.pushdown.inFilterThreshold": str(FEW_KEYS)}):
+        target.join(s_keys, k).groupBy(k, d).agg(F.max("_n").alias("_n")).write.parquet(f"{run}/matched")
     matched = spark.read.schema(T.StructType([table.schema[k], table.schema[d], T.StructField(
         "_n", T.LongType())])).parquet(f"{run}/matched")
     info = (matched.groupBy(d).agg(F.max("_n").alias("_n"))

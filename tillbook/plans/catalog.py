@@ -443,6 +443,33 @@ def gold_taxes_sorted(spark, sf_dir):
     return storage.read(spark, lake.gold(TAX_REPORT)).orderBy(*gold.KEYS_TAX)
 
 
+@register("report_days_stored", f"""SELECT DISTINCT CodigoData FROM ({TAXES_SQL}) g""")
+def report_days_stored(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "days", (TAXES,))
+    pipeline.build_gold(spark, lake, TAX_REPORT)
+    return pipeline.report_choices(spark, lake, "taxes")["days"]
+
+
+@register("report_bounds_stored", f"""SELECT MIN(CodigoData) AS first_day, MAX(CodigoData) AS last_day
+FROM ({TAXES_SQL}) g""")
+def report_bounds_stored(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir, "bounds", (TAXES,))
+    pipeline.build_gold(spark, lake, TAX_REPORT)
+    return pipeline.report_choices(spark, lake, "taxes")["bounds"]
+
+
+@register("upsert_few_keys", f"""SELECT f.* REPLACE (valor_frete + (pedido_id IN (
+  SELECT pedido_id FROM ({SILVER_SQL["frete"]}) n WHERE pedido_id IS NOT NULL ORDER BY pedido_id LIMIT 300)
+  )::INT AS valor_frete) FROM ({SILVER_SQL["frete"]}) f""")
+def upsert_few_keys(spark, sf_dir):
+    t = _silver(spark, "few", FREIGHT)
+    rows = fx.freight(spark, sf_dir)
+    storage.create(spark, t, rows)
+    few = rows.filter("pedido_id IS NOT NULL").orderBy(F.col("pedido_id").cast("string")).limit(300)
+    storage.upsert(spark, t, few.withColumn("valor_frete", F.col("valor_frete") + 1))
+    return storage.read(spark, t)
+
+
 @register("report_products_filtered", f"""SELECT * FROM ({_gold_text(PRODUCTS_SQL)}) p
 WHERE FilialId IN {tuple(str(b) for b in BRANCH_PICK)}
   AND CodigoData BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'""")

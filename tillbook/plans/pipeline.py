@@ -241,11 +241,13 @@ def report_series(spark: SparkSession, lake: Lake, name: str, branches=None, lo=
 def report_choices(spark: SparkSession, lake: Lake, name: str) -> dict[str, DataFrame]:
     """P5: what a report can be filtered by - branches, products (product report
     only), days, and the default range (first and last day) - as lazy frames
-    over the stored gold table (A8, A9)."""
+    over the stored gold table (A8, A9).  Days and range come from the names of the
+    day folders, so no file is read for them."""
     df = storage.read(spark, lake.gold(_report(name)))
+    days = storage.days_frame(spark, lake.gold(_report(name)))
     out = {"branches": reports.distinct_values(df, "FilialId"),
-           "days": reports.distinct_values(df, "CodigoData"),
-           "bounds": reports.date_bounds(df)}
+           "days": reports.distinct_values(days, "CodigoData"),
+           "bounds": reports.date_bounds(days)}
     if _report(name) is PRODUCT_REPORT:
         out["products"] = reports.distinct_values(df, "ProdutoId")
     return out
