@@ -55,6 +55,39 @@ def test_topk_large_components(spark):
     assert search(spark, rows) == brute_top(rows, lambda i: i % 5 == 0, 5)
 
 
+def test_topk_components_of_any_size(spark):
+    rows = [(0, [1.0, 0.0]), (50, [2.0**45, 1.0]), (1, [2.0**46, 2.0]), (2, [3.0, 1.0]), (55, [1e300, -1e300]),
+            (3, [1.5e308, 1.0]), (4, [-2.0**55 - 2**40, 2.0**56]), (60, [0.1, -2.0**60]), (5, [2.0**56, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.search(df, df.filter("vec_id % 5 = 0"), k=8).collect()
+    cut = lambda s: min(max(s, -2**63), 2**63 - 1)
+    v = {i: [math.floor(256 * x) if abs(x) < 2**52 else 256 * int(x) for x in e] for i, e in rows}
+    want = []
+    for q in (0, 5, 50, 55, 60):
+        best = sorted((-cut(sum(a * b for a, b in zip(v[q], v[i]))), i) for i in v if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == want
+
+
+def test_topk_large_vectors_keep_their_bounds(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 2.0**46) for _ in range(24)]) for i in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = {i: [math.floor(256 * x) for x in e] for i, e in rows}
+    cut = lambda s: min(max(s, -2**63), 2**63 - 1)
+    for r in topk.search(df, df.filter("vec_id % 40 = 0")).collect():
+        best = sorted((-cut(sum(a * b for a, b in zip(v[r.query_id], v[i]))), i) for i in v if i != r.query_id)
+        assert best[r["rank"] - 1] == (-r.score, r.vec_id)
+
+
+def test_topk_repeated_ids(spark):
+    rows = [(0, [1.0]), (0, [2.0]), (1, [1.0]), (1, [1.0]), (5, [3.0])]
+    got = search(spark, rows)
+    assert [r for r in got if r[0] == 5] == [(5, 1, 0, 256 * 768 * 2), (5, 2, 0, 256 * 768), (5, 3, 1, 256 * 768),
+                                             (5, 4, 1, 256 * 768)]
+    assert sum(r[0] == 0 for r in got) == 6               # each row of the repeated query on its own
+
+
 def test_topk_empty(spark):
     assert search(spark, []) == []
 
@@ -157,6 +190,46 @@ def test_least_number_of_bad_urls_is_the_same_at_any_size(spark, others):
     assert [(r.tokens, r.confidence) for r in url_filter.mine(labelled).collect()] == [(["host=spam"], 1.0)]
 
 
+@pytest.mark.parametrize("good", [0, 15])
+def test_many_shared_tokens_are_one_item(spark, good):
+    path = "/".join(f"word{chr(97 + i)}" for i in range(20))
+    urls = [(f"http://a.b.org/{path}/{n}", True) for n in range(40)] + [
+        (f"http://a.b.org/{path}/{n}", False) for n in range(good)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    got = {tuple(r.tokens): r.confidence for r in url_filter.mine(labelled.select(
+        url_filter.tokens_of(F.col("url")).alias("tokens"), "bad")).collect()}
+    assert len(got) == 24 and set(got.values()) == {40 / (40 + good)} and all(len(t) == 1 for t in got)
+    pages = spark.createDataFrame([(1, "http://x.net/wordt"), (2, "http://x.net/wordz"), (3, "http://b.org")],
+                                  "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.judged(pages, labelled, ()).collect()} == {
+        1: "block", 2: "allow", 3: "block"}
+
+
+def test_rules_of_classes_match_any_member(spark):
+    # "one two" come together, so do "red blue"; only both kinds together are bad
+    sets = [(["one", "red", "two", "blue"], True)] * 40 + [(["one", "two"], False)] * 60 + [(["red", "blue"], False)] * 60
+    seen = spark.createDataFrame(sets, "tokens array<string>, bad boolean")
+    got = {tuple(r.tokens): r.confidence for r in url_filter.mine(seen).collect()}
+    assert got == plain_rules([(t, b) for t, b in sets], 0, 30, 0.6)
+    assert set(got) == {tuple(sorted((a, b))) for a in ("blue", "red") for b in ("one", "two")}
+    rules, classes = url_filter.mined(seen)
+    pages = spark.createDataFrame([(["two", "blue"],), (["two", "one"],), (["red", "x", "one"],)], "tokens array<string>")
+    assert sorted(sorted(r.tokens) for r in url_filter.matched(pages, rules, classes).collect()) == [
+        ["blue", "two"], ["one", "red", "x"]]
+
+
+def test_urls_empty_repeated_long_and_extra_columns(spark):
+    none = spark.createDataFrame([], "url string, bad boolean")
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judged(empty, none).collect() == []
+    long = "http://x.net/es/" + "a/" * 20_000 + "?" + "k=v&" * 5_000
+    pages = spark.createDataFrame([(1, long), (1, long), (None, long), (2, None)], "page_id long, url string").withColumns(
+        {"tokens": F.lit("t"), "host": F.lit("h"), "fit": F.lit(1), "confidence": F.lit(0.5), "__url": F.lit("u")})
+    got = sorted(((r.page_id or 0), r.rule, r.verdict) for r in url_filter.judged(pages, none).collect()
+                 if r.page_id != 2)
+    assert got == [(0, "net/es/", "block"), (1, "net/es/", "block"), (1, "net/es/", "block")]
+
+
 def test_labelled_pages(spark):
     pages = spark.createDataFrame([("http://a/en/12.html#top",), ("http://a/12/",), ("http://a/x",), (None,),
                                    ("http://a/7?x=12",), ("http://a/" + "9" * 30,)], "url string")

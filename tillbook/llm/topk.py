@@ -14,16 +14,17 @@ survivors exactly.  Each pair of blocks yields at most k rows per query; a rank
 over those gives the result.  Bounds carry a rounding allowance, so no true
 neighbour is lost; ties go to the smaller id.
 
-Defined cases: a null vector, or one that holds a null or non-finite component
-(or one of 2^45 or more, which cannot be scaled exactly), takes no part, nor does
-a row with a null id; scores beyond a long are cut to its range; vectors of
+Defined cases: a null vector, or one that holds a null or non-finite component,
+takes no part, nor does a row with a null id; components of any finite size are scaled
+and multiplied exactly, and scores beyond a long are cut to its range (those at an end of
+the range tie); vectors of
 different lengths have no score together; repeated rows are candidates each (a query is not a candidate of
 itself, by id); an id that repeats among the queries is one query per row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +38,20 @@ SCALE, K, SEGMENTS = 256, 5, (4, 16)
 QUERY_ROWS, CANDIDATE_ROWS = 1024, 8192
 
 
-def quantised(vectors: DataFrame, vector: str = "embedding", vec_id: str = "vec_id",
-              scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array<bigint>, dim) of the rows that take part."""
+def sound(vectors: DataFrame, vector: str = "embedding", vec_id: str = "vec_id") -> DataFrame:
+    """(vec_id, v array<double>, dim) of the rows that take part."""
     d = vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
-                       F.col(vector).cast("array<double>").alias("x"))
-    # from 2^53 / scale on, a double is no longer scaled exactly
-    sound = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 2.0**53 / scale))
-    d = d.filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & sound)
-    return d.select("vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v")).withColumn(
+                       F.col(vector).cast("array<double>").alias("v"))
+    finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    return d.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite).withColumn(
         "dim", F.size("v"))
 
 
+def integers(row: np.ndarray, scale: int) -> list[int]:
+    """floor(scale * c) of each component, of any size; from 2^52 on a double is whole."""
+    return [math.floor(c * scale) if abs(c) < 2.0**52 else int(c) * scale for c in row.tolist()]
+
+
 def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     """Rows whose squared distances are the segment lower bounds of the rows of x."""
     parts = np.array_split(np.arange(x.shape[1]), min(segments, x.shape[1]))
@@ -57,28 +60,31 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
 
 
 def block_top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int,
-              segments=SEGMENTS) -> list[tuple[int, int, int]]:
+              segments=SEGMENTS, scale: int = SCALE) -> list[tuple[int, int, int]]:
     """(row of q, id, score): the k best of x for each row of q, ties to smaller ids."""
     order = np.argsort(x_ids, kind="stable")
     x, x_ids = x[order], x_ids[order]
     dim = q.shape[1]
-    exact = dim * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) < 2.0**52
-    qf, xf = q.astype(np.float64), x.astype(np.float64)
-    qq, xx = (qf * qf).sum(1), (xf * xf).sum(1)
+    with np.errstate(over="ignore"):                     # what overflows is neither exact nor bounded
+        qf, xf = np.floor(q * float(scale)), np.floor(x * float(scale))
+        largest = [float(np.abs(m).max(initial=0)) for m in (qf, xf)]
+        exact = dim * largest[0] * largest[1] < 2.0**52
+        qq, xx = (qf * qf).sum(1), (xf * xf).sum(1)
 
     def scores(i: int, at: np.ndarray) -> np.ndarray:
         if exact:
             return (xf[at] @ qf[i]).astype(np.int64)
-        own = q[i].tolist()
-        return np.array([min(max(sum(a * b for a, b in zip(x[j].tolist(), own, strict=True)), -2**63),
-                             2**63 - 1) for j in at], np.int64)
+        own = integers(q[i], scale)
+        return np.array([min(max(sum(a * b for a, b in zip(integers(x[j], scale), own, strict=True)), -2**63),
+                             2**63 - 1) for j in at.tolist()], np.int64)
 
     def bound(stat_q, stat_x, square_q, square_x):
         gap = (stat_q * stat_q).sum(-1) + (stat_x * stat_x).sum(-1) - 2 * (stat_x @ stat_q)
         # rounding of sums of this size, far above one unit in the last place
         return (square_q + square_x - gap) / 2 + 1e-9 * (square_q + square_x) + 1
 
-    levels = [(statistics(qf, s), statistics(xf, s)) for s in segments if s < dim] if dim else []
+    bounded = max(largest) < 2.0**400                    # squares and their sums stay finite
+    levels = [(statistics(qf, s), statistics(xf, s)) for s in segments if 0 < s < dim and bounded]
     out = []
     for i in range(len(q)):
         at = np.flatnonzero(x_ids != q_ids[i])
@@ -90,7 +96,8 @@ def block_top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray
             first = at[np.argpartition(-upper, k - 1)[:k]]
             least = scores(i, first).min()
             floor = least if floor is None else max(floor, least)
-            at = at[upper >= floor]
+            if floor > -2**63:                           # at the end of a long's range all tie
+                at = at[upper >= floor]
         score = scores(i, at)
         if len(at) > k:                                  # ids rise, so a stable sort keeps small ids first
             cut = np.partition(score, -k)[-k]
@@ -123,8 +130,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, vector: str = "em
            candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
     """One row per query and neighbour: query_id, rank, vec_id, score."""
     number = F.monotonically_increasing_id()              # fixed by being stored
-    x = stored(quantised(vectors, vector, vec_id).withColumn("row", number), "vectors")
-    q = stored(quantised(queries, vector, vec_id).withColumn("row", number), "queries")
+    x = stored(sound(vectors, vector, vec_id).withColumn("row", number), "vectors")
+    q = stored(sound(queries, vector, vec_id).withColumn("row", number), "queries")
     x_blocks, q_blocks = bucket_count(x.count(), candidate_rows), bucket_count(q.count(), query_rows)
     x = x.withColumn("xb", F.pmod(F.xxhash64("row"), F.lit(x_blocks)))
     q = q.withColumn("qb", F.pmod(F.xxhash64("row"), F.lit(q_blocks)))
