@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
-from tillbook.functions.money import micro_sum_sql, rounded_sum, wild_sum_sql, with_ratio
+from tillbook.functions.money import rounded_sum, unit_sum_sql, wild_sum_sql, with_ratio
 from tillbook.operators import gold
 from tillbook.schemas import RETURNS, SALES, STOCK
 from tillbook.sources import fixtures as fx
@@ -17,7 +17,7 @@ def _frame(spark, domain, rows):
 
 def _ratio(spark, rows):
     df = spark.createDataFrame(rows, "i int, v double, q long").groupBy("i").agg(
-        F.expr(f"{micro_sum_sql('v')} AS m"), F.expr(f"{wild_sum_sql('v')} AS w"), F.sum("q").alias("q"))
+        F.expr(f"{unit_sum_sql('v')} AS m"), F.expr(f"{wild_sum_sql('v')} AS w"), F.sum("q").alias("q"))
     return [r.r for r in with_ratio(df, "m", "w", "q", "r", 2).orderBy("i").collect()]
 
 
@@ -63,9 +63,24 @@ def test_nan_makes_only_its_own_group_nan(spark, ansi):
     assert math.isnan(ratio[0]) and ratio[1:] == [2.5, None]
 
 
-def test_values_finer_than_a_micro_unit_are_rounded_first(spark):
-    assert _sum(spark, [0.0000004] * 1000) == 0.0
-    assert _sum(spark, [0.0000005] * 1000) == 0.001
+def test_values_finer_than_a_micro_unit_are_summed_exactly(spark, ansi):
+    assert _sum(spark, [0.0000004] * 1000) == 0.0004
+    assert _sum(spark, [0.0000005] * 1000) == 0.0005
+    assert _sum(spark, [-0.0000004] * 125) == -0.0001        # a tie, away from zero
+    assert _sum(spark, [0.1234567] * 1000) == 123.4567
+    assert _sum(spark, [0.00000049] * 100 + [1e8]) == 1e8
+    assert _sum(spark, [9e12, 0.01], 2) == 9000000000000.01
+    assert _sum(spark, [0.00004999999999]) == 0.0            # not rounded twice
+
+
+def test_rounded_sum_equals_decimal_arithmetic(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    rng = random.Random(5)
+    for digits in (2, 4):
+        values = [rng.choice([-1, 1]) * round(rng.random() * 10 ** rng.randint(-5, 8), rng.randint(0, 6)) for _ in range(400)]
+        want = sum(Decimal(repr(v)) for v in values).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+        assert _sum(spark, values, digits) == float(want)
 
 
 def test_zero_quantity_gives_null_ticket(spark):

@@ -280,6 +280,31 @@ def test_rows_lie_in_key_order_in_their_files(spark, scratch):
         assert keys == sorted(keys) and len(keys) > 1
 
 
+def test_files_of_a_hot_day_have_disjoint_key_ranges(spark, scratch):
+    """O1 of a ranged table, from the footers: one day holds most rows."""
+    import pyarrow.parquet as pq
+    t = Table(scratch, "d", SCHEMA, None, ("k",), ranged=True)
+    df = spark.range(40_000).selectExpr(
+        "CAST(hash(id) AS STRING) AS k", "CAST(id AS DOUBLE) AS v",
+        "IF(id % 10 < 8, DATE'2024-01-03', date_add(DATE'2024-01-01', CAST(id % 7 AS INT))) AS d").repartition(6)
+    days = storage.create(spark, t, df)
+    assert len(days) == 7
+    files = {d: [f"{scratch}/{d}/{f}" for f in os.listdir(f"{scratch}/{d}") if f.endswith(".parquet")]
+             for d in os.listdir(scratch) if d.startswith("d=")}
+    assert len(files["d=2024-01-03"]) > 2
+    n = 0
+    for fs in files.values():
+        ranges = []
+        for f in fs:
+            footer = pq.ParquetFile(f).metadata
+            n += footer.num_rows
+            stats = [footer.row_group(g).column(0).statistics for g in range(footer.num_row_groups)]
+            ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+        ranges.sort()
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert n == 40_000
+
+
 def test_write_dispatch(spark, scratch):
     t = table(scratch)
     assert not storage.exists(spark, t)

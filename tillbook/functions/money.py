@@ -2,18 +2,21 @@
 
 Money arrives as DOUBLE.  Summing doubles makes the result depend on row order
 (different partitioning gives different last digits) and lets half-cent ties
-round either way.  Each value is therefore rounded HALF_UP to whole micro-units
-(1e-6) and summed as integers; only the per-group results become decimals, for
-HALF_UP rounding, and are handed back as DOUBLE.
+round either way.  Each value is therefore taken as whole micro-units (1e-6,
+HALF_UP) plus what that leaves over, in units of 1e-15, and all parts are summed as
+integers; only the per-group results become decimals, for HALF_UP rounding, and are
+handed back as DOUBLE.
 
-The rule for values finer than 1e-6 is that rounding comes first: a thousand
-rows of 0.0000004 sum to 0 (SURVEY B3 chose six decimals).
+A value of up to six decimals leaves nothing over: it is the double nearest to its
+micro-units, and counts as that decimal.  Of any other value the rest is what the double
+holds beyond them, so a thousand rows of 0.0000004 sum to 0.0004.  Below 1e-15 it is
+rounded, far under the last place of a double of 10 and more.
 
 Micro-units below 2^53 are split at 2^26 into a high and a low part, each summed
-as a LONG: as fast as a double sum inside whole-stage codegen, unlike a per-row
-decimal.  Whatever the ANSI setting, neither sum can wrap or raise below 6e10
-rows in one group, even if all of them have the largest magnitude.  Values that
-have no exact micro-units (NaN, the infinities, magnitudes from 9e9 on) are
+as a LONG like the rest: as fast as a double sum inside whole-stage codegen, unlike a
+per-row decimal.  Whatever the ANSI setting, the first two cannot wrap or raise below
+6e10 rows in one group and the rest below 1.8e10, even if all have the largest magnitude.
+Values that have no exact micro-units (NaN, the infinities, magnitudes from 9e9 on) are
 summed as doubles beside them, so that NaN makes its own group NaN and no other.
 """
 
@@ -22,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCALE = 10 ** 6
+MICRO = 10 ** 6                # micro-units of one
+FINE = 10 ** 9                 # units of a sum in one micro-unit
+SCALE = MICRO * FINE           # units of a sum in one
 SPLIT = 2 ** 26
 WILD = "9e9D"
 
@@ -34,7 +39,7 @@ def _tame(e: str, then: str) -> str:
 
 def _micros(e: str) -> str:
     """``x * 1e6 ± 0.5``: truncated toward zero it is HALF_UP away from zero."""
-    return f"(({e}) * {SCALE}D + signum({e}) * 0.5D)"
+    return f"(({e}) * {MICRO}D + signum({e}) * 0.5D)"
 
 
 def _high(e: str) -> str:
@@ -46,10 +51,16 @@ def _low(e: str) -> str:
     return f"CAST({_micros(e)} - {_high(e)} * {SPLIT}D AS BIGINT)"
 
 
-def micro_sum_sql(e: str) -> str:
-    """Exact sum of the tame values in micro-units, DECIMAL(38,0); NULL if there is none."""
-    return (f"CAST(CAST(SUM({_tame(e, _high(e))}) AS DECIMAL(20,0)) * {SPLIT}"
-            f" + SUM({_tame(e, _low(e))}) AS DECIMAL(38,0))")
+def _rest(e: str) -> str:
+    # zero for a value that is the double nearest to its micro-units
+    return f"CAST(rint((({e}) - CAST({_micros(e)} AS BIGINT) / {MICRO}D) * {SCALE}D) AS BIGINT)"
+
+
+def unit_sum_sql(e: str) -> str:
+    """Exact sum of the tame values in units of 1e-15, DECIMAL(38,0); NULL if there is none."""
+    micros = (f"CAST(SUM({_tame(e, _high(e))}) AS DECIMAL(20,0)) * {SPLIT}"
+              f" + SUM({_tame(e, _low(e))})")
+    return f"CAST(({micros}) * {FINE} + SUM({_tame(e, _rest(e))}) AS DECIMAL(38,0))"
 
 
 def wild_sum_sql(e: str) -> str:
@@ -57,15 +68,20 @@ def wild_sum_sql(e: str) -> str:
     return f"SUM(CASE WHEN abs({e}) >= {WILD} THEN CAST({e} AS DOUBLE) END)"
 
 
-def to_double_sql(micro_sum: str, wild: str, digits: int) -> str:
-    """``round(sum, digits)`` HALF_UP as DOUBLE; the division by 1e6 is exact."""
-    exact = f"CAST(ROUND(CAST({micro_sum} AS DECIMAL(32,0)) / {SCALE}, {digits}) AS DOUBLE)"
+def to_double_sql(unit_sum: str, wild: str, digits: int) -> str:
+    """``round(sum, digits)`` HALF_UP as DOUBLE, by whole steps of ``10^-digits``."""
+    step = SCALE // 10 ** digits
+    # up to the half step away from zero, then cut: what is divided is a whole number of steps
+    up = f"(abs({unit_sum}) + {step // 2})"
+    steps = f"CAST(CAST({up} - {up} % {step} AS DECIMAL(38,0)) / {step} AS DECIMAL(30,0))"
+    size = f"CAST({steps} * CAST({10.0 ** -digits:.{digits}f} AS DECIMAL({digits + 1},{digits})) AS DOUBLE)"
+    exact = f"(CASE WHEN {unit_sum} < 0 THEN -{size} ELSE {size} END)"
     return f"CASE WHEN {wild} IS NULL THEN {exact} ELSE {wild} + COALESCE({exact}, 0D) END"
 
 
 def rounded_sum_sql(e: str, digits: int) -> str:
     """``round(sum(e), digits)`` summed exactly, as DOUBLE."""
-    return to_double_sql(micro_sum_sql(e), wild_sum_sql(e), digits)
+    return to_double_sql(unit_sum_sql(e), wild_sum_sql(e), digits)
 
 
 def rounded_sum(column: str, digits: int) -> Column:
@@ -77,7 +93,7 @@ def with_ratio(df: DataFrame, num: str, wild: str, den: str, out: str, digits: i
                keep: list[str] | None = None) -> DataFrame:
     """Add ``out = round(num / den, digits)`` HALF_UP (away from zero), exactly.
 
-    ``num`` is a micro-unit sum, ``wild`` the double sum beside it, ``den`` an
+    ``num`` is a :func:`unit_sum_sql`, ``wild`` the double sum beside it, ``den`` an
     integral column; NULL when ``den`` is 0 or NULL, as ``try_divide``.  Spark's
     decimal division keeps only six decimals once operands are wide, and
     rounding that again to ``digits`` could move a value lying just below a

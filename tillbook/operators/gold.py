@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.functions.money import (micro_sum_sql, rounded_sum_sql, to_double_sql,
+from tillbook.functions.money import (rounded_sum_sql, to_double_sql, unit_sum_sql,
                                       wild_sum_sql, with_ratio)
 from tillbook.schemas import FREIGHT_REPORT, PRODUCT_REPORT, TAX_REPORT
 
@@ -80,7 +80,7 @@ def stock_summary(estoque: DataFrame) -> DataFrame:
 
 
 def _sales_measures(qty: str, price: str) -> list[str]:
-    return [f"sum({qty}) AS TotalQuantidadeVendida", f"{micro_sum_sql(price)} AS __v",
+    return [f"sum({qty}) AS TotalQuantidadeVendida", f"{unit_sum_sql(price)} AS __v",
             f"{wild_sum_sql(price)} AS __w"]
 
 

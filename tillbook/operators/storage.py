@@ -42,6 +42,7 @@ class Table:
     schema: T.StructType           # declared columns, day included
     key: str | None = None         # upsert key
     sort: tuple[str, ...] = ()     # extra in-file sort keys (O1)
+    ranged: bool = False           # split a hot day by key range (O1)
     track: bool = False            # keep the days each write changed until cleared
 
     @property
@@ -156,9 +157,15 @@ def _among(target: DataFrame, key: str, src: DataFrame) -> DataFrame:
 
 
 def write_by_day(df: DataFrame, day: str, keys: list[str], path: str, fmt: str = "parquet",
-                 mode: str = "overwrite", **options) -> None:
-    """One Spark job writing ``df`` partitioned by ``day`` to ``path``."""
-    w = (df.hint("rebalance", day).sortWithinPartitions(*keys)
+                 mode: str = "overwrite", ranged: bool = False, **options) -> None:
+    """One Spark job writing ``df`` partitioned by ``day`` to ``path``.
+
+    A hot day is split over tasks: by size as the rows come or, ``ranged``, by ranges of the
+    keys, so that its files have disjoint key ranges and a filter on the first key skips most
+    of them.  Ranges cost a sampling pass over ``df`` before the shuffle.
+    """
+    dealt = df.repartitionByRange(*keys) if ranged else df.hint("rebalance", day)
+    w = (dealt.sortWithinPartitions(*keys)
          .write.mode(mode).partitionBy(day).options(**options))
     with session_conf(df.sparkSession, WRITE_CONF):
         w.format(fmt).save(path)
@@ -175,7 +182,7 @@ def _write(table: Table, df: DataFrame, only: list[str] | None = None, mode: str
     if only is not None:
         rows = rows.filter(F.col(table.day).isin([as_date(d) for d in only]))
     write_by_day(rows, table.day, [table.day, *table.sort], table.path, mode=mode,
-                 partitionOverwriteMode="dynamic", **_bloom(table))
+                 ranged=table.ranged and bool(table.sort), partitionOverwriteMode="dynamic", **_bloom(table))
     try:
         return sorted(seen.get["days"])
     except Py4JJavaError:      # a plan that Spark found to be empty reports nothing: nothing was written

@@ -38,7 +38,7 @@ class Lake:
 
     def gold(self, report: Report) -> Table:
         return Table(f"{self.root}/gold/{report.folder}/{report.table}", report.day,
-                     report.schema, None, tuple(report.keys[1:]))
+                     report.schema, None, tuple(report.keys[1:]), ranged=True)
 
 
 def _domain(d: Domain | str) -> Domain:
