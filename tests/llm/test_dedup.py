@@ -199,6 +199,41 @@ def test_substring_stage_keeps_rows_and_columns(docs_of):
     assert out[3].text is None and out[4].text == " untouched  text " and out[2].key == "k"
 
 
+CLASHES = ["__id", "__xx", "__key", "__keep", "__digest", "__points", "__kept", "__repeats", "id", "row", "key", "xx",
+           "digest", "points", "keep", "repeats", "hot", "stay", "kept", "found_key"]
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.drop_copies, simhash.keep_one, substring_dedup.drop_repeats])
+def test_stages_leave_columns_of_any_name_alone(spark, stage):
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, words), (3, "other text"), (3, "other text"), (None, "x y z"),
+                                  (LAST, "alone here")], "doc_id long, text string")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.coalesce("doc_id", F.lit(0))) for c in CLASHES})
+    got = stage(docs)
+    assert got.columns == docs.columns and got.schema["text"].dataType == docs.schema["text"].dataType
+    rows = got.collect()
+    assert {r.doc_id for r in rows} >= {1, 3, None, LAST}
+    for r in rows:
+        assert all(r[c] == f"{c}{r.doc_id or 0}" for c in CLASHES)
+
+
+LAST = 2**63 - 1
+
+
+def test_largest_id_stands_before_a_null_one(docs_of):
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of([(LAST, words), (None, words), (LAST - 1, "q " + words)])
+    near = simhash.near_groups(docs_of([(LAST, "a b c d"), (None, "a b c d")])).collect()
+    assert {r.doc_id: r.component_id for r in near} == {LAST: LAST, None: LAST}
+    assert [r.component_id for r in simhash.near_groups(docs_of([(LAST, "a b c d")])).collect()] == [LAST]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.removals(docs).collect()}
+    assert got == {LAST - 1: 0, LAST: 60, None: 60}
+    two = {r.doc_id: r.n_removed for r in substring_dedup.removals(docs_of([(LAST, words), (None, words)])).collect()}
+    assert two == {LAST: 0, None: 60}
+    part = docs_of([(None, "start " + words + " end"), (LAST, "other " + words)])
+    assert {r.doc_id: r.n_removed for r in substring_dedup.removals(part).collect()} == {LAST: 0, None: 60}
+
+
 @pytest.mark.parametrize("run", [exact_dedup.groups, exact_dedup.drop_copies, simhash.groups,
                                  simhash.keep_one, substring_dedup.removals, substring_dedup.drop_repeats])
 def test_empty_tables(spark, run):

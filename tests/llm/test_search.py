@@ -272,6 +272,24 @@ def test_chat_snapshots(spark, seed):
     assert got == plain_chats(rows)
 
 
+def test_chat_largest_id_null_id_and_a_long_text(spark):
+    last, long = 2**63 - 1, "é " * 200_000
+    rows = [(last, 0, "a", "b"), (None, 0, "a", "b"), (None, 1, "c", "d"), (last - 1, 0, "a", long)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.copies, r.chat) for r in chat.conversations(df).collect()}
+    assert got == plain_chats(rows) and set(got) == {None, last - 1}
+    df = spark.createDataFrame(rows[:2], "conv_id long, turn long, role string, text string")
+    assert [(r.conv_id, r.copies) for r in chat.conversations(df).collect()] == [(last, 2)]
+
+
+def test_chat_windows(spark):
+    df = spark.createDataFrame([(1, 1, "a", "b")], "conv_id long, turn long, role string, text string")
+    numbering = chat.numbered(df)._jdf.queryExecution().executedPlan().toString()
+    whole = chat.conversations(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in numbering and "Window" not in whole
+    assert numbering.count("Window [") <= 3 and numbering.count("Exchange") == 1
+
+
 def test_chat_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.conversations(empty).collect() == []

@@ -135,20 +135,21 @@ def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = stored(digests(docs, text, doc_id), "exact-digests")
     heavy = heavy_winners(rows, counters)
     stay = assign(rows, heavy).filter("kept").groupBy("doc_id", "digest").agg(
-        F.max("n_points").alias("__stay_points"), F.count(F.lit(1)).alias("__repeats"))
-    stay = stay.withColumnsRenamed({"doc_id": "__stay_id", "digest": "__stay"})
-    d = docs.withColumns({
-        "__digest": F.unhex(F.sha2(normalised(text), 256)),
-        "__id": F.col(doc_id).cast("long"),
-        "__points": F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long")})
-    h = heavy.select(F.col("digest").alias("__hot"), F.col("keep_id").alias("__hot_id"),
-                     F.col("keep_points").alias("__hot_points"))
-    d = d.join(F.broadcast(h), F.col("__digest") == F.col("__hot"), "left").filter(
-        F.col("__hot").isNull() | (F.col("__id").eqNullSafe(F.col("__hot_id"))
-                                   & (F.col("__points") == F.col("__hot_points"))))
-    d = d.join(stay, (F.col("__digest") == F.col("__stay"))
-               & F.col("__id").eqNullSafe(F.col("__stay_id"))
-               & (F.col("__points") == F.col("__stay_points")))
-    once = d.filter("__repeats = 1").select(*docs.columns)
-    again = d.filter("__repeats > 1").dropDuplicates(["__digest", "__id"]).select(*docs.columns)
+        F.max("n_points").alias("stay_points"), F.count(F.lit(1)).alias("repeats"))
+    stay = stay.withColumnsRenamed({"doc_id": "stay_id", "digest": "stay"})
+    # the input row travels whole in one column, so its names meet none of these
+    d = docs.select(
+        F.struct("*").alias("row"), F.unhex(F.sha2(normalised(text), 256)).alias("digest"),
+        F.col(doc_id).cast("long").alias("id"),
+        F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long").alias("points"))
+    h = heavy.select(F.col("digest").alias("hot"), F.col("keep_id").alias("hot_id"),
+                     F.col("keep_points").alias("hot_points"))
+    d = d.join(F.broadcast(h), F.col("digest") == F.col("hot"), "left").filter(
+        F.col("hot").isNull() | (F.col("id").eqNullSafe(F.col("hot_id"))
+                                 & (F.col("points") == F.col("hot_points"))))
+    d = d.join(stay, (F.col("digest") == F.col("stay"))
+               & F.col("id").eqNullSafe(F.col("stay_id"))
+               & (F.col("points") == F.col("stay_points")))
+    once = d.filter("repeats = 1").select("row.*")
+    again = d.filter("repeats > 1").dropDuplicates(["digest", "id"]).select("row.*")
     return once.unionByName(again)

@@ -43,9 +43,6 @@ from tillbook.llm.components import components
 
 SHINGLE, RADIUS, SEED, BITS = 3, 2, 42, 64
 
-#: Stands for a null doc_id while documents are compared.
-LAST_ID = 2**63 - 1
-
 
 def masks(radius: int = RADIUS) -> list[int]:
     """The covering masks: 2^(radius + 1) - 1 of them."""
@@ -131,7 +128,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, xx, fp (long), component_id."""
     rows = stored(fingerprints(docs, text, doc_id, shingle), "fingerprints")
-    ids = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
+    ids = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")        # null stands last
     fps = stored(rows.groupBy("fp").agg(F.min(ids).alias("id")), "fingerprint-classes")
     found = stored(components(links(fps.withColumn("node", F.col("fp")), radius)).withColumnRenamed(
         "node", "fp"), "fingerprint-components")
@@ -139,9 +136,8 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     linked = found.join(least, "component").select("fp", "component_id")
     # stored, so that the last join reads straight from shuffles and AQE can split a hot one
     label = stored(fps.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "id").alias("component_id")), "fingerprint-labels")
-    return rows.join(label, "fp").select(
-        "doc_id", "xx", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
+        "fp", F.coalesce("component_id", "id")["doc_id"].alias("component_id")), "fingerprint-labels")
+    return rows.join(label, "fp").select("doc_id", "xx", "fp", "component_id")
 
 
 def groups(docs: DataFrame, **options) -> DataFrame:
@@ -161,9 +157,10 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **opti
     # a null doc_id names no single group; its rows are groups by fingerprint
     keep = first.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp"))).agg(
         F.min(F.struct("xx", "n")).alias("r")).select(
-        F.col("doc_id").alias("__keep"), F.col("r.xx").alias("__xx"), F.col("r.n").alias("__repeats"))
-    d = docs.join(keep, docs[doc_id].cast("long").eqNullSafe(F.col("__keep"))
-                  & (_text_hash(text) == F.col("__xx")))
-    once = d.filter("__repeats = 1").select(*docs.columns)
-    again = d.filter("__repeats > 1").dropDuplicates(["__keep", "__xx"]).select(*docs.columns)
+        F.col("doc_id").alias("keep"), F.col("r.xx").alias("keep_xx"), F.col("r.n").alias("repeats"))
+    # the input row travels whole in one column, so its names meet none of these
+    d = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), _text_hash(text).alias("xx"))
+    d = d.join(keep, F.col("id").eqNullSafe(F.col("keep")) & (F.col("xx") == F.col("keep_xx")))
+    once = d.filter("repeats = 1").select("row.*")
+    again = d.filter("repeats > 1").dropDuplicates(["id", "xx"]).select("row.*")
     return once.unionByName(again)

@@ -50,7 +50,6 @@ from tillbook.llm.common import (
 )
 
 WINDOW, PHRASE = 50, 8
-LAST_ID = 2**63 - 1
 _TOP = np.uint64(2**64 - 1)
 
 
@@ -251,14 +250,19 @@ def _remove(window: int, with_text: bool):
 
 # --- the plan ---------------------------------------------------------------
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("key"),
+    return docs.select(F.col(doc_id).cast("long").alias("key"),
                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("xx"),
                        F.col(text).cast("string").alias("text"))
 
 
+def _several(least: str, most: str, none: str) -> str:
+    """Some document of the group comes after its first one: a null key comes last."""
+    return f"{least} < {most} OR ({none} AND {least} IS NOT NULL)"
+
+
 def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
            phrase: int = PHRASE, with_text: bool = False) -> DataFrame:
-    """One row per document: key (doc_id, null as the largest long), xx (hash of the
+    """One row per document: key (doc_id), xx (hash of the
     text), n_words, n_removed, kept_sha256 and, ``with_text``, kept_text (null where
     nothing is removed)."""
     d = _keyed(docs, text, doc_id)
@@ -266,32 +270,33 @@ def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
                                "sha binary, phrases array<long>"), "phrases")
     # texts with the same words: the first by key stands for all
     texts = rows.filter(F.col("n_words") >= window).groupBy("sha").agg(
-        F.min(F.struct("key", "xx")).alias("r"), F.first("phrases").alias("phrases")).select(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", "xx")).alias("r"), F.first("phrases").alias("phrases")).select(
         "sha", "r.key", "r.xx", "phrases")
     each = texts.select("sha", "key", "xx", F.explode("phrases").alias("h"))
     # what hot keys are joined with is stored first: then both sides of the join come
     # straight from shuffles, and AQE can split the partition of a hot key
-    recurring = stored(each.groupBy("h").agg(F.min("key").alias("a"), F.max("key").alias("b"))
-                       .filter("a < b").select("h"), "recurring")
+    none = F.bool_or(F.col("key").isNull()).alias("none")
+    recurring = stored(each.groupBy("h").agg(F.min("key").alias("a"), F.max("key").alias("b"), none)
+                       .filter(_several("a", "b", "none")).select("h"), "recurring")
     known = each.join(recurring, "h").groupBy("sha", "key", "xx").agg(
-        F.collect_list("h").alias("phrases"))
+        F.collect_list("h").alias("phrases")).withColumnsRenamed({"key": "known_key", "xx": "known_xx"})
     squeezed = d.mapInArrow(_squeeze, "key long, xx long, ztext binary")
     located = stored(
-        squeezed.join(known, ["key", "xx"]).select("sha", "key", "ztext", "phrases").mapInArrow(
+        squeezed.join(known, F.col("key").eqNullSafe(F.col("known_key")) & (F.col("xx") == F.col("known_xx"))).select("sha", "key", "ztext", "phrases").mapInArrow(
             _locate(window, phrase), "sha binary, key long, ztext binary, at array<int>, "
             "hi array<long>, lo array<long>"), "windows")
     windows = located.select("sha", "key", F.inline(F.arrays_zip("at", "hi", "lo")))
-    least = stored(windows.groupBy("hi", "lo").agg(F.min("key").alias("first_key"), F.max("key").alias("b"))
-                   .filter("first_key < b").drop("b"), "window-owners")
-    starts = windows.join(least, ["hi", "lo"]).filter("key > first_key").groupBy("sha").agg(
+    least = stored(windows.groupBy("hi", "lo").agg(F.min("key").alias("first_key"), F.max("key").alias("b"), none)
+                   .filter(_several("first_key", "b", "none")).select("hi", "lo", "first_key"), "window-owners")
+    starts = windows.join(least, ["hi", "lo"]).filter("key > first_key OR key IS NULL").groupBy("sha").agg(
         F.collect_set("at").alias("starts"))
     changed = located.select("sha", "ztext").dropDuplicates(["sha"]).join(starts, "sha").mapInArrow(
         _remove(window, with_text), "sha binary, n_removed long, kept_sha256 string"
         + (", kept_text string" if with_text else ""))
-    first = stored(texts.select("sha", F.col("key").alias("first_key")).join(changed, "sha", "left"),
+    first = stored(texts.select("sha", F.col("key").alias("first_key"), F.lit(True).alias("windowed")).join(changed, "sha", "left"),
                    "judged-texts")
     both = rows.select("key", "xx", "n_words", "sha").join(first, "sha", "left")
-    copy = F.col("key") > F.col("first_key")             # false where there is no window
+    copy = F.col("windowed") & F.coalesce(F.col("key") > F.col("first_key"), F.col("first_key").isNotNull())
     out = {"n_removed": F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))),
            "kept_sha256": F.when(copy, F.sha2(F.lit(""), 256)).otherwise(
                F.coalesce("kept_sha256", F.lower(F.hex("sha"))))}
@@ -303,7 +308,7 @@ def judged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
 def removals(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     return judged(docs, **options).select(
-        F.nullif("key", F.lit(LAST_ID)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+        F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
 def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars",
@@ -312,12 +317,13 @@ def drop_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_
     lose words (and its length as their n_chars, if there is such a column); the others
     keep their row as it is.  No row is dropped."""
     found = judged(docs, text, doc_id, with_text=True, **options).filter("n_removed > 0").groupBy(
-        F.col("key").alias("__key"), F.col("xx").alias("__xx")).agg(F.first("kept_text").alias("__kept"))
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    joined = docs.join(found, (key == F.col("__key")) & (
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__xx")), "left")
-    new = {text: F.coalesce("__kept", text)}
+        F.col("key").alias("found_key"), F.col("xx").alias("found_xx")).agg(F.first("kept_text").alias("kept"))
+    # the input row travels whole in one column, so its names meet none of these
+    joined = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("key"),
+                         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("xx")).join(
+        found, F.col("key").eqNullSafe(F.col("found_key")) & (F.col("xx") == F.col("found_xx")), "left")
+    new = {text: F.coalesce("kept", F.col("row")[text])}
     if n_chars in docs.columns:
         kind = docs.schema[n_chars].dataType
-        new[n_chars] = F.coalesce(F.char_length("__kept").cast(kind), n_chars)
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+        new[n_chars] = F.coalesce(F.char_length("kept").cast(kind), F.col("row")[n_chars])
+    return joined.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
