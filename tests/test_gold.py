@@ -71,6 +71,7 @@ def test_values_finer_than_a_micro_unit_are_summed_exactly(spark, ansi):
     assert _sum(spark, [0.00000049] * 100 + [1e8]) == 1e8
     assert _sum(spark, [9e12, 0.01], 2) == 9000000000000.01
     assert _sum(spark, [0.00004999999999]) == 0.0            # not rounded twice
+    assert str(_sum(spark, [-0.00001])) == "0.0"
 
 
 def test_rounded_sum_equals_decimal_arithmetic(spark):
