@@ -56,14 +56,15 @@ def _rest(e: str) -> str:
     return f"CAST(rint((({e}) - CAST({_micros(e)} AS BIGINT) / {MICRO}D) * {SCALE}D) AS BIGINT)"
 
 
-def _sums(e: str) -> tuple[str, str, str]:
+def _sums(e: str, fine: bool = True) -> tuple[str, str, str]:
     """The LONG sums of the high, low and rest parts of the tame values."""
-    return tuple(f"SUM({_tame(e, part(e))})" for part in (_high, _low, _rest))
+    high, low, rest = (f"SUM({_tame(e, part(e))})" for part in (_high, _low, _rest))
+    return high, low, rest if fine else "0L"
 
 
-def unit_sum_sql(e: str) -> str:
+def unit_sum_sql(e: str, fine: bool = True) -> str:
     """Exact sum of the tame values in units of 1e-15, DECIMAL(38,0); NULL if there is none."""
-    high, low, rest = _sums(e)
+    high, low, rest = _sums(e, fine)
     return f"CAST((CAST({high} AS DECIMAL(20,0)) * {SPLIT} + {low}) * {FINE} + {rest} AS DECIMAL(38,0))"
 
 
@@ -91,13 +92,14 @@ def to_double_sql(unit_sum: str, wild: str, digits: int) -> str:
     return _beside(wild, _rounded_units(unit_sum, digits))
 
 
-def rounded_sum_sql(e: str, digits: int) -> str:
+def rounded_sum_sql(e: str, digits: int, fine: bool = True) -> str:
     """``round(sum(e), digits)`` summed exactly, as DOUBLE.
 
     Sums below 2^52 micro-units, which nearly all are, are rounded in LONGs; decimals cost
-    several times that for each group.
+    several times that for each group.  Not ``fine``: the values have at most six decimals,
+    so there is no rest to sum.
     """
-    high, low, rest = _sums(e)
+    high, low, rest = _sums(e, fine)
     part = f"pmod({rest}, {FINE}L)"                     # of a micro-unit, not negative
     whole = f"({high} * {SPLIT}L + {low} + ({rest} - {part}) div {FINE}L)"
     size = f"(CASE WHEN {whole} < 0 THEN -{whole} - IF({part} > 0, 1L, 0L) ELSE {whole} END)"
@@ -105,12 +107,12 @@ def rounded_sum_sql(e: str, digits: int) -> str:
     steps = f"(({size} + {step // 2}L) div {step}L)"
     quick = f"CAST(IF({whole} < 0, -{steps}, {steps}) AS DOUBLE) / {float(10 ** digits)}D"
     small = f"abs({high}) < {2 ** 25}L AND abs({low}) < {2 ** 51}L"
-    exact = f"(CASE WHEN {small} THEN {quick} ELSE {_rounded_units(unit_sum_sql(e), digits)} END)"
+    exact = f"(CASE WHEN {small} THEN {quick} ELSE {_rounded_units(unit_sum_sql(e, fine), digits)} END)"
     return _beside(wild_sum_sql(e), exact)
 
 
-def rounded_sum(column: str, digits: int) -> Column:
-    return F.expr(rounded_sum_sql(f"`{column}`", digits))
+def rounded_sum(column: str, digits: int, fine: bool = True) -> Column:
+    return F.expr(rounded_sum_sql(f"`{column}`", digits, fine))
 
 
 # --- exact ratio ---------------------------------------------------------------------

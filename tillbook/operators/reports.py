@@ -69,7 +69,7 @@ def daily_totals(df: DataFrame, measure: str, money: bool) -> DataFrame:
     decimals (the gold values' scale) and returned as DOUBLE.
     """
     if money:   # exact: the gold values have four decimals
-        total = F.coalesce(rounded_sum(measure, 4), F.lit(0.0))
+        total = F.coalesce(rounded_sum(measure, 4, fine=False), F.lit(0.0))
     else:
         total = F.coalesce(F.sum(measure), F.lit(0)).cast("long")
     return (df.filter(F.col("CodigoData").isNotNull() & F.col("FilialId").isNotNull())
