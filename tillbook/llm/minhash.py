@@ -380,17 +380,21 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
     # a smaller set within the ratio has at most one size class less
     wide = labelled.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)))
     open_ = wide.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                    F.count(F.lit(1)).alias("left"),
-                                    F.sum(F.col("n") * 8 + REGISTERS).alias("bytes")).filter("low != high")
-    rest = stored(wide.join(open_.select("key", "left", "bytes"), "key"), "near-open")
+                                    F.count(F.lit(1)).alias("left")).filter("low != high")
+    rest = stored(wide.join(open_.select("key", "left"), "key"), "near-open")
     small = rest.filter(F.col("left") <= few)
     a, b = (small.select("key", F.col("node").alias(s), F.col("n").alias(f"n{s}"),
                          F.col("component").alias(f"c{s}")) for s in ("u", "v"))
     second = verified(a.join(b, "key").filter("u < v AND cu != cv").filter(_fits("nu", "nv", percent)).select(
         "u", "v").distinct(), rows, percent)
-    # large ones: neighbouring size classes meet, in pairs of blocks
-    large = rest.filter(F.col("left") > few).withColumn(
-        "band", F.explode(F.array("class", F.col("class") + 1))).withColumns({
+    # large ones: neighbouring size classes meet, in pairs of blocks; the members of a class
+    # go only where they meet one of another component in it or in a neighbouring class
+    wanted = rest.filter(F.col("left") > few).withColumn(
+        "band", F.explode(F.array("class", F.col("class") + 1)))
+    met = wanted.groupBy("key", "band").agg(
+        F.max("class").alias("upper"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.sum(F.col("n") * 8 + REGISTERS).alias("bytes")).filter("upper = band AND low != high")
+    large = wanted.join(met.select("key", "band", "bytes"), ["key", "band"]).withColumns({
             "blocks": F.ceil(F.col("bytes") / block_bytes)}).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("blocks")))
     meets = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
