@@ -95,18 +95,17 @@ def to_double_sql(unit_sum: str, wild: str, digits: int) -> str:
 def rounded_sum_sql(e: str, digits: int, fine: bool = True) -> str:
     """``round(sum(e), digits)`` summed exactly, as DOUBLE.
 
-    Sums below 2^52 micro-units, which nearly all are, are rounded in LONGs; decimals cost
-    several times that for each group.  Not ``fine``: the values have at most six decimals,
-    so there is no rest to sum.
+    Sums below 2^52 micro-units with nothing left over, which nearly all are, are rounded
+    in LONGs; decimals cost several times that for each group.  Not ``fine``: the values
+    have at most six decimals, so there is no rest to sum.
     """
     high, low, rest = _sums(e, fine)
-    part = f"pmod({rest}, {FINE}L)"                     # of a micro-unit, not negative
-    whole = f"({high} * {SPLIT}L + {low} + ({rest} - {part}) div {FINE}L)"
-    size = f"(CASE WHEN {whole} < 0 THEN -{whole} - IF({part} > 0, 1L, 0L) ELSE {whole} END)"
+    whole = f"({high} * {SPLIT}L + {low})"
     step = MICRO // 10 ** digits
-    steps = f"(({size} + {step // 2}L) div {step}L)"
-    quick = f"CAST(IF({whole} < 0, -{steps}, {steps}) AS DOUBLE) / {float(10 ** digits)}D"
-    small = f"abs({high}) < {2 ** 25}L AND abs({low}) < {2 ** 51}L"
+    # div cuts toward zero, so half a step away from it is HALF_UP
+    steps = f"({whole} + IF({whole} < 0, -{step // 2}L, {step // 2}L)) div {step}L"
+    quick = f"CAST({steps} AS DOUBLE) / {float(10 ** digits)}D"
+    small = f"{rest} = 0 AND abs({high}) < {2 ** 25}L AND abs({low}) < {2 ** 51}L"
     exact = f"(CASE WHEN {small} THEN {quick} ELSE {_rounded_units(unit_sum_sql(e, fine), digits)} END)"
     return _beside(wild_sum_sql(e), exact)
 
