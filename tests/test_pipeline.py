@@ -244,3 +244,25 @@ def test_jobs_run_side_by_side_and_fail_alone(spark):
     assert (got["five"], got["two"], str(got["bad"])) == (("five", 5), ("two", 2), "disk")
     assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
     assert pipeline.concurrently(spark, {}) == {}
+
+
+def test_files_of_several_days_are_parsed_once(spark, scratch, monkeypatch):
+    """What reads the rows of a keyed domain again reads them typed, from the scratch
+    folder; keys of several files are few here, so the rows are joined without a shuffle."""
+    from tillbook.functions.days import file_day
+    lake, days = Lake(scratch), ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for i, d in enumerate(days):
+        rows = "".join(f"{k},{i}.5,{d},c,b\n" for k in ("", "same", f"own{i}"))
+        write_csv(f"{scratch}/bronze/sistema_frete/frete/frete_{file_day(d)}.csv",
+                  "pedido_id,valor_frete,data_envio,transportadora,filial_id\n" + rows)
+    real, plans = storage.create, []
+
+    def create(s, table, df, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(s, table, df, **options)
+    monkeypatch.setattr(storage, "create", create)
+    pipeline.ingest(spark, lake, FREIGHT, days)
+    assert "Scan csv" not in plans[0] and "BroadcastHashJoin" in plans[0]
+    got = storage.read(spark, lake.silver(FREIGHT)).select("pedido_id", "valor_frete").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(None, .5), (None, 1.5), (None, 2.5), ("own0", .5), ("own1", 1.5), ("own2", 2.5), ("same", 2.5)], key=str)

@@ -149,10 +149,11 @@ def _bloom(table: Table) -> dict[str, str]:
 def _among(target: DataFrame, key: str, src: DataFrame) -> DataFrame:
     """Rows of ``target`` that may have a key of the batch ``src``: an exact filter that the
     Parquet reader can use on row groups, by bloom filter for few keys, else by range."""
-    few = [r[0] for r in src.select(key).filter(F.col(key).isNotNull()).distinct().limit(FEW_KEYS + 1).collect()]
-    if len(few) <= FEW_KEYS:
-        return target.filter(F.col(key).isin(few))
-    lo, hi = src.agg(F.min(key), F.max(key)).first()
+    lo, hi, about = src.agg(F.min(key), F.max(key), F.approx_count_distinct(key)).first()
+    if about <= 2 * FEW_KEYS:      # else the batch need not be shuffled to count its keys
+        few = [r[0] for r in src.select(key).filter(F.col(key).isNotNull()).distinct().limit(FEW_KEYS + 1).collect()]
+        if len(few) <= FEW_KEYS:
+            return target.filter(F.col(key).isin(few))
     return target.filter(F.col(key).between(F.lit(lo), F.lit(hi)))
 
 

@@ -21,7 +21,9 @@ from tillbook.operators import gold, reports, storage
 from tillbook.operators.storage import Table
 from tillbook.schemas import (DOMAINS, FREIGHT, FREIGHT_REPORT, PRODUCT_REPORT, REPORTS,
                               RETURNS, SALES, STOCK, TAX_REPORT, TAXES, Domain, Report)
+from tillbook.session import scratch_dir
 from tillbook.sources import bronze
+from tillbook.sources.fs import FS
 
 
 @dataclass(frozen=True)
@@ -87,33 +89,45 @@ def ingest(spark: SparkSession, lake: Lake, domain: Domain | str, days) -> list[
     domain = _domain(domain)
     days = [as_date(d) for d in days]
     table = lake.silver(domain)
-    if domain.upsert and len(days) > 1:
-        df = latest_per_key(bronze.read_days(spark, lake.root, domain, days,
-                                             with_file_day=True), domain.key)
-    else:
-        df = bronze.read_days(spark, lake.root, domain, days)
-    if not storage.exists(spark, table):
-        written = storage.create(spark, table, df)
-        return sorted(set(written) | {day_str(d) for d in days})
-    if domain.upsert:
-        return storage.upsert(spark, table, df)
-    return storage.replace_days(spark, table, df, days)
-
-
-def latest_per_key(df: DataFrame, key: str) -> DataFrame:
+    several = domain.upsert and len(days) > 1
+    df = bronze.read_days(spark, lake.root, domain, days, with_file_day=several)
+    run = scratch_dir(spark, "ingest")
+    try:
+        if several:                                     # the files are parsed once
+            df = latest_per_key(_stored(df, f"{run}/rows"), domain.key, f"{run}/repeated")
+        if not storage.exists(spark, table):
+            written = storage.create(spark, table, df)
+            return sorted(set(written) | {day_str(d) for d in days})
+        if domain.upsert:
+            return storage.upsert(spark, table, df)
+        return storage.replace_days(spark, table, df, days)
+    finally:
+        FS(spark, run).delete(run)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` by way of a scratch folder: what reads it twice computes it once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def latest_per_key(df: DataFrame, key: str, scratch: str | None = None) -> DataFrame:
     """Over several files, the newest file's rows win for a repeated key.
 
     Same as applying the files one by one, oldest first (for keys unique within
     a file).  ``groupBy`` pre-aggregates per task, so even a key holding a third
-    of all rows shuffles one row per task; the semi join back lets AQE split a
-    hot key on the big side.  Rows with a NULL key are all kept.
+    of all rows shuffles one row per task.  Only keys of several files are joined
+    back, from the ``scratch`` folder: where they are few Spark knows it from the
+    folder's size and broadcasts them, so the rows are not shuffled; else AQE
+    splits a hot key on the big side.  Rows with a NULL key are all kept.
     """
     fd = bronze.FILE_DAY
-    latest = (df.filter(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.max(fd).alias("_latest")))
-    a, b = df.alias("a"), latest.alias("b")
-    kept = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}"))
-                  & (F.col(f"a.{fd}") == F.col("b._latest")), "left_semi")
+    repeated = _stored(df.filter(F.col(key).isNotNull()).groupBy(key)
+                       .agg(F.min(fd).alias("_first"), F.max(fd).alias("_latest"))
+                       .filter("_first != _latest").select(key, "_latest"),
+                       scratch or scratch_dir(df.sparkSession, "repeated"))
+    kept = df.filter(F.col(key).isNotNull()).join(repeated, key, "left").filter(
+        F.col("_latest").isNull() | (F.col(fd) == F.col("_latest"))).drop("_latest")
     return kept.unionByName(df.filter(F.col(key).isNull())).drop(fd)
 
 
