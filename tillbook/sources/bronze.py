@@ -32,7 +32,7 @@ from tillbook.session import list_conf, session_conf
 from tillbook.sources.fs import FS
 
 FILE_DAY = "_file_day"
-_FILE_DAY_RE = r"_(\d{4})_(\d{2})_(\d{2})\.csv(/|$)"
+_FILE_DAY_RE = r"_(\d{4}_\d{2}_\d{2})\.csv(/|$)"
 
 
 def bronze_path(root: str, domain: Domain, day) -> str:
@@ -75,9 +75,8 @@ def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType | None
             raw = (spark.read.option("header", True).option("inferSchema", infer)
                    .csv(group))
         if with_file_day:
-            path = F.col("_metadata.file_path")
-            raw = raw.withColumn(FILE_DAY, F.to_date(F.concat_ws(
-                "-", *[F.regexp_extract(path, _FILE_DAY_RE, i) for i in (1, 2, 3)])))
+            raw = raw.withColumn(FILE_DAY, F.to_date(F.translate(
+                F.regexp_extract("_metadata.file_path", _FILE_DAY_RE, 1), "_", "-")))
         if schema is not None and not infer:
             raw = type_by_name(raw, schema)
         frames.append(raw)
