@@ -266,3 +266,13 @@ def test_files_of_several_days_are_parsed_once(spark, scratch, monkeypatch):
     got = storage.read(spark, lake.silver(FREIGHT)).select("pedido_id", "valor_frete").collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [(None, .5), (None, 1.5), (None, 2.5), ("own0", .5), ("own1", 1.5), ("own2", 2.5), ("same", 2.5)], key=str)
+
+
+def test_history_of_the_daily_run_is_loaded_side_by_side(spark):
+    import threading
+    from tillbook.plans import catalog
+    both = threading.Barrier(2, timeout=60)
+    jobs = {n: lambda n=n: (both.wait(), n)[1] for n in ("a", "b")}
+    assert catalog._all(spark, jobs) == {"a": "a", "b": "b"}
+    with pytest.raises(ZeroDivisionError):
+        catalog._all(spark, {"bad": lambda: 1 // 0})

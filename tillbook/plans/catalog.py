@@ -581,6 +581,15 @@ def monthly_frames(spark, sf_dir) -> dict:
     return frames
 
 
+def _all(spark, jobs: dict) -> dict:
+    """What independent jobs return that run side by side; the first failure is raised."""
+    out = pipeline.concurrently(spark, jobs)
+    for got in out.values():
+        if isinstance(got, Exception):
+            raise got
+    return out
+
+
 @register("run_day_summary", f"""
 SELECT 'taxes' AS report, CodigoData, CAST(FilialId AS VARCHAR) AS FilialId, TipoImposto AS item,
        TotalImpostoPago AS total FROM ({TAXES_SQL.replace(fx.SQL['tributos'], f"({MONTHLY['tributos']})")}) t
@@ -595,14 +604,13 @@ def run_day_summary(spark, sf_dir):
     # domains and all three reports.  (Re-running a day would insert the returns
     # again: their order id is NULL here, and NULL keys never match in an upsert
     # - the reference's merge does the same.)
+    # Domains and reports of the history go side by side, as in the daily run.
     lake, frames = _lake(spark, "runday"), monthly_frames(spark, sf_dir)
-    days = {n: fx.write_bronze(spark, lake.root, DOMAINS[n], df) for n, df in frames.items()}
+    days = _all(spark, {n: lambda n=n: fx.write_bronze(spark, lake.root, DOMAINS[n], frames[n]) for n in frames})
     common = sorted(set.intersection(*map(set, days.values())))
     today = common[len(common) // 2]
-    for n in frames:
-        pipeline.ingest(spark, lake, n, [x for x in days[n] if x != today])
-    for name in pipeline.REPORTS:
-        pipeline.build_gold(spark, lake, name)
+    _all(spark, {n: lambda n=n: pipeline.ingest(spark, lake, n, [x for x in days[n] if x != today]) for n in frames})
+    _all(spark, {r: lambda r=r: pipeline.build_gold(spark, lake, r) for r in pipeline.REPORTS})
     out = pipeline.run_day(spark, lake, today)
     assert set(out["status"].values()) == {"ok"}, out
     one = {n: storage.read(spark, lake.gold(r)) for n, r in pipeline.REPORTS.items()}
