@@ -94,3 +94,15 @@ def test_null_ids_repeated_rows_clashing_columns(docs_of):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert got(none) == {}
+
+
+def test_members_of_a_group_meet_one_pivot_each(docs_of, monkeypatch):
+    docs = near_copies(9, 300, 1, change=.06)           # one group, with another pivot in most buckets
+    real, pairs = minhash.verified, []
+
+    def verified(met, *args):
+        pairs.append(met.count())
+        return real(met, *args)
+    monkeypatch.setattr(minhash, "verified", verified)
+    assert got(docs_of(docs)) == brute.minhash_groups(docs)
+    assert 0 < sum(pairs) < 1.5 * len(docs)

@@ -361,6 +361,26 @@ def buckets(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(keyed.join(shared, "key"), "near-buckets")
 
 
+def _pivot_links(met: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) of members and the pivots they meet (node, pivot, score of the pivot).
+
+    A member of a group of near copies meets another pivot in nearly every bucket.  So each
+    is compared with the best of its pivots first, and with another only if the two do
+    not stand in one component by then.
+    """
+    met = stored(met.withColumns({"u": F.least("node", "pivot"), "v": F.greatest("node", "pivot")}).distinct(),
+                 "near-met")
+    best = stored(met.groupBy("node").agg(F.max_by(F.struct("u", "v"), F.struct("score", -F.col("pivot"))).alias(
+        "p")).select("p.u", "p.v").distinct(), "near-best")
+    first = verified(best, rows, percent)
+    found = stored(components(first), "near-first")
+    rest = met.select("u", "v").distinct().join(best, ["u", "v"], "left_anti")
+    for side in ("u", "v"):
+        rest = rest.join(found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+    rest = rest.filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+    return stored(first.unionByName(verified(rest, rows, percent)), "near-pivot-links")
+
+
 def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: int = FEW,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(u, v) of classes: their components are those of all similar pairs."""
@@ -368,10 +388,9 @@ def links(rows: DataFrame, classes: DataFrame, percent: int = SIMILARITY, few: i
     score = members.groupBy("node").agg(F.sum("size").alias("score"))
     pivots = stored(members.join(score, "node").groupBy("key").agg(F.max(
         F.struct("score", (-F.col("node")).alias("less"), "n")).alias("p")).select(
-        "key", (-F.col("p.less")).alias("pivot"), F.col("p.n").alias("pivot_n")), "near-pivots")
+        "key", (-F.col("p.less")).alias("pivot"), F.col("p.n").alias("pivot_n"), "p.score"), "near-pivots")
     others = members.join(pivots, "key").filter("node != pivot")
-    first = verified(others.filter(_fits("n", "pivot_n", percent)).select(
-        F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct(), rows, percent)
+    first = _pivot_links(others.filter(_fits("n", "pivot_n", percent)).select("node", "pivot", "score"), rows, percent)
     # buckets whose members, the pivot aside, stand in several components
     found = stored(components(first).withColumnRenamed("node", "of"), "near-components")
     labelled = stored(others.filter("size > 2").select("key", "t", "node", "n").join(
